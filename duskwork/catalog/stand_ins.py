@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwork.catalog.registry import Source
+from duskwork.functions.text import decode
 from duskwork.operators.audit import LOG_SCHEMA
 from duskwork.sources.codes import PROCESS_USER
 
@@ -37,6 +38,10 @@ def client_number(key: str) -> Column:
     return F.lpad(F.col(key).cast("string"), 8, "0")
 
 
+def company() -> Column:
+    return decode("o_orderstatus", [("F", "2"), ("O", "3")], "1")
+
+
 def text(value: str | None = None) -> Column:
     return F.lit(value).cast("string")
 
@@ -168,7 +173,7 @@ def mailing_tables(source: Source) -> dict[str, DataFrame]:
 def intake_tables(source: Source) -> dict[str, DataFrame]:
     """Customers are clients, orders contracts (joint owner: the client numbered
     like the smallest supplier of a not urgent order), customers with events
-    users, suppliers in credit live advisers."""
+    users, suppliers in credit live advisers under ten times their own number."""
     spark, customer, orders = source.spark, source.customer, source.orders
     last = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("datime"))
     clients = customer.join(last, customer.c_custkey == last.o_custkey)
@@ -186,13 +191,13 @@ def intake_tables(source: Source) -> dict[str, DataFrame]:
             F.when(F.col("c_mktsegment") == "MACHINERY", "C").otherwise("P").alias("clttype"),
         ),
         "ifsdmchdrpf": contracts.select(
-            F.decode(F.col("o_orderstatus"), F.lit("F"), F.lit("2"), F.lit("O"), F.lit("3"), F.lit("1")).alias("chdrcoy"),
+            company().alias("chdrcoy"),
             contract_number.alias("chdrnum"), client_number("o_custkey").alias("cownnum"),
             F.when(F.col("o_orderpriority") == "1-URGENT", "        ")
             .otherwise(F.coalesce(client_number("joint"), F.lit("        "))).alias("jownnum"),
             F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "IF").otherwise("LA").alias("statcode"),
             F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("modidate"),
-            F.decode(F.col("o_orderstatus"), F.lit("F"), F.lit("A"), F.lit("J")).alias("dueflg"),
+            F.when(F.col("o_orderstatus") == "F", "A").otherwise("J").alias("dueflg"),
             F.lit("1").alias("validflag"),
         ),
         "r_user": users.select(
@@ -212,7 +217,7 @@ def intake_tables(source: Source) -> dict[str, DataFrame]:
         ),
         "ifsvwclnt_mst_ifs": customer.select(client_number("c_custkey").alias("clnt_num")),
         "ifsvwadv_mst": source.supplier.select(
-            client_number("s_suppkey").alias("clnt_num"),
+            F.lpad((F.col("s_suppkey") * 10).cast("string"), 8, "0").alias("clnt_num"),
             F.when(F.col("s_acctbal") > 0, "99999999").otherwise("20010101").alias("termination_date"),
         ),
         "r_customer": users.where(F.col("c_acctbal") > 5000).select(
@@ -225,7 +230,7 @@ def intake_tables(source: Source) -> dict[str, DataFrame]:
         ),
         "plan_acct": orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")).select(
             F.col("o_orderkey").alias("acctid"),
-            F.decode(F.col("o_orderstatus"), F.lit("F"), F.lit("2"), F.lit("O"), F.lit("3"), F.lit("1")).alias("chdrcoy"),
+            company().alias("chdrcoy"),
             contract_number.alias("chdrnum"), F.lit("A").alias("status"), F.lit(None).cast("bigint").alias("entity_id"),
             F.lit(None).cast("timestamp_ntz").alias("dt_created"), text().alias("created_by"),
             F.lit(None).cast("timestamp_ntz").alias("dt_updated"), text().alias("updated_by"),
@@ -248,7 +253,7 @@ def portfolio_tables(source: Source) -> dict[str, DataFrame]:
     reference = F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
     orders = source.orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
-        F.decode(F.col("o_orderstatus"), F.lit("F"), F.lit("2"), F.lit("O"), F.lit("3"), F.lit("1")).alias("chdrcoy"),
+        company().alias("chdrcoy"),
     )
     part = source.part
     return {
@@ -280,3 +285,48 @@ def portfolio_tables(source: Source) -> dict[str, DataFrame]:
         ),
         "portfolio_target": empty(source.spark, "aa_class_id bigint, portfolio_id bigint, percentage double"),
     }
+
+
+def reset_tables(source: Source) -> dict[str, DataFrame]:
+    """Users with a large signup are asked to reset; early buyers are queued."""
+    events, customer = source.events, source.customer
+    users = events.groupBy("user_id").agg(
+        F.max((F.col("event_type") == "signup") & (F.col("value") > 60)).alias("asked")
+    )
+    return {
+        "r_sysparam": params(source.spark, PASSWORD_RESET_DATE_LAST_RUN=20240101),
+        "r_user": users.select(
+            "user_id", F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("login_id"),
+            F.when(F.col("asked"), "Y").otherwise("N").alias("pwd_regen_flag"),
+        ),
+        "r_user_info": customer.select(
+            F.col("c_custkey").alias("user_info_id"), F.col("c_custkey").alias("user_id"),
+            client_number("c_custkey").alias("clntnum"),
+        ),
+        "ifsdmclntpf": customer.select(
+            client_number("c_custkey").alias("clntnum"), F.col("c_name").alias("zemailadd"),
+            F.col("c_mktsegment").alias("cltaddr01"),
+            *[text().alias(f"cltaddr0{i}") for i in range(2, 6)],
+        ),
+        "r_user_process": events.where(
+            (F.col("event_type") == "purchase") & (F.col("ts") < F.lit("2024-01-04").cast("timestamp_ntz"))
+        ).select("user_id").distinct().select(
+            F.col("user_id").cast("string").alias("user_id"), text().alias("login_id"), text().alias("email"),
+            text().alias("genpass"), *[text().alias(f"cltaddr0{i}") for i in range(1, 6)],
+        ),
+    }
+
+
+def entity_tables(source: Source) -> dict[str, DataFrame]:
+    """Orders are entities; the suppliers of their lines 1 and 2 first and second owners."""
+    lines = source.lineitem.where(F.col("l_linenumber").isin(1, 2))
+    return {
+        "r_custuser_matrix": lines.select(
+            F.col("l_orderkey").alias("entity_id"),
+            F.when(F.col("l_linenumber") == 1, "JO1").otherwise("JO2").alias("relationship"),
+            F.col("l_suppkey").alias("user_info_id"),
+        ),
+        "r_user_info": source.supplier.select(
+            F.col("s_suppkey").alias("user_info_id"), client_number("s_suppkey").alias("clntnum")
+        ),
+    }
