@@ -93,7 +93,7 @@ def like_pattern(*parts: Column | str) -> Column:
 
 def matches(text: Column | str, pattern: Column | str) -> Column:
     """``text LIKE pattern`` with the pattern taken from a column."""
-    return _col(text).like(_col(pattern))
+    return F.like(_col(text), _col(pattern))
 
 
 def full_name(race: Column | str, surname: Column | str, given: Column | str) -> Column:

@@ -29,7 +29,8 @@ def assign_ordinals(df: DataFrame, order: Sequence[str], column: str, digits: in
     number, and each bucket counts on its own. There are at most 16**digits
     bucket sizes, which bounds both the running total and the broadcast. The
     numbers depend on the rows alone, so computing them again (a retried task, a
-    second output) gives the same ones.
+    second output) gives the same ones. ``df`` is read twice: hand in a written
+    or checkpointed frame when it is costly.
     """
     dealt = df.withColumn("__bucket", bucket_of(order, digits))
     sizes = dealt.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size"))

@@ -78,7 +78,7 @@ def create_users(
         "client", "clntnum", status.alias("status"), reset.alias("pwd_regen_flag"),
         yes_no(has_text("zemailadd")).alias("email_notify_flag"),
     )
-    numbered = assign_ordinals(chosen, ["client"], "__n")
+    numbered = assign_ordinals(reuse(chosen), ["client"], "__n")
     people = numbered.select(
         "clntnum", "status", "pwd_regen_flag", "email_notify_flag",
         (highest(tables["r_user"], "user_id") + F.col("__n")).alias("user_id"),
