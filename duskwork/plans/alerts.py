@@ -26,9 +26,8 @@ def band_alert(
     Several values at the latest moment are all looked at.
     """
     latest = latest_per_key(values.select(value_key, when, value), value_key, when)
-    pairs = derived_key_join(
-        alerts, latest, F.col(alert_key).cast("string"), F.col(value_key).cast("string")
-    )
+    latest = latest.select(F.col(value_key).cast("string").alias("__series"), value)
+    pairs = derived_key_join(alerts, latest, F.col(alert_key).cast("string"), F.col("__series"))
     return pairs.where(outside_band(value, floor, ceiling)).select(*alerts.columns, value)
 
 
