@@ -19,6 +19,7 @@ def local_session(name: str = "duskwork", cores: int | str | None = None, partit
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .getOrCreate()
     )
