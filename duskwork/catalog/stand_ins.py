@@ -265,7 +265,7 @@ def portfolio_tables(source: Source) -> dict[str, DataFrame]:
         "trx_ut": lines.select(
             F.concat(F.lit(" "), reference).alias("e_reference_number"), F.col("l_partkey").alias("account_id"),
             F.lit("Y").alias("new_account_flag"),
-        ).distinct(),
+        ),
         "tmp_portfolio": part.where(F.col("p_brand") == "Brand#1").select(
             F.col("p_partkey").alias("portfolio_id"), F.col("p_partkey").alias("account_temp_id"),
             F.col("p_type").alias("risk_category_nm"), F.col("p_retailprice").alias("exp_return"),

@@ -110,12 +110,10 @@ def segments(c: Column | str, width: int, count: int | None = None) -> Column:
     """
     text = _col(c)
     if count is None:
-        slots = F.sequence(
-            F.lit(1), F.greatest(F.lit(1), F.ceil(F.length(text) / F.lit(width)).cast("int"))
-        )
-    else:
-        slots = F.sequence(F.lit(1), F.lit(count))
+        # one pass over the text; a substring per piece would start from the front each time
+        pieces = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % width), F.lit(0))
+        return F.when(F.length(text) > 0, pieces).otherwise(F.array(F.lit(None).cast("string")))
     return F.transform(
-        slots,
+        F.sequence(F.lit(1), F.lit(count)),
         lambda i: F.nullif(F.substring(text, (i - 1) * width + 1, F.lit(width)), F.lit("")),
     )

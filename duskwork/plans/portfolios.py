@@ -22,10 +22,16 @@ BENEFICIARY_COLUMNS = (
 )
 
 
-def referenced(transactions: DataFrame, references: DataFrame) -> DataFrame:
-    """Transactions with their trimmed ``reference``, limited to ``references``."""
-    named = transactions.withColumn("reference", trimmed("e_reference_number"))
-    return keep_matching(named, references, "reference")
+def staged_transactions(transactions: DataFrame, staged: DataFrame, references: DataFrame) -> DataFrame:
+    """(reference, account_temp_id) of transactions on a staged account whose
+    trimmed reference is among ``references``.
+
+    The staged accounts, few next to all transactions, are applied first.
+    """
+    named = transactions.select(
+        trimmed("e_reference_number").alias("reference"), F.col("account_id").alias("account_temp_id")
+    )
+    return keep_matching(keep_matching(named, staged, "account_temp_id"), references, "reference")
 
 
 def account_keys(match_company: bool) -> list[str]:
@@ -47,11 +53,11 @@ def insert_portfolios(
     tables: Tables, references: DataFrame, as_of: datetime, match_company: bool = True
 ) -> JobResult:
     """Staged portfolios and targets of a set of references become live."""
-    trx = referenced(tables["trx_ut"], references).select("reference", F.col("account_id").alias("account_temp_id"))
     staged = tables["tmp_portfolio"]
+    trx = staged_transactions(tables["trx_ut"], staged, references)
     rows = (
         staged.join(trx.distinct(), "account_temp_id")
-        .join(accounts_of(tables, references, match_company), "reference")
+        .join(accounts_of(tables, trx, match_company), "reference")
         .select(*[c for c in staged.columns if c != "account_temp_id"], "acctid").distinct()
     )
     portfolio = append_select(tables["portfolio"], rows, {
@@ -78,12 +84,12 @@ def copy_beneficiaries(
 ) -> JobResult:
     """Staged beneficiary and branch data overwrite those of the plan account.
 
-    A reference that leads to several accounts is an error. Where several
+    A reference with staged data that leads to several accounts is an error. Where several
     staged rows lead to one account, the last reference and staged account win.
     """
-    trx = referenced(tables["trx_ut"], references).select("reference", F.col("account_id").alias("account_temp_id"))
+    trx = staged_transactions(tables["trx_ut"], tables["tmp_account"], references)
     staged = tables["tmp_account"].join(trx, "account_temp_id")
-    accounts = unique_rows(accounts_of(tables, references, match_company), "reference", "beneficiaries")
+    accounts = unique_rows(accounts_of(tables, staged, match_company), "reference", "beneficiaries")
     source = first_per_key(
         staged.join(accounts, "reference"), "acctid",
         [F.col("reference").desc(), F.col("account_temp_id").desc()],
