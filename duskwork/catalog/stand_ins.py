@@ -330,3 +330,146 @@ def entity_tables(source: Source) -> dict[str, DataFrame]:
             F.col("s_suppkey").alias("user_info_id"), client_number("s_suppkey").alias("clntnum")
         ),
     }
+
+
+def refresh_tables(source: Source) -> dict[str, DataFrame]:
+    """Customers are users; recent orders say which roles they hold; suppliers are
+    agents of the customer numbered ten times their own key, in their nation's
+    region's role; orders are contracts served by their smallest supplier."""
+    spark, customer, orders = source.spark, source.customer, source.orders
+    agents = source.supplier.join(source.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
+        source.region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    lowest = source.lineitem.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("lowest"))
+    contracts = orders.join(lowest, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    recent = orders.where(F.col("o_orderdate") > F.lit("2001-03-01").cast("timestamp_ntz"))
+    role = decode("o_orderstatus", [("F", 2), ("O", 3)], 0).cast("bigint")
+    none = F.lit(None)
+    return {
+        "eod_log": empty(spark, LOG_SCHEMA),
+        "r_user": customer.select(
+            F.col("c_custkey").alias("user_id"),
+            decode("c_mktsegment", [("BUILDING", "I"), ("MACHINERY", "R")], "A").alias("status"),
+            text("N").alias("pwd_regen_flag"), text().alias("updated_by"), none.cast("timestamp_ntz").alias("dt_updated"),
+            none.cast("timestamp_ntz").alias("dt_reset_password_updated"),
+        ),
+        "r_user_info": customer.select(
+            F.col("c_custkey").alias("user_info_id"), F.col("c_custkey").alias("user_id"),
+            F.when(F.col("c_mktsegment") == "HOUSEHOLD", "I").otherwise("E").alias("user_type"),
+            client_number("c_custkey").alias("clntnum"),
+        ),
+        "ifsdmclntpf": customer.select(
+            client_number("c_custkey").alias("clntnum"),
+            F.when(F.col("c_acctbal") < 0, "N").otherwise("Y").alias("cltmchg"),
+        ),
+        "ifsdmaglfpf": agents.select(
+            F.lpad((F.col("s_suppkey") * 10).cast("string"), 8, "0").alias("clntnum"),
+            F.col("s_suppkey").cast("string").alias("agntnum"),
+            F.when(F.col("s_nationkey") < 12, "2").otherwise("3").alias("agntcoy"), F.col("r_name").alias("zlfagtcl"),
+            F.when(F.col("s_acctbal") > 3000, 99999999).otherwise(20010101).alias("dtetrm"),
+        ),
+        "r_role": source.region.select(
+            F.col("r_regionkey").cast("bigint").alias("role_id"), F.col("r_name").alias("role_nm"),
+            decode("r_name", [("ASIA", "V"), ("EUROPE", "I")], "M").alias("role_type"),
+        ),
+        "r_agt_cl_role_map": source.region.select(
+            F.col("r_name").alias("zlfagtcl"), F.col("r_regionkey").cast("bigint").alias("role_id")
+        ),
+        "v_userrole": recent.select(F.col("o_custkey").alias("user_id"), role.alias("role_id")),
+        "r_user_role": recent.where(F.col("o_orderstatus") == "O").select(
+            F.col("o_custkey").alias("user_id"), role.alias("role_id")
+        ),
+        "ifsdmchdrpf": contracts.select(
+            company().alias("chdrcoy"), F.col("o_orderkey").cast("string").alias("chdrnum"),
+            client_number("o_custkey").alias("cownnum"), client_number("lowest").alias("jownnum"),
+            F.when(F.col("o_orderpriority") == "1-URGENT", "IF").otherwise("LA").alias("statcode"),
+            F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("modidate"),
+            F.col("lowest").cast("string").alias("servagnt"),
+        ),
+        "plan_acct": orders.select(
+            F.col("o_orderkey").alias("acctid"), company().alias("chdrcoy"),
+            F.col("o_orderkey").cast("string").alias("chdrnum"),
+            F.when(F.col("o_totalprice") > 250000, "I").otherwise("A").alias("status"), text().alias("updated_by"),
+            none.cast("timestamp_ntz").alias("dt_updated"),
+        ),
+    }
+
+
+def note_tables(source: Source) -> dict[str, DataFrame]:
+    """Part brands are coverage codes, order priorities payment frequencies; item
+    codes are built from brands and priorities of parts and orders."""
+    part, orders = source.part, source.orders
+    brand = F.concat(F.lit("B"), F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)))
+    frequency = F.substring("o_orderpriority", 1, 1)
+    by_frequency = orders.where(F.col("o_totalprice") > 450000).select(
+        F.concat(F.lit("EX"), frequency, F.substring("o_orderstatus", 1, 1), F.lit("1")).alias("itemitem")
+    ).distinct()
+    generic = part.select(
+        F.concat(F.lit("EX**"), F.when(F.col("p_size") > 25, "F").otherwise("-"), F.substring("p_type", 1, 2)).alias("itemitem")
+    ).distinct()
+    item = [F.lit("IT").alias("itempfx"), F.lit("1").alias("itemcoy"), "itemitem",
+            F.concat(F.lit(" "), F.col("itemitem")).alias("longdesc"),
+            F.concat(F.lit("text of "), F.col("itemitem"), F.lit("  ")).alias("trandesc")]
+    return {
+        "ifsdmcovrpf": part.select(
+            brand.alias("crtable"), F.lit("2").alias("chdrcoy"), F.lit("01").alias("coverage"), F.lit("00").alias("rider"),
+            F.when(F.col("p_size") > 10, "1").otherwise("2").alias("validflag"),
+        ),
+        "ifsdmcovtpf": part.where(F.col("p_size") <= 10).select(
+            brand.alias("crtable"), F.lit("3").alias("chdrcoy"), F.lit("01").alias("coverage"), F.lit("00").alias("rider")
+        ),
+        "ifsdmt3590": orders.select(F.rpad(frequency, 8, " ").alias("itemitem")),
+        "ifsdmt5687": part.groupBy("p_brand").agg(F.max("p_retailprice").alias("top")).select(
+            F.lit("1").alias("itemcoy"), F.rpad(brand, 8, " ").alias("itemitem"), F.lit("99999999").alias("itmto"),
+            F.when(F.col("top") > 1000, "F").otherwise("O").alias("sp_ind"),
+        ),
+        "ifsdmt9065": by_frequency.select(*item).union(generic.select(*item)),
+        "r_explanatory_notes": part.select(
+            F.lit("1").alias("chdrcoy"), F.lit("1").alias("billfreq"), brand.alias("crtable"),
+            F.lit("EX1F1").alias("noteitem"), F.lit("old").alias("notedesc"),
+        ).distinct(),
+    }
+
+
+def description_tables(source: Source) -> dict[str, DataFrame]:
+    """Line items are unit balances and trades of the contract of their order;
+    item codes come from parts, suppliers and orders."""
+    orders, lines = source.orders, source.lineitem
+    coy = orders.select(F.col("o_orderkey").alias("l_orderkey"), company().alias("chdrcoy"))
+    trades = lines.join(coy, "l_orderkey").select(
+        "chdrcoy", F.col("l_orderkey").cast("string").alias("chdrnum"), F.col("l_partkey").cast("string").alias("vrtfnd"),
+        F.col("l_returnflag").alias("unityp"), F.concat(F.lit("T"), F.col("l_linestatus")).alias("batctrcde"),
+        F.concat(F.lit("S"), F.col("l_linenumber").cast("string")).alias("sacstyp"),
+    )
+    late = lines.where(F.col("l_shipdate") > F.lit("2001-10-20").cast("timestamp_ntz"))
+    early = lines.where(F.col("l_shipdate") < F.lit("1995-01-12").cast("timestamp_ntz"))
+    batch_item = F.concat(
+        F.lit("xT"), F.col("l_linestatus"), F.lit("S"), F.col("l_linenumber").cast("string"), F.col("l_returnflag")
+    )
+    any_item = F.concat(F.lit("****S"), F.col("l_linenumber").cast("string"), F.col("l_returnflag"))
+    pointers = orders.where(F.col("o_totalprice") > 400000).select(
+        F.concat(F.lit("T"), F.substring("o_orderstatus", 1, 1), F.lit("C"), F.substring("o_orderpriority", 1, 1), F.lit("A"))
+        .alias("itemitem")
+    ).distinct()
+    codes = lambda df, code: df.select(code.alias("itemitem")).distinct()
+    head = [F.lit("IT").alias("itempfx"), F.lit("2").alias("itemcoy"), "itemitem"]
+    described = codes(late, batch_item).union(codes(early, any_item)).union(codes(source.region, F.lit("TARGET77")))
+    target = F.concat(F.rpad(F.lit("nothing here"), 78, "."), F.rpad(F.lit("TARGET77 TFS1"), 78, "."))
+    return {
+        "ifsdmchdrpf": orders.select(
+            company().alias("chdrcoy"), F.col("o_orderkey").cast("string").alias("chdrnum"),
+            F.concat(F.lit("C"), F.substring("o_orderpriority", 1, 1)).alias("cnttype"),
+        ),
+        "ifsdmlzubpf": trades.select("chdrcoy", "chdrnum", "vrtfnd", "unityp"),
+        "ifsdmutrnpf": trades.drop("unityp"),
+        "ifsdmlzsdpf": trades.where(F.col("unityp") == "N").select("chdrcoy", "chdrnum", F.lit("Z").alias("unityp"), "batctrcde", "sacstyp"),
+        "ifsdmt9065": described.select(*head, F.lit("").alias("longdesc"), F.concat(F.lit("text of "), F.col("itemitem")).alias("trandesc"))
+        .union(pointers.select(*head, F.lit("").alias("longdesc"), target.alias("trandesc"))),
+        "ifsdmt1688": source.region.where(F.col("r_name") == "ASIA").select(
+            F.lit("IT").alias("itempfx"), F.lit("2").alias("itemcoy"), F.lit("TO").alias("itemitem"), F.col("r_name").alias("longdesc")
+        ),
+        "r_trx_description": orders.select(
+            F.concat(F.lit("C"), F.substring("o_orderpriority", 1, 1)).alias("cnttype"), F.lit("A").alias("unityp"),
+            F.lit("TF").alias("batctrcde"), F.lit("S7").alias("sacstyp"), F.lit("old").alias("trandesc"),
+        ).distinct(),
+    }

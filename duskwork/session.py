@@ -7,21 +7,25 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(name: str = "duskwork", cores: int | str | None = None, partitions: int = 8) -> SparkSession:
+def local_session(
+    name: str = "duskwork", cores: int | str | None = None, partitions: int = 8, **settings: str
+) -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own.
 
     Adaptive execution (on by default) chooses joins by measured size, splits
     skewed partitions and merges small ones.
     """
     cores = cores or os.environ.get("BENCH_CPUS", "8")
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(name)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
-        .getOrCreate()
     )
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
