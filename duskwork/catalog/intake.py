@@ -16,7 +16,7 @@ from duskwork.operators.ranking import first_per_key as first_rows
 from duskwork.plans.entities import get_entities
 from duskwork.plans.intake import investor_roles, new_accounts, new_agents, new_investors
 from duskwork.plans.mailbox import mail_annual_report
-from duskwork.plans.portfolios import insert_portfolios, staged_references
+from duskwork.plans.portfolios import copy_beneficiaries, insert_portfolios, staged_references
 from duskwork.plans.users import queue_password_resets
 
 
@@ -255,6 +255,21 @@ def _staged_references(source: Source):
     return staged_references(stand_ins.intake_tables(source), 19950601)
 
 
+@query("""
+WITH last AS (
+  SELECT o_custkey, p_name, p_brand FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC, l_partkey DESC) = 1)
+SELECT c_custkey AS acctid, p_name AS beneficial_name, p_brand AS branch_name,
+       CASE WHEN o_custkey IS NOT NULL THEN 'EOD-NEWFE' END AS updated_by
+FROM customer LEFT JOIN last ON o_custkey = c_custkey
+""")
+def beneficiary_copy(source: Source):
+    tables = stand_ins.beneficiary_tables(source)
+    references = tables["trx_ut"].select(trimmed("e_reference_number").alias("reference")).distinct()
+    state = copy_beneficiaries(tables, references, AFTER_ORDERS).tables["plan_acct"]
+    return state.select("acctid", "beneficial_name", "branch_name", "updated_by")
+
+
 @query("""
 WITH f AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders)
 SELECT c_custkey, coalesce(o_orderpriority, c_mktsegment) AS c_mktsegment,

@@ -473,3 +473,29 @@ def description_tables(source: Source) -> dict[str, DataFrame]:
             F.lit("TF").alias("batctrcde"), F.lit("S7").alias("sacstyp"), F.lit("old").alias("trandesc"),
         ).distinct(),
     }
+
+
+def beneficiary_tables(source: Source) -> dict[str, DataFrame]:
+    """Each customer has one contract and account; each order is a reference to
+    it, and the parts of its lines are the staged accounts."""
+    lines, orders, customer = source.lineitem, source.orders, source.customer
+    two = F.lit("2").alias("chdrcoy")
+    number = F.col("c_custkey").cast("string").alias("chdrnum")
+    staged = {"beneficial_name": F.col("p_name"), "branch_name": F.col("p_brand")}
+    return {
+        "trx_ut": lines.select(
+            client_number("l_orderkey").alias("e_reference_number"), F.col("l_partkey").alias("account_id")
+        ),
+        "ifsdmutrnpf": orders.select(
+            F.rpad(client_number("o_orderkey"), 10, " ").alias("ztranref"), two,
+            F.col("o_custkey").cast("string").alias("chdrnum"),
+        ),
+        "ifsdmchdrpf": customer.select(two, number),
+        "plan_acct": customer.select(
+            F.col("c_custkey").alias("acctid"), two, number, *[text().alias(c) for c in _beneficiary()],
+            text().alias("updated_by"), F.lit(None).cast("timestamp_ntz").alias("dt_updated"),
+        ),
+        "tmp_account": source.part.select(
+            F.col("p_partkey").alias("account_temp_id"), *[staged.get(c, text()).alias(c) for c in _beneficiary()]
+        ),
+    }
