@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 from duskwork.catalog import stand_ins
 from duskwork.catalog.registry import AFTER_EVENTS, AFTER_ORDERS, Source, query
 from duskwork.operators.filters import aged, keep_matching
-from duskwork.operators.mutate import update_where
 from duskwork.plans.approvals import expire_approvals
 from duskwork.plans.archive import archive_transactions
 from duskwork.plans.mailbox import overfull, purge_mailboxes
-from duskwork.plans.settlement import ready_to_settle
+from duskwork.plans.settlement import settle_transactions
 from duskwork.plans.users import set_dormant
-from duskwork.sources.codes import SUCCEEDED
 
 _STALE = """
   o_orderstatus = 'P' AND o_orderdate <= TIMESTAMP '2001-08-02' - INTERVAL 1500 DAY
@@ -143,8 +141,8 @@ def settle_ready(source: Source):
         F.rpad(F.col("l_orderkey").cast("string"), 16, " ").alias("ztranref"),
         F.when(F.col("l_linestatus") == "F", "Y").otherwise("N").alias("fdbkind"),
     )
-    marked = ready_to_settle(transactions, feedback)
-    return update_where(marked, F.col("ready"), {"trx_status": F.lit(SUCCEEDED)}).select("trx_ut_id", "trx_status")
+    state = settle_transactions({"trx_ut": transactions, "ifsdmutrnpf": feedback}, AFTER_ORDERS).tables["trx_ut"]
+    return state.select("trx_ut_id", "trx_status")
 
 
 @query("""

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 1_000_000
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -34,3 +36,14 @@ def reuse(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def reuse_keys(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``reuse`` for the keys of changed rows, marked for broadcast if few.
+
+    The rows are counted once they are written. Up to ``most`` of them, joins
+    with a table of any size leave that table where it is; beyond, the mark is
+    left out and the join shuffles. Only joined columns are sent.
+    """
+    kept = reuse(df)
+    return F.broadcast(kept) if kept.count() <= most else kept

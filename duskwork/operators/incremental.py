@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwork.functions.dates import BEGINNING
-from duskwork.operators.filters import Keys, drop_matching
+from duskwork.operators.filters import Keys, drop_matching, keep_matching
 from duskwork.sources.codes import MARK_OVERLAP_DAYS, SUCCESS
 
 
@@ -41,9 +42,15 @@ def high_water_mark(
     return BEGINNING if last is None else last - timedelta(days=lookback)
 
 
-def incremental_new(source: DataFrame, changed: Column, existing: DataFrame, on: Keys) -> DataFrame:
+def incremental_new(
+    source: DataFrame, changed: Column, existing: DataFrame, on: Keys,
+    settle: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """Changed rows whose key is not present yet.
 
     The overlap of the mark does no harm: rows taken in before are present.
+    ``settle`` may write out the changed rows and mark them for broadcast; only
+    present keys among them are then looked at, not all of ``existing``.
     """
-    return drop_matching(source.where(changed), existing, on)
+    rows = settle(source.where(changed))
+    return drop_matching(rows, keep_matching(existing, rows, on), on)

@@ -6,7 +6,7 @@ state of its table, with the columns of the old one.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,24 +36,25 @@ def cascade_delete(
     root_keys: DataFrame,
     root_on: Keys,
     children: Sequence[tuple[str, str, Keys, Keys]] = (),
+    settle: Callable[[DataFrame], DataFrame] = lambda keys: keys,
 ) -> dict[str, DataFrame]:
     """Delete root rows and everything below them.
 
     ``children`` lists (child table, parent table, key in child, key in
     parent), parents first. Returns the new state of every table named.
+    ``settle`` is applied to the keys looked up in a parent table, for example
+    to write them out before several tables use them.
     """
     doomed: dict[str, DataFrame] = {}
     out = {root: delete_keys(tables[root], root_keys, root_on)}
     for child, parent, child_on, parent_on in children:
         renamed = dict(zip(key_list(parent_on), key_list(child_on)))
+        columns = [F.col(p).alias(c) for p, c in renamed.items()]
         if parent == root and set(renamed) <= set(key_list(root_on)):
-            rows = root_keys
-        elif parent == root:
-            rows = keep_matching(tables[root], root_keys, root_on)
+            keys = root_keys.select(*columns)
         else:
-            rows = doomed[parent]
-        parent_keys = rows.select(*[F.col(p).alias(c) for p, c in renamed.items()])
-        keys = keys_of(parent_keys, child_on)
+            rows = keep_matching(tables[root], root_keys, root_on) if parent == root else doomed[parent]
+            keys = settle(keys_of(rows.select(*columns), child_on))
         doomed[child] = keep_matching(tables[child], keys, child_on)
         out[child] = delete_keys(tables[child], keys, child_on)
     return out
@@ -119,30 +120,47 @@ def merge_upsert(
     return updated.unionByName(inserted)
 
 
-def append_select(target: DataFrame, source: DataFrame, mapping: Mapping[str, Column | str]) -> DataFrame:
-    """Append source rows, target column by target column; unmapped ones are NULL."""
+def rows_for(
+    target: DataFrame, source: DataFrame, mapping: Mapping[str, Column | str] | None = None
+) -> DataFrame:
+    """Source rows in the target's columns and types; unmapped ones are NULL.
+
+    Without a mapping, source columns go to target columns of the same name.
+    """
+    if mapping is None:
+        extra = set(source.columns) - set(target.columns)
+        if extra:
+            raise ValueError(f"columns not in the target: {sorted(extra)}")
+        mapping = {c: c for c in source.columns}
     cells = []
     for field in target.schema.fields:
         value = mapping.get(field.name)
         value = F.col(value) if isinstance(value, str) else F.lit(None) if value is None else value
         cells.append(value.cast(field.dataType).alias(field.name))
-    return target.unionByName(source.select(*cells))
+    return source.select(*cells)
+
+
+def append_select(target: DataFrame, source: DataFrame, mapping: Mapping[str, Column | str]) -> DataFrame:
+    """Append source rows, target column by target column."""
+    return target.unionByName(rows_for(target, source, mapping))
+
+
+def same_shape(target: DataFrame, source: DataFrame) -> None:
+    """Raise unless both tables have the same columns and types in the same order."""
+    shapes = [[(f.name, f.dataType) for f in df.schema.fields] for df in (target, source)]
+    if shapes[0] != shapes[1]:
+        raise ValueError(f"shapes differ: {target.columns} and {source.columns}")
 
 
 def append_same_shape(target: DataFrame, source: DataFrame) -> DataFrame:
     """Append rows of an identically shaped table."""
-    shape = lambda df: [(f.name, f.dataType) for f in df.schema.fields]
-    if shape(target) != shape(source):
-        raise ValueError(f"shapes differ: {target.columns} and {source.columns}")
+    same_shape(target, source)
     return target.unionByName(source)
 
 
 def append_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
     """Append rows that fill some of the target's columns."""
-    extra = set(rows.columns) - set(target.columns)
-    if extra:
-        raise ValueError(f"columns not in the target: {sorted(extra)}")
-    return append_select(target, rows, {c: c for c in rows.columns})
+    return target.unionByName(rows_for(target, rows))
 
 
 def move_where(source: DataFrame, archive: DataFrame, condition: Column, mapping: Mapping[str, Column | str] | None = None) -> tuple[DataFrame, DataFrame]:

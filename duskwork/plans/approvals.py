@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from duskwork.functions.dates import moment, stamp_text
 from duskwork.operators.audit import audit_rows
-from duskwork.operators.durable import reuse
+from duskwork.operators.durable import reuse_keys
 from duskwork.operators.filters import is_aged, with_match
 from duskwork.operators.mutate import cascade_delete, is_true, update_keys
 from duskwork.plans.job import JobResult, Tables, union_audit
@@ -37,7 +37,7 @@ def expire_approvals(tables: Tables, as_of: datetime) -> JobResult:
     approvals = tables["pending_approval"]
     stale = approvals.where(is_aged("dt_submitted", days, as_of) & (F.col("pending_status") == PENDING))
     marked = with_match(stale, tables["trx_ut"], "pending_approval_id", "has_trx")
-    touched = reuse(marked.where(F.col("has_trx") | is_true(F.col("pending_type") != TRANSACTION_TYPE)))
+    touched = reuse_keys(marked.where(F.col("has_trx") | is_true(F.col("pending_type") != TRANSACTION_TYPE)))
     deleted, expired = touched.where("has_trx"), touched.where(~F.col("has_trx"))
 
     new = cascade_delete(
@@ -47,6 +47,7 @@ def expire_approvals(tables: Tables, as_of: datetime) -> JobResult:
             ("trx_ut_detail", "trx_ut", "trx_ut_id", "trx_ut_id"),
             ("pending_approval_history", "pending_approval", "pending_approval_id", "pending_approval_id"),
         ],
+        settle=reuse_keys,
     )
     new["pending_approval"] = update_keys(
         new["pending_approval"], expired, "pending_approval_id", {"pending_status": F.lit(EXPIRED)}

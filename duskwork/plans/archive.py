@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from duskwork.functions.text import joined
 from duskwork.operators.audit import audit_rows
+from duskwork.operators.durable import reuse_keys
 from duskwork.operators.filters import is_aged, with_match
-from duskwork.operators.mutate import append_same_shape, append_select, is_true, move_where
+from duskwork.operators.mutate import delete_where, is_true, rows_for, same_shape
 from duskwork.plans.job import JobResult, Tables, union_audit
 from duskwork.sources.codes import TRANSACTION_TYPE
 from duskwork.sources.params import number_param
@@ -42,25 +43,27 @@ def archive_transactions(tables: Tables, as_of: datetime) -> JobResult:
 
     archive = tables["trx_ut_hist"]
     mapping = {c: RENAMED.get(c, c) for c in archive.columns if RENAMED.get(c, c) in trx.columns}
-    trx_left, trx_hist = move_where(trx, archive, old_trx, mapping)
-    approvals_left, approvals_hist = move_where(approvals, tables["pending_approval_hist"], old_approval)
     moved_trx, moved_approvals = trx.where(is_true(old_trx)), approvals.where(is_true(old_approval))
-    details, details_left = split_by_parent(tables["trx_ut_detail"], moved_trx, "trx_ut_id")
+    trx_keys = reuse_keys(moved_trx.select("trx_ut_id").distinct())
+    approval_keys = reuse_keys(moved_approvals.select("pending_approval_id").distinct())
+    details, details_left = split_by_parent(tables["trx_ut_detail"], trx_keys, "trx_ut_id")
     histories, histories_left = split_by_parent(
-        tables["pending_approval_history"], moved_approvals, "pending_approval_id"
+        tables["pending_approval_history"], approval_keys, "pending_approval_id"
     )
-    new = {
-        "trx_ut": trx_left,
-        "trx_ut_hist": trx_hist,
+    left = {
+        "trx_ut": delete_where(trx, old_trx),
         "trx_ut_detail": details_left,
-        "trx_ut_detail_hist": append_select(
-            tables["trx_ut_detail_hist"], details,
-            {c: c for c in tables["trx_ut_detail_hist"].columns if c in details.columns},
-        ),
-        "pending_approval": approvals_left,
-        "pending_approval_hist": approvals_hist,
+        "pending_approval": delete_where(approvals, old_approval),
         "pending_approval_history": histories_left,
-        "pending_approval_history_hist": append_same_shape(tables["pending_approval_history_hist"], histories),
+    }
+    kept_details = [c for c in tables["trx_ut_detail_hist"].columns if c in details.columns]
+    same_shape(tables["pending_approval_hist"], moved_approvals)
+    same_shape(tables["pending_approval_history_hist"], histories)
+    archived = {
+        "trx_ut_hist": rows_for(archive, moved_trx, mapping),
+        "trx_ut_detail_hist": details.select(*kept_details),
+        "pending_approval_hist": moved_approvals,
+        "pending_approval_history_hist": histories,
     }
     audit = union_audit(
         _audit(details, "TRX_UT_DETAIL", "trx_ut_detail_id", as_of),
@@ -68,4 +71,4 @@ def archive_transactions(tables: Tables, as_of: datetime) -> JobResult:
         _audit(histories, "PENDING_APPROVAL_HISTORY", "pending_approval_id", as_of),
         _audit(moved_approvals, "PENDING_APPROVAL", "pending_approval_id", as_of),
     )
-    return JobResult(new, (LOG_NAME,), audit)
+    return JobResult.of(tables, (LOG_NAME,), left, archived, audit)

@@ -10,16 +10,15 @@ from pyspark.sql import functions as F
 from duskwork.functions.dates import key_of, moment
 from duskwork.functions.text import code, decode, has_text, joined, trimmed, yes_no
 from duskwork.operators.audit import audit_rows
-from duskwork.operators.durable import reuse
+from duskwork.operators.durable import reuse, reuse_keys
 from duskwork.operators.entities import resolve_entities
 from duskwork.operators.filters import drop_matching, join_side, keep_matching, with_match
 from duskwork.operators.incremental import high_water_mark, incremental_new
 from duskwork.operators.joins import owners_of
 from duskwork.operators.keys import assign_keys, assign_ordinals, highest
-from duskwork.operators.mutate import append_rows
 from duskwork.operators.ranking import first_per_key, lookup_per_key
 from duskwork.operators.roles import union_distinct
-from duskwork.plans.job import JobResult, Tables, chain, union_audit
+from duskwork.plans.job import JobResult, Tables, chain, combine, union_audit
 from duskwork.plans.portfolios import copy_beneficiaries, insert_portfolios, staged_references
 from duskwork.sources.codes import (
     ACTIVE, ACTIVE_CONTRACT, AUTHORITY, CORPORATE, CORPORATE_CLIENT, EXTERNAL_USER, FIRST_OWNER,
@@ -66,7 +65,8 @@ def new_clients(tables: Tables, log_name: str, extra: Column | None = None) -> D
     mark = high_water_mark(tables["eod_log"], log_name)
     changed = F.col("datime") > moment(mark)
     changed = changed if extra is None else changed & extra
-    return incremental_new(clients_of(tables), changed, known_users(tables), "client")
+    known = tables["r_user_info"].select(code("clntnum").alias("client"))
+    return incremental_new(clients_of(tables), changed, known, "client", settle=reuse_keys)
 
 
 def create_users(
@@ -88,27 +88,21 @@ def create_users(
     people = reuse(people)
     made = {"created_by": F.lit(INTAKE_USER), "dt_created": moment(as_of)}
     stamp = [v.alias(k) for k, v in made.items()]
-    new = {
-        "r_user": append_rows(
-            tables["r_user"], people.select("user_id", "status", "pwd_regen_flag", "email_notify_flag", *stamp)
-        ),
-        "r_user_info": append_rows(
-            tables["r_user_info"],
-            people.select(
-                "user_info_id", "user_id", "clntnum", F.lit(EXTERNAL_USER).alias("user_type"),
-                F.lit(ACTIVE).alias("status"), *stamp,
-            ),
+    active = F.lit(ACTIVE).alias("status")
+    added = {
+        "r_user": people.select("user_id", "status", "pwd_regen_flag", "email_notify_flag", *stamp),
+        "r_user_info": people.select(
+            "user_info_id", "user_id", "clntnum", F.lit(EXTERNAL_USER).alias("user_type"), active, *stamp
         ),
     }
     touched, after = "R_USER,R_USER_INFO", [F.col("user_id"), F.col("user_info_id")]
     if with_role:
-        roles = people.select(
-            "user_role_id", "user_id", investor_role(tables).alias("role_id"), F.lit(ACTIVE).alias("status"), *stamp
+        added["r_user_role"] = people.select(
+            "user_role_id", "user_id", investor_role(tables).alias("role_id"), active, *stamp
         )
-        new["r_user_role"] = append_rows(tables["r_user_role"], roles)
         touched, after = f"{touched},R_USER_ROLE", [*after, F.col("user_role_id")]
     audit = audit_rows(people, log_name, touched, None, [*after, F.col("clntnum")], as_of)
-    return JobResult(new, (log_name,), audit, {log_name: people})
+    return JobResult.of(tables, (log_name,), {}, added, audit, {log_name: people})
 
 
 def new_agents(tables: Tables, as_of: datetime) -> JobResult:
@@ -135,7 +129,7 @@ def _pair(main: str = "main", joint: str = "joint") -> list[Column]:
     return [F.col(main), F.coalesce(F.col(joint), F.lit("")).alias("__joint")]
 
 
-def new_entities(tables: Tables, contracts: DataFrame, users: DataFrame) -> DataFrame:
+def new_entities(tables: Tables, contracts: DataFrame) -> DataFrame:
     """The entity of each (main, joint) owner pair of ``contracts``.
 
     Pairs without one get a new id, together with the type and authority of the
@@ -143,7 +137,7 @@ def new_entities(tables: Tables, contracts: DataFrame, users: DataFrame) -> Data
     """
     pairs = contracts.select("main", "joint").distinct()
     members = tables["r_user_info"].select("user_info_id", code("clntnum").alias("clntnum"))
-    found = resolve_entities(pairs, tables["r_custuser_matrix"], members)
+    found = reuse(resolve_entities(pairs, tables["r_custuser_matrix"], members))
     known = found.where(F.col("entity_id") != NO_ENTITY)
     missing = found.where(F.col("entity_id") == NO_ENTITY).select("main", *_pair()[1:])
     opener = F.min(F.struct("chdrcoy", "chdrnum", "dueflg")).alias("__opener")
@@ -174,7 +168,8 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
     since = key_of(high_water_mark(tables["eod_log"], ACCOUNT_LOG_NAME))
     contracts = tables["ifsdmchdrpf"]
     fresh = incremental_new(
-        contracts, is_active_contract() & (F.col("modidate") > since), tables["plan_acct"], CONTRACT
+        contracts, is_active_contract() & (F.col("modidate") > since), tables["plan_acct"], CONTRACT,
+        settle=reuse_keys,
     ).select(*CONTRACT, code("cownnum").alias("main"), code("jownnum").alias("joint"), "dueflg")
     fresh = first_per_key(fresh, CONTRACT, ["main", "joint", "dueflg"])
     users = known_users(tables)
@@ -182,7 +177,7 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
     fresh = with_match(fresh, users.select(F.col("client").alias("joint")), "joint", "__known")
     fresh = reuse(fresh.where(F.col("joint").isNull() | F.col("__known")).drop("__known"))
 
-    entities = reuse(new_entities(tables, fresh, users))
+    entities = reuse(new_entities(tables, fresh))
     created = entities.where("is_new")
     opened = assign_keys(
         fresh.withColumn("__joint", F.coalesce("joint", F.lit(""))).join(
@@ -191,7 +186,7 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
         ),
         CONTRACT, "acctid", tables["plan_acct"],
     )
-    opened = reuse(opened)
+    opened = reuse_keys(opened)
 
     stamp = [moment(as_of).alias("dt_created"), F.lit(INTAKE_USER).alias("created_by")]
     by_client = users.withColumnRenamed("client", "owner")
@@ -201,26 +196,14 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
     ))
     members = created.select("entity_id", member.alias("m")).select("entity_id", "m.*").where(F.col("owner") != "")
     members = members.join(by_client, "owner").select("entity_id", "relationship", "user_info_id")
-    new = {
-        "r_customer": append_rows(
-            tables["r_customer"],
-            created.select(F.col("entity_id").alias("entityid"), "customer_type", "auth_type", *stamp),
-        ),
-        "r_custuser_matrix": append_rows(tables["r_custuser_matrix"], members),
-        "plan_acct": append_rows(
-            tables["plan_acct"],
-            opened.select("acctid", *CONTRACT, F.lit(ACTIVE).alias("status"), "entity_id", *stamp),
-        ),
+    added = {
+        "r_customer": created.select(F.col("entity_id").alias("entityid"), "customer_type", "auth_type", *stamp),
+        "r_custuser_matrix": members,
+        "plan_acct": opened.select("acctid", *CONTRACT, F.lit(ACTIVE).alias("status"), "entity_id", *stamp),
     }
-    state = {**tables, **new}
     trades = tables["ifsdmutrnpf"].select(*CONTRACT, trimmed("ztranref").alias("reference"))
     on = CONTRACT if match_company else ["chdrnum"]
-    references = keep_matching(trades, opened, on).select("reference").distinct()
-    portfolios = insert_portfolios(state, references, as_of, match_company)
-    state = portfolios.over(state)
-    beneficiaries = copy_beneficiaries(state, references, as_of, match_company)
-    new.update(portfolios.tables)
-    new.update(beneficiaries.tables)
+    references = reuse_keys(keep_matching(trades, opened, on).select("reference").distinct())
 
     owners = [F.col("main"), F.when(F.col("__joint") != "", F.col("__joint"))]
     first_of_pair = F.col("is_new") & (F.col("chdrcoy") == F.col("open_coy")) & (F.col("chdrnum") == F.col("open_num"))
@@ -235,13 +218,17 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
             [F.col("acctid"), F.col("chdrcoy"), F.col("chdrnum"), F.col("entity_id")], as_of,
         ),
     )
-    return JobResult(new, (ACCOUNT_LOG_NAME,), audit, {ACCOUNT_LOG_NAME: opened})
+    accounts = JobResult.of(tables, (ACCOUNT_LOG_NAME,), {}, added, audit, {ACCOUNT_LOG_NAME: opened})
+    state = accounts.over(tables)
+    portfolios = insert_portfolios(state, references, as_of, match_company)
+    beneficiaries = copy_beneficiaries(portfolios.over(state), references, as_of, match_company)
+    return combine(accounts, portfolios, beneficiaries)
 
 
 def staged_portfolios(tables: Tables, as_of: datetime, match_company: bool = True) -> JobResult:
     """Staged portfolios of traded references whose account has none yet."""
     since = key_of(high_water_mark(tables["eod_log"], ACCOUNT_LOG_NAME))
-    return insert_portfolios(tables, reuse(staged_references(tables, since, match_company)), as_of, match_company)
+    return insert_portfolios(tables, reuse_keys(staged_references(tables, since, match_company)), as_of, match_company)
 
 
 def investor_roles(tables: Tables, as_of: datetime) -> JobResult:
@@ -254,14 +241,14 @@ def investor_roles(tables: Tables, as_of: datetime) -> JobResult:
     )
     infos = tables["r_user_info"].select(code("clntnum").alias("client"), "user_id")
     without = drop_matching(keep_matching(infos, owners, "client"), tables["r_user_role"], "user_id")
-    users = without.select("user_id").distinct()
+    users = reuse(without.select("user_id").distinct())
     given = assign_keys(users, ["user_id"], "user_role_id", tables["r_user_role"])
     rows = given.select(
         "user_role_id", "user_id", investor_role(tables).alias("role_id"), F.lit(ACTIVE).alias("status"),
         moment(as_of).alias("dt_created"), F.lit(INTAKE_USER).alias("created_by"),
         moment(as_of).alias("dt_updated"), F.lit(INTAKE_USER).alias("updated_by"),
     )
-    return JobResult({"r_user_role": append_rows(tables["r_user_role"], rows)}, ())
+    return JobResult.of(tables, (), {}, {"r_user_role": rows})
 
 
 def take_in(tables: Tables, as_of: datetime) -> JobResult:

@@ -9,21 +9,37 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duskwork.operators.audit import append_audit, run_log_row
-from duskwork.operators.mutate import append_rows
-from duskwork.sources.tables import read_tables, write_table, write_tables
+from duskwork.operators.audit import run_log_row
+from duskwork.operators.keys import with_row_ids
+from duskwork.operators.mutate import rows_for
+from duskwork.sources.tables import read_tables, write_tables
 
 Tables = Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)
 class JobResult:
-    """New table states, audit rows without ids, other output, names to log."""
+    """New table states, names to log, audit rows without ids, other output.
+
+    ``appended`` holds the new rows of tables that only grew, so that a writer
+    need not write such a table again; ``tables`` has their full state too.
+    """
 
     tables: dict[str, DataFrame]
     log_names: tuple[str, ...]
     audit: DataFrame | None = None
     out: dict[str, DataFrame] = field(default_factory=dict)
+    appended: dict[str, DataFrame] = field(default_factory=dict)
+
+    @classmethod
+    def of(
+        cls, old: Tables, log_names: tuple[str, ...], changed: Tables, appended: Tables,
+        audit: DataFrame | None = None, out: dict[str, DataFrame] | None = None,
+    ) -> JobResult:
+        """Result from changed tables and from rows to append to the old ones."""
+        rows = {n: rows_for(old[n], df) for n, df in appended.items()}
+        grown = {n: old[n].unionByName(df) for n, df in rows.items()}
+        return cls({**changed, **grown}, log_names, audit, out or {}, rows)
 
     def over(self, tables: Tables) -> dict[str, DataFrame]:
         """The given tables with this result's new states in place."""
@@ -38,44 +54,71 @@ def union_audit(*parts: DataFrame | None) -> DataFrame | None:
     return reduce(DataFrame.unionByName, present) if present else None
 
 
+def combine(*results: JobResult) -> JobResult:
+    """One result for jobs that ran one after the other, each on the last state."""
+    tables: dict[str, DataFrame] = {}
+    appended: dict[str, DataFrame] = {}
+    for result in results:
+        for name, df in result.tables.items():
+            rows = result.appended.get(name)
+            if rows is None:
+                appended.pop(name, None)
+            elif name in appended:
+                appended[name] = appended[name].unionByName(rows)
+            elif name not in tables:
+                appended[name] = rows
+            tables[name] = df
+    names = tuple(n for r in results for n in r.log_names)
+    out = {k: v for r in results for k, v in r.out.items()}
+    return JobResult(tables, names, union_audit(*[r.audit for r in results]), out, appended)
+
+
 def chain(tables: Tables, as_of: datetime, *jobs: Job) -> JobResult:
     """Run jobs one after the other, each on the state the one before left."""
-    state, changed, names, audits, out = dict(tables), {}, [], [], {}
+    state, results = dict(tables), []
     for step in jobs:
-        result = step(state, as_of)
-        state = result.over(state)
-        changed.update(result.tables)
-        names.extend(result.log_names)
-        audits.append(result.audit)
-        out.update(result.out)
-    return JobResult(changed, tuple(names), union_audit(*audits), out)
+        results.append(step(state, as_of))
+        state = results[-1].over(state)
+    return combine(*results)
+
+
+def recorded(spark: SparkSession, tables: Tables, result: JobResult, as_of: datetime) -> JobResult:
+    """The result with its audit and success rows as appended rows."""
+    records = {}
+    if result.audit is not None:
+        records["audit_trail"] = with_row_ids(result.audit, "audit_id", tables["audit_trail"])
+    if result.log_names:
+        records["eod_log"] = reduce(
+            DataFrame.unionByName, [run_log_row(spark, name, as_of) for name in result.log_names]
+        )
+    return combine(result, JobResult.of(tables, (), {}, records))
 
 
 def next_state(spark: SparkSession, tables: Tables, result: JobResult, as_of: datetime) -> dict[str, DataFrame]:
     """All tables after a successful job, audit trail and run log included."""
-    state = result.over(tables)
-    if result.audit is not None:
-        state["audit_trail"] = append_audit(tables["audit_trail"], result.audit)
-    for name in result.log_names:
-        state["eod_log"] = append_rows(state["eod_log"], run_log_row(spark, name, as_of))
-    return state
+    return recorded(spark, tables, result, as_of).over(tables)
 
 
 def run_job(
     spark: SparkSession, job: Job, name: str, tables: Tables, as_of: datetime, folder: str
 ) -> dict[str, DataFrame]:
-    """Run a job and write the tables it changed under ``folder``.
+    """Run a job and write what it changed under ``folder``.
 
-    Returns the tables to go on with. If anything fails, also while writing,
-    no changed table is taken over: only a failure row joins the run log.
+    Changed tables are written whole; of tables that only grew, the new rows
+    alone, under ``folder/appended``. Returns the tables to go on with. If
+    anything fails, also while writing, nothing changed is taken over: only a
+    failure row joins the run log.
     """
     try:
-        result = job(tables, as_of)
-        state = next_state(spark, tables, result, as_of)
-        changed = {n: df for n, df in state.items() if df is not tables.get(n)}
-        write_tables(changed, folder)
-        return {**tables, **read_tables(spark, folder, changed)}
+        result = recorded(spark, tables, job(tables, as_of), as_of)
+        rewritten = {n: df for n, df in result.tables.items() if n not in result.appended}
+        write_tables(rewritten, folder)
+        write_tables(result.appended, f"{folder}/appended")
+        rows = read_tables(spark, f"{folder}/appended", result.appended)
+        grown = {n: tables[n].unionByName(df) for n, df in rows.items()}
+        return {**tables, **read_tables(spark, folder, rewritten), **grown}
     except Exception as error:  # noqa: BLE001 - every failure is logged under the job's name
-        log = append_rows(tables["eod_log"], run_log_row(spark, name, as_of, str(error)[:4000]))
-        write_table(log, folder, "eod_log_failed")
-        return {**tables, "eod_log": read_tables(spark, folder, ["eod_log_failed"])["eod_log_failed"]}
+        row = rows_for(tables["eod_log"], run_log_row(spark, name, as_of, str(error)[:4000]))
+        write_tables({"eod_log": row}, f"{folder}/failed")
+        written = read_tables(spark, f"{folder}/failed", ["eod_log"])["eod_log"]
+        return {**tables, "eod_log": tables["eod_log"].unionByName(written)}

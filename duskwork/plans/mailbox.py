@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from duskwork.functions.dates import moment, stamp_text
 from duskwork.functions.text import code, full_name
 from duskwork.operators.audit import audit_rows
-from duskwork.operators.durable import reuse
-from duskwork.operators.filters import class_limit, join_side, keys_of, oldest_allowed
+from duskwork.operators.durable import reuse, reuse_keys
+from duskwork.operators.filters import class_limit, join_side, keep_matching, oldest_allowed
 from duskwork.operators.keys import assign_keys
-from duskwork.operators.mutate import append_rows, delete_keys, update_where
+from duskwork.operators.mutate import delete_keys, update_where
 from duskwork.operators.ranking import first_per_key, newest_cutoffs
 from duskwork.plans.job import JobResult, Tables
 from duskwork.sources.codes import ACTIVE, COMPLETED, INTERNAL_USER, MAIL_USER, PENDING, YES
@@ -65,22 +65,16 @@ def purge_mailboxes(tables: Tables, as_of: datetime) -> JobResult:
         days=(number_param(params, "MAIL_MAX_DAYS_ADMIN"), number_param(params, "MAIL_MAX_DAYS_NON_ADMIN")),
         newest=(number_param(params, "MAIL_MAX_MESSAGES_ADMIN"), number_param(params, "MAIL_MAX_MESSAGES_NON_ADMIN")),
     )
-    doomed = reuse(doomed.select("mail_id", "subject", "dt_created").distinct())
-    keys = keys_of(doomed, "mail_id")
+    doomed = reuse_keys(doomed.select("mail_id", "subject", "dt_created").distinct())
+    keys = doomed.select("mail_id")
     new = {name: delete_keys(tables[name], keys, "mail_id") for name in ("mail_dtl_content", "mail_dtl", "mail")}
     before = [F.col("mail_id"), stamp_text(F.col("dt_created")), F.col("subject")]
     return JobResult(new, (PURGE_LOG_NAME,), audit_rows(doomed, PURGE_ACTION, PURGE_TABLES, before, None, as_of))
 
 
-def addressed(templates: DataFrame, recipients: DataFrame, names: DataFrame, users: DataFrame) -> DataFrame:
-    """Templates joined to recipients who have both a name and a user.
-
-    ``names`` and ``users`` have one row per client.
-    """
-    return (
-        recipients.join(templates, "mail_temp_id")
-        .join(join_side(names, "client"), "client").join(join_side(users, "client"), "client")
-    )
+def addressed(recipients: DataFrame, names: DataFrame, users: DataFrame) -> DataFrame:
+    """Recipients who have both a name and a user (one row per client in each)."""
+    return recipients.join(join_side(names, "client"), "client").join(join_side(users, "client"), "client")
 
 
 def mail_annual_report(tables: Tables, as_of: datetime) -> JobResult:
@@ -91,6 +85,7 @@ def mail_annual_report(tables: Tables, as_of: datetime) -> JobResult:
     """
     pending = tables["mail_temp"].where(F.col("status") == PENDING).select("mail_temp_id", "message")
     recipients = tables["mail_temp_rcpt"].select("mail_temp_id", code("clntnum").alias("client"))
+    recipients = keep_matching(recipients, pending, "mail_temp_id")
     clients = tables["ifsdmclntpf"].withColumn("client", code("clntnum"))
     names = first_per_key(clients, "client", ["surname", "givname", "race"]).select(
         "client", full_name("race", "surname", "givname").alias("to")
@@ -98,9 +93,10 @@ def mail_annual_report(tables: Tables, as_of: datetime) -> JobResult:
     users = tables["r_user_info"].withColumn("client", code("clntnum"))
     users = first_per_key(users, "client", ["user_info_id"]).select("client", F.col("user_id").alias("owner_id"))
 
-    sent = addressed(pending, recipients, names, users)
+    # message texts are joined last: they do not travel through the numbering
+    sent = reuse(addressed(recipients, names, users))
     sent = reuse(assign_keys(sent, ["mail_temp_id", "client"], "mail_id", tables["mail"]))
-    mails = sent.select(
+    mails = sent.join(pending, "mail_temp_id").select(
         "mail_id", "owner_id", F.lit(SENDER).alias("from"), "to", "message", F.lit(MAIL_TYPE).alias("mail_type"),
         F.lit(SUBJECT).alias("subject"), moment(as_of).alias("dt_mail"), F.lit(MAIL_USER).alias("created_by"),
         moment(as_of).alias("dt_created"), F.lit(ACTIVE).alias("status"), F.lit(YES).alias("new_mail_flag"),
@@ -108,16 +104,15 @@ def mail_annual_report(tables: Tables, as_of: datetime) -> JobResult:
     files = sent.select("mail_temp_id", "mail_id").join(
         tables["mail_temp_file"].select("mail_temp_id", "attachment_id"), "mail_temp_id"
     ).select("mail_id", "attachment_id")
-    asked = recipients.join(pending, "mail_temp_id").groupBy("mail_temp_id").agg(F.count(F.lit(1)).alias("asked"))
+    asked = recipients.groupBy("mail_temp_id").agg(F.count(F.lit(1)).alias("asked"))
     done = sent.groupBy("mail_temp_id").agg(F.count(F.lit(1)).alias("done"))
     skipped = asked.join(done, "mail_temp_id", "left").select(
         "mail_temp_id", (F.col("asked") - F.coalesce("done", F.lit(0))).alias("skipped")
     )
     new = {
-        "mail": append_rows(tables["mail"], mails),
-        "mail_dtl": append_rows(tables["mail_dtl"], files),
         "mail_temp": update_where(
             tables["mail_temp"], F.col("status") == PENDING, {"status": F.lit(COMPLETED)}
         ),
     }
-    return JobResult(new, (MAILING_LOG_NAME,), None, {"skipped": skipped})
+    appended = {"mail": mails, "mail_dtl": files}
+    return JobResult.of(tables, (MAILING_LOG_NAME,), new, appended, out={"skipped": skipped})

@@ -11,7 +11,7 @@ from duskwork.functions.dates import moment
 from duskwork.functions.text import trimmed
 from duskwork.operators.filters import keep_matching
 from duskwork.operators.joins import unique_rows
-from duskwork.operators.mutate import append_select, update_from
+from duskwork.operators.mutate import update_from
 from duskwork.operators.ranking import first_per_key
 from duskwork.plans.job import JobResult, Tables
 from duskwork.sources.codes import INTAKE_USER
@@ -60,23 +60,19 @@ def insert_portfolios(
         .join(accounts_of(tables, trx, match_company), "reference")
         .select(*[c for c in staged.columns if c != "account_temp_id"], "acctid").distinct()
     )
-    portfolio = append_select(tables["portfolio"], rows, {
-        "portfolio_id": "portfolio_id", "risk_category_nm": "risk_category_nm", "exp_return": "exp_return",
-        "status": "status", "acct_id": "acctid", "portfolio_model_id": "portfolio_model_id",
-        "portfolio_builder_type": "portfolio_builder_type",
-        "dt_created": moment(as_of), "created_by": F.lit(INTAKE_USER),
-        "dt_updated": moment(as_of), "updated_by": F.lit(INTAKE_USER),
-    })
+    portfolio = rows.select(
+        "portfolio_id", "risk_category_nm", "exp_return", "status", F.col("acctid").alias("acct_id"),
+        "portfolio_model_id", "portfolio_builder_type",
+        moment(as_of).alias("dt_created"), F.lit(INTAKE_USER).alias("created_by"),
+        moment(as_of).alias("dt_updated"), F.lit(INTAKE_USER).alias("updated_by"),
+    )
     targets = (
         tables["tmp_portfolio_target"]
         .join(staged.select("portfolio_id", "account_temp_id"), "portfolio_id")
         .join(trx.select("account_temp_id"), "account_temp_id")
     )
-    target = append_select(
-        tables["portfolio_target"], targets,
-        {"aa_class_id": "aa_class_id", "portfolio_id": "portfolio_id", "percentage": "percentage"},
-    )
-    return JobResult({"portfolio": portfolio, "portfolio_target": target}, ())
+    target = targets.select("aa_class_id", "portfolio_id", "percentage")
+    return JobResult.of(tables, (), {}, {"portfolio": portfolio, "portfolio_target": target})
 
 
 def copy_beneficiaries(

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from duskwork.functions.text import trimmed
 from duskwork.operators.audit import audit_rows
-from duskwork.operators.filters import with_match
-from duskwork.operators.mutate import is_true, update_where
+from duskwork.operators.durable import reuse_keys
+from duskwork.operators.filters import drop_matching
+from duskwork.operators.mutate import update_keys
 from duskwork.plans.job import JobResult, Tables
 from duskwork.sources.codes import ORDERED, SUCCEEDED, YES
 
@@ -20,21 +21,20 @@ ACTION = "TrxApp"
 
 
 def ready_to_settle(transactions: DataFrame, feedback: DataFrame) -> DataFrame:
-    """Transactions plus ``ready``: ordered, and no feedback row other than 'Y'.
+    """Ordered transactions that have no feedback row other than 'Y'.
 
     A transaction without any feedback row is ready as well.
     """
     blocking = feedback.where(F.col("fdbkind") != YES).select(trimmed("ztranref").alias("reference_id"))
-    marked = with_match(transactions, blocking, "reference_id", "__blocked")
-    ready = is_true(F.col("trx_status") == ORDERED) & ~F.col("__blocked")
-    return marked.select(*transactions.columns, ready.alias("ready"))
+    return drop_matching(transactions.where(F.col("trx_status") == ORDERED), blocking, "reference_id")
 
 
 def settle_transactions(tables: Tables, as_of: datetime) -> JobResult:
-    marked = ready_to_settle(tables["trx_ut"], tables["ifsdmutrnpf"])
-    new = update_where(marked, F.col("ready"), {"trx_status": F.lit(SUCCEEDED)}).drop("ready")
+    ready = ready_to_settle(tables["trx_ut"], tables["ifsdmutrnpf"])
+    ready = reuse_keys(ready.select("trx_ut_id", "trx_status"))
+    new = update_keys(tables["trx_ut"], ready, "trx_ut_id", {"trx_status": F.lit(SUCCEEDED)})
     audit = audit_rows(
-        marked.where("ready"), ACTION, "TRX_UT",
+        ready, ACTION, "TRX_UT",
         [F.col("trx_ut_id"), F.col("trx_status")], [F.col("trx_ut_id"), F.lit(SUCCEEDED)], as_of,
     )
     return JobResult({"trx_ut": new}, (LOG_NAME,), audit)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from duskwork.functions.dates import last_run_stamp, moment
 from duskwork.functions.text import code
 from duskwork.operators.audit import audit_rows, enqueue_requests
-from duskwork.operators.durable import reuse
+from duskwork.operators.durable import reuse_keys
 from duskwork.operators.filters import is_aged, join_side, keep_matching, oldest_allowed
 from duskwork.operators.mutate import update_keys
 from duskwork.operators.ranking import first_per_key
@@ -56,7 +56,7 @@ def set_dormant(tables: Tables, as_of: datetime) -> JobResult:
         special_days=number_param(params, "DORMANT_PERIOD_ADMIN"),
         other_days=number_param(params, "DORMANT_PERIOD_USER"),
     )
-    idle = reuse(idle.select("user_id", "status"))
+    idle = reuse_keys(idle.select("user_id", "status"))
     new = update_keys(users, idle, "user_id", {
         "status": F.lit(DORMANT), "updated_by": F.lit(PROCESS_USER), "dt_updated": moment(as_of),
     })
@@ -76,7 +76,7 @@ def queue_password_resets(tables: Tables, as_of: datetime) -> JobResult:
     clients = tables["ifsdmclntpf"].select(code("clntnum").alias("client"), F.col("zemailadd").alias("email"), *ADDRESS)
     asked = flagged.join(links, "user_id").join(clients, "client")
     order: list[Column | str] = ["user_info_id", "client", "email", *ADDRESS]
-    asked = reuse(first_per_key(asked, "user_id", order).drop("client", "user_info_id"))
+    asked = reuse_keys(first_per_key(asked, "user_id", order).drop("client", "user_info_id"))
     requests = asked.drop("pwd_regen_flag").withColumn("user_id", F.col("user_id").cast("string"))
     queue, _ = enqueue_requests(tables["r_user_process"], requests, "user_id")
     new = {
