@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from duskwork.functions.dates import moment, stamp_text
 from duskwork.operators.audit import audit_rows
 from duskwork.operators.durable import reuse_keys
-from duskwork.operators.filters import is_aged, with_match
+from duskwork.operators.filters import is_aged, keep_matching, with_match
 from duskwork.operators.mutate import cascade_delete, is_true, update_keys
 from duskwork.plans.job import JobResult, Tables, union_audit
 from duskwork.sources.codes import EXPIRED, PENDING, TRANSACTION_TYPE
@@ -36,7 +36,10 @@ def expire_approvals(tables: Tables, as_of: datetime) -> JobResult:
     days = number_param(tables["r_sysparam"], DAYS)
     approvals = tables["pending_approval"]
     stale = approvals.where(is_aged("dt_submitted", days, as_of) & (F.col("pending_status") == PENDING))
-    marked = with_match(stale, tables["trx_ut"], "pending_approval_id", "has_trx")
+    stale = reuse_keys(stale)
+    # of all transactions, only those of stale approvals take part
+    theirs = keep_matching(tables["trx_ut"].select("pending_approval_id"), stale, "pending_approval_id")
+    marked = with_match(stale, theirs, "pending_approval_id", "has_trx")
     touched = reuse_keys(marked.where(F.col("has_trx") | is_true(F.col("pending_type") != TRANSACTION_TYPE)))
     deleted, expired = touched.where("has_trx"), touched.where(~F.col("has_trx"))
 

@@ -85,12 +85,12 @@ def mail_annual_report(tables: Tables, as_of: datetime) -> JobResult:
     """
     pending = tables["mail_temp"].where(F.col("status") == PENDING).select("mail_temp_id", "message")
     recipients = tables["mail_temp_rcpt"].select("mail_temp_id", code("clntnum").alias("client"))
-    recipients = keep_matching(recipients, pending, "mail_temp_id")
-    clients = tables["ifsdmclntpf"].withColumn("client", code("clntnum"))
+    recipients = reuse_keys(keep_matching(recipients, pending, "mail_temp_id"))
+    clients = keep_matching(tables["ifsdmclntpf"].withColumn("client", code("clntnum")), recipients, "client")
     names = first_per_key(clients, "client", ["surname", "givname", "race"]).select(
         "client", full_name("race", "surname", "givname").alias("to")
     )
-    users = tables["r_user_info"].withColumn("client", code("clntnum"))
+    users = keep_matching(tables["r_user_info"].withColumn("client", code("clntnum")), recipients, "client")
     users = first_per_key(users, "client", ["user_info_id"]).select("client", F.col("user_id").alias("owner_id"))
 
     # message texts are joined last: they do not travel through the numbering

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from duskwork.operators import filters, keys, mutate, ranking
+from duskwork.operators import durable, filters, keys, mutate, ranking
 from tests.helpers import ago
 
 FOLDER = "/root/testdata/sf0.001"
@@ -82,6 +82,23 @@ def test_hot_key_is_split(spark):
             assert joined.collect() and "skew=true" in plan_of(joined)
 
 
+def test_few_written_keys_leave_the_table_in_place(spark):
+    table = spark.range(10_000).withColumn("v", F.lit("a"))
+    keys_df = spark.range(100).withColumn("v", F.lit("b"))
+    with settings(
+        spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"
+    ):
+        for most, expected in ((1000, True), (10, False)):
+            kept = durable.reuse_keys(keys_df, most)
+            for df in (
+                mutate.delete_keys(table, kept, "id"), filters.keep_matching(table, kept, "id"),
+                mutate.update_keys(table, kept, "id", {"v": F.lit("z")}),
+            ):
+                assert ("BroadcastHashJoin" in plan_of(df)) is expected
+                assert ("SortMergeJoin" in plan_of(df)) is not expected
+            assert mutate.delete_keys(table, kept, "id").count() == 9900
+
+
 def test_newest_cutoffs_pass_on_few_rows(spark):
     mail = spark.range(5000).select(
         (F.col("id") % 2).alias("owner"), (F.lit(ago(0)).cast("timestamp_ntz") - F.make_dt_interval(secs=F.col("id"))).alias("t")
