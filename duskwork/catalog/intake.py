@@ -98,7 +98,7 @@ SELECT user_id, user_id AS user_info_id, client AS clntnum, email_notify_flag,
 FROM investor
 """)
 def new_users(source: Source):
-    result = new_investors(stand_ins.intake_tables(source), AFTER_ORDERS)
+    result = new_investors(stand_ins.client_tables(source), AFTER_ORDERS)
     return result.out["NEW_USER"].select(
         "user_id", "user_info_id", "clntnum", "email_notify_flag", "status", "pwd_regen_flag"
     )
@@ -110,13 +110,13 @@ SELECT user_id, user_id - (SELECT max(user_id) FROM users) AS user_role_id,
 FROM investor
 """)
 def role_fanout(source: Source):
-    roles = new_investors(stand_ins.intake_tables(source), AFTER_ORDERS).tables["r_user_role"]
+    roles = new_investors(stand_ins.client_tables(source), AFTER_ORDERS).tables["r_user_role"]
     return roles.select("user_id", "user_role_id", "role_id", "status")
 
 
 @query(f"{_INTAKE} SELECT user_id, client AS clntnum, email_notify_flag FROM agent")
 def new_advisers(source: Source):
-    people = new_agents(stand_ins.intake_tables(source), AFTER_ORDERS).out["NEW_AGENT"]
+    people = new_agents(stand_ins.client_tables(source), AFTER_ORDERS).out["NEW_AGENT"]
     return people.select("user_id", "clntnum", "email_notify_flag")
 
 
@@ -156,7 +156,7 @@ FROM users WHERE client IN (SELECT main FROM contract UNION SELECT joint FROM co
 AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBILE')
 """)
 def owner_roles(source: Source):
-    tables = stand_ins.intake_tables(source)
+    tables = stand_ins.client_tables(source)
     holders = source.customer.where(F.col("c_mktsegment") == "AUTOMOBILE")
     none = F.lit(None)
     tables["r_user_role"] = holders.select(

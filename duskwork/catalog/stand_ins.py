@@ -170,7 +170,7 @@ def mailing_tables(source: Source) -> dict[str, DataFrame]:
     }
 
 
-def intake_tables(source: Source) -> dict[str, DataFrame]:
+def client_tables(source: Source) -> dict[str, DataFrame]:
     """Customers are clients, orders contracts (joint owner: the client numbered
     like the smallest supplier of a not urgent order), customers with events
     users, suppliers in credit live advisers under ten times their own number."""
@@ -181,7 +181,6 @@ def intake_tables(source: Source) -> dict[str, DataFrame]:
     contracts = orders.join(joint, orders.o_orderkey == joint.l_orderkey, "left")
     active_users = source.events.select("user_id").distinct()
     users = customer.join(active_users, customer.c_custkey == active_users.user_id)
-    contract_number = F.col("o_orderkey").cast("string")
     return {
         "eod_log": run_log(spark, NEW_AGENT=datetime(2001, 7, 6), NEW_USER=datetime(2001, 7, 6)),
         "ifsdmclntpf": clients.select(
@@ -192,7 +191,7 @@ def intake_tables(source: Source) -> dict[str, DataFrame]:
         ),
         "ifsdmchdrpf": contracts.select(
             company().alias("chdrcoy"),
-            contract_number.alias("chdrnum"), client_number("o_custkey").alias("cownnum"),
+            F.col("o_orderkey").cast("string").alias("chdrnum"), client_number("o_custkey").alias("cownnum"),
             F.when(F.col("o_orderpriority") == "1-URGENT", "        ")
             .otherwise(F.coalesce(client_number("joint"), F.lit("        "))).alias("jownnum"),
             F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "IF").otherwise("LA").alias("statcode"),
@@ -220,6 +219,15 @@ def intake_tables(source: Source) -> dict[str, DataFrame]:
             F.lpad((F.col("s_suppkey") * 10).cast("string"), 8, "0").alias("clnt_num"),
             F.when(F.col("s_acctbal") > 0, "99999999").otherwise("20010101").alias("termination_date"),
         ),
+    }
+
+
+def intake_tables(source: Source) -> dict[str, DataFrame]:
+    """Client tables plus accounts (early orders), entities (rich users) and portfolios."""
+    customer, orders = source.customer, source.orders
+    users = customer.join(source.events.select("user_id").distinct(), F.col("c_custkey") == F.col("user_id"))
+    return {
+        **client_tables(source),
         "r_customer": users.where(F.col("c_acctbal") > 5000).select(
             F.col("c_custkey").alias("entityid"), text("IND").alias("customer_type"), text().alias("auth_type"),
             F.lit(None).cast("timestamp_ntz").alias("dt_created"), text().alias("created_by"),
@@ -231,7 +239,7 @@ def intake_tables(source: Source) -> dict[str, DataFrame]:
         "plan_acct": orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")).select(
             F.col("o_orderkey").alias("acctid"),
             company().alias("chdrcoy"),
-            contract_number.alias("chdrnum"), F.lit("A").alias("status"), F.lit(None).cast("bigint").alias("entity_id"),
+            F.col("o_orderkey").cast("string").alias("chdrnum"), F.lit("A").alias("status"), F.lit(None).cast("bigint").alias("entity_id"),
             F.lit(None).cast("timestamp_ntz").alias("dt_created"), text().alias("created_by"),
             F.lit(None).cast("timestamp_ntz").alias("dt_updated"), text().alias("updated_by"),
             *[text().alias(c) for c in _beneficiary()],
