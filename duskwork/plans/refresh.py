@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from duskwork.functions.dates import key_of, moment
 from duskwork.functions.text import code
+from duskwork.operators.durable import reuse
 from duskwork.operators.filters import join_side, keep_matching
 from duskwork.operators.incremental import high_water_mark
 from duskwork.operators.mutate import is_true, update_where
@@ -80,14 +81,18 @@ def user_facts(tables: Tables, as_of: datetime) -> dict[str, DataFrame]:
     """Sets of user ids the status rules ask about, by name."""
     today = key_of(as_of)
     info = tables["r_user_info"].select("user_id", "user_type", code("clntnum").alias("client"))
-    clients = tables["ifsdmclntpf"].select(code("clntnum").alias("client"), "cltmchg")
-    off_web = keep_matching(info, clients.where(F.col("cltmchg") == NO), "client")
+    web = tables["ifsdmclntpf"].groupBy(code("clntnum").alias("client")).agg(
+        F.max(F.col("cltmchg") == YES).alias("__on"), F.max(F.col("cltmchg") == NO).alias("__off")
+    )
+    # users with their web flags, and agents with their roles, feed most of the sets below
+    info = reuse(info.join(join_side(web.dropna(subset=["client"]), "client"), "client", "left"))
+    off_web = info.where("__off")
     external = info.where(F.col("user_type") == EXTERNAL_USER)
-    on_web = keep_matching(external, clients.where(F.col("cltmchg") == YES), "client")
+    on_web = external.where("__on")
 
     agents = tables["ifsdmaglfpf"].select("agntnum", "agntcoy", "zlfagtcl", "dtetrm", code("clntnum").alias("client"))
     roles = tables["r_role"].select("role_id", "role_type")
-    agent_roles = agents.join(tables["r_agt_cl_role_map"], "zlfagtcl").join(roles, "role_id")
+    agent_roles = reuse(agents.join(tables["r_agt_cl_role_map"], "zlfagtcl").join(roles, "role_id"))
     other = ~F.col("role_type").isin(ROLE_INVESTOR, ROLE_ADVISER)
     open_after, open_from = F.col("dtetrm") > today, F.col("dtetrm") >= today
     front_end = F.col("agntcoy").isin(*FRONT_END_COMPANIES)

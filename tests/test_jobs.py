@@ -337,6 +337,24 @@ def test_beneficiaries_need_one_account(spark):
     assert rows(loose.tables["portfolio"], "acct_id") == [(1,), (2,), (3,)]
 
 
+def test_investor_role_must_be_unique(spark):
+    role = lambda i: {"role_id": i, "role_nm": "INVESTOR", "role_type": "I"}
+    t = intake_case(spark, r_role=[role(5), role(6)])
+    with pytest.raises(Exception, match="(?i)subquery"):
+        intake.new_investors(t, AS_OF).tables["r_user_role"].collect()
+    t = intake_case(spark, r_role=[])
+    roles = intake.new_investors(t, AS_OF).tables["r_user_role"].where("user_role_id > 300")
+    assert {r for (r,) in rows(roles, "role_id")} == {None}
+
+
+def test_appended_rows_combine_over_steps(spark):
+    t = intake_case(spark)
+    r = plans.chain(t, AS_OF, intake.new_agents, intake.new_investors)
+    for name in ("r_user", "r_user_info"):
+        assert rows(t[name].unionByName(r.appended[name])) == rows(r.tables[name])
+    assert r.appended["r_user"].count() == 1 + 4  # one agent, four investors
+
+
 def test_get_entities_treats_blank_and_null_alike(spark):
     t = tables(
         spark, r_custuser_matrix=[{"entity_id": 1, "relationship": "JO1", "user_info_id": 1}],

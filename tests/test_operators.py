@@ -8,6 +8,7 @@ from duskwork.operators import filters, incremental, joins, keys, lookup, mutate
 from duskwork.operators.audit import append_audit, audit_rows, enqueue_requests, run_log_row
 from duskwork.operators.entities import joint_group, resolve_entities, sole_member_group
 from duskwork.sources.schemas import make_table
+from duskwork.sources.tables import project_columns, read_tables, write_tables
 from tests.helpers import AS_OF, ago, rows
 
 
@@ -116,6 +117,13 @@ def test_delete_update_move(spark):
     assert rows(kept.union(archive)) == rows(df) and archive.count() == 1
 
 
+def test_tables_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    write_tables({"t": df}, str(tmp_path))
+    back = read_tables(spark, str(tmp_path), ["t"])["t"]
+    assert rows(project_columns(back)) == [(1, "a")] and project_columns(back, "v").columns == ["v"]
+
+
 def test_append_checks(spark):
     df = spark.createDataFrame([(1, "a")], "id int, v string")
     with pytest.raises(ValueError):
