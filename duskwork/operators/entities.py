@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duskwork.operators.filters import join_side, keep_matching
+from duskwork.operators.filters import drop_matching, join_side, keep_matching
 from duskwork.sources.codes import FIRST_OWNER, NO_ENTITY, SECOND_OWNER
 
 HEAVY_GROUP = 32
 
+Settle = Callable[[DataFrame], DataFrame]
+
+
+def unsettled(df: DataFrame) -> DataFrame:
+    return df
+
 
 def sole_member_group(members: DataFrame, group: str, member: str) -> DataFrame:
     """For each member, the latest group that has no other member.
@@ -27,6 +35,7 @@ def sole_member_group(members: DataFrame, group: str, member: str) -> DataFrame:
 def joint_group(
     members: DataFrame, wanted: DataFrame, group: str, member: str, role: str, first: str, second: str,
     first_role: str = FIRST_OWNER, second_role: str = SECOND_OWNER, heavy: int = HEAVY_GROUP,
+    settle: Settle = unsettled,
 ) -> DataFrame:
     """For each wanted (first, second) pair, the latest group with ``first`` as
     its first and ``second`` as its second owner. Pairs without one are absent.
@@ -34,6 +43,7 @@ def joint_group(
     Ordinary groups are expanded into their pairs. A group with more than
     ``heavy`` first or second owners is not: there each wanted pair is checked
     against the group's members by equality joins. Both ways are exact.
+    ``settle`` may write out the (few) crowded groups and mark them for broadcast.
     """
     wanted = wanted.select(first, second).dropna().distinct()
     firsts = members.where(F.col(role) == first_role).select(group, F.col(member).alias(first))
@@ -44,14 +54,11 @@ def joint_group(
     sizes = (
         firsts.groupBy(group).agg(F.count(F.lit(1)).alias("__owners"))
         .unionByName(seconds.groupBy(group).agg(F.count(F.lit(1)).alias("__owners")))
-        .groupBy(group).agg((F.max("__owners") > heavy).alias("__heavy"))
-    )
-    firsts = firsts.join(join_side(sizes, group), group)
-    light = firsts.where(~F.col("__heavy")).drop("__heavy").join(seconds, group)
-    crowded = (
-        firsts.where("__heavy").drop("__heavy").join(wanted, first)
-        .join(seconds, [group, second], "left_semi")
+        .where(F.col("__owners") > heavy).select(group).distinct()
     )
+    big = settle(sizes)
+    light = drop_matching(firsts, big, group).join(drop_matching(seconds, big, group), group)
+    crowded = keep_matching(firsts, big, group).join(wanted, first).join(seconds, [group, second], "left_semi")
     found = (
         light.select(first, second, group).unionByName(crowded.select(first, second, group))
         .groupBy(first, second).agg(F.max(group).alias(group))
@@ -59,7 +66,7 @@ def joint_group(
     return keep_matching(found, wanted, [first, second])
 
 
-def resolve_entities(pairs: DataFrame, matrix: DataFrame, users: DataFrame) -> DataFrame:
+def resolve_entities(pairs: DataFrame, matrix: DataFrame, users: DataFrame, settle: Settle = unsettled) -> DataFrame:
     """``main``, ``joint`` pairs with their ``entity_id``, or -999.
 
     A NULL ``joint`` asks for the main owner's own entity. ``users`` links
@@ -75,7 +82,7 @@ def resolve_entities(pairs: DataFrame, matrix: DataFrame, users: DataFrame) -> D
     alone = pairs.where(F.col("joint").isNull()).join(join_side(single, "main"), "main", "left")
     both = pairs.where(F.col("joint").isNotNull())
     together = both.join(
-        joint_group(members, both, "entity_id", "clntnum", "relationship", "main", "joint"),
+        joint_group(members, both, "entity_id", "clntnum", "relationship", "main", "joint", settle=settle),
         ["main", "joint"], "left",
     )
     return alone.select("main", "joint", "entity_id").unionByName(

@@ -137,7 +137,7 @@ def new_entities(tables: Tables, contracts: DataFrame) -> DataFrame:
     """
     pairs = contracts.select("main", "joint").distinct()
     members = tables["r_user_info"].select("user_info_id", code("clntnum").alias("clntnum"))
-    found = reuse(resolve_entities(pairs, tables["r_custuser_matrix"], members))
+    found = reuse(resolve_entities(pairs, tables["r_custuser_matrix"], members, reuse_keys))
     known = found.where(F.col("entity_id") != NO_ENTITY)
     missing = found.where(F.col("entity_id") == NO_ENTITY).select("main", *_pair()[1:])
     opener = F.min(F.struct("chdrcoy", "chdrnum", "dueflg")).alias("__opener")
