@@ -7,7 +7,9 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwork.llm import chat_format, exact_dedup, license_scan, line_dedup, mixing, token_store
+from duskwork.llm import (
+    chat_format, decontamination, exact_dedup, license_scan, line_dedup, mixing, ngram_join, token_store, toxicity,
+)
 from duskwork.llm.frames import map_slices, table, texts_of, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -58,10 +60,19 @@ FROM d WINDOW g AS (PARTITION BY t)
 """
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(token_store.write_shards(table(spark, sf_dir, "documents")))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -89,6 +100,26 @@ FROM (SELECT *, unnest(range(0, copies)) AS copy FROM counted)
 """
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_ngram_join"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh FROM d),
+t AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+b AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM t x JOIN t y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, b.b FROM reach JOIN b ON reach.b = b.a)
+SELECT s.doc_id, len(sh) AS n_shingles, c.component_id
+FROM s JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -122,5 +153,8 @@ FROM sized GROUP BY conv_id
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_line_dedup, op3_exact_dedup, op5_token_store, op7_source_mixing, op9_license_scan, op10_chat_format)
+    for f in (
+        op2_line_dedup, op3_exact_dedup, op4_decontamination, op5_token_store, op6_toxicity, op7_source_mixing,
+        op8_ngram_join, op9_license_scan, op10_chat_format,
+    )
 }
