@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwork.llm import (
-    chat_format, decontamination, exact_dedup, license_scan, line_dedup, mixing, ngram_join, token_store, toxicity,
+    chat_format, decontamination, exact_dedup, license_scan, line_dedup, mixing, ngram_join, pii, token_store, toxicity,
 )
 from duskwork.llm.frames import map_slices, table, texts_of, written
 
@@ -16,6 +16,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE: dict[str, str] = {}
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
 def with_sha256(df: DataFrame, ddl: str) -> DataFrame:
     """Replace ``text`` by kept_sha256; ``ddl`` lists the other columns."""
     names = [field.split()[0] for field in ddl.split(", ")]
@@ -154,7 +161,7 @@ FROM sized GROUP BY conv_id
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_line_dedup, op3_exact_dedup, op4_decontamination, op5_token_store, op6_toxicity, op7_source_mixing,
+        op1_personal_data, op2_line_dedup, op3_exact_dedup, op4_decontamination, op5_token_store, op6_toxicity, op7_source_mixing,
         op8_ngram_join, op9_license_scan, op10_chat_format,
     )
 }
