@@ -270,6 +270,35 @@ def beneficiary_copy(source: Source):
     return state.select("acctid", "beneficial_name", "branch_name", "updated_by")
 
 
+@query("""
+WITH ref AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+own AS (SELECT o_orderkey, o_custkey FROM orders UNION SELECT o_orderkey, 1 FROM orders WHERE o_totalprice > 400000),
+n AS (SELECT o_orderkey, count(*) AS accounts, min(o_custkey) AS acctid FROM own WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1),
+last AS (
+  SELECT acctid, p_name FROM ref JOIN n ON o_orderkey = l_orderkey AND accounts = 1 JOIN part ON p_partkey = l_partkey
+  QUALIFY row_number() OVER (PARTITION BY acctid ORDER BY l_orderkey DESC, l_partkey DESC) = 1),
+bad AS (SELECT count(*) AS n FROM n WHERE accounts > 1 AND o_orderkey IN (SELECT l_orderkey FROM ref))
+SELECT 'account' AS what, c_custkey AS number, p_name AS name FROM customer LEFT JOIN last ON acctid = c_custkey
+UNION ALL SELECT 'ambiguous', n, NULL FROM bad
+UNION ALL SELECT 'failures', 1, 'updatebeneficialplanacct' FROM bad WHERE n > 0
+""")
+def beneficiary_ambiguous(source: Source):
+    """References that lead to a second account are left out and logged; the others go on."""
+    tables = stand_ins.beneficiary_tables(source)
+    second = source.orders.where(F.col("o_totalprice") > 400000).select(
+        F.rpad(stand_ins.client_number("o_orderkey"), 10, " ").alias("ztranref"), F.lit("2").alias("chdrcoy"), F.lit("1").alias("chdrnum")
+    )
+    tables["ifsdmutrnpf"] = tables["ifsdmutrnpf"].unionByName(second)
+    references = tables["trx_ut"].select(trimmed("e_reference_number").alias("reference")).distinct()
+    result = copy_beneficiaries(tables, references, AFTER_ORDERS)
+    accounts = result.tables["plan_acct"].select(F.lit("account").alias("what"), F.col("acctid").alias("number"), F.col("beneficial_name").alias("name"))
+    bad = result.out["ambiguous_references"].agg(F.count(F.lit(1)).alias("number"))
+    log = result.tables["eod_log"].groupBy("eod_proc_name").agg(F.count(F.lit(1)).alias("number"))
+    return accounts.unionByName(bad.select(F.lit("ambiguous").alias("what"), "number", F.lit(None).cast("string").alias("name"))).unionByName(
+        log.select(F.lit("failures").alias("what"), "number", F.col("eod_proc_name").alias("name"))
+    )
+
+
 @query("""
 WITH f AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders)
 SELECT c_custkey, coalesce(o_orderpriority, c_mktsegment) AS c_mktsegment,

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from duskwork.catalog.registry import Source, query
+from duskwork.catalog.registry import AFTER_ORDERS, Source, query
 from duskwork.functions.text import like_pattern
-from duskwork.operators.joins import all_combinations, either_owner_join
+from duskwork.operators.joins import all_combinations, either_owner_join, pattern_matches
 from duskwork.operators.joins import derived_key_join as key_join
 from duskwork.operators.lookup import Step, choose_pattern
 from duskwork.operators.lookup import cascade_lookup as cascade
 from duskwork.operators.lookup import chunk_scan as scan_segments
 from duskwork.operators.mutate import merge_upsert as upsert
+from duskwork.operators.mutate import move_rows
 from duskwork.operators.roles import union_distinct
+from duskwork.plans.alerts import alert_by_account, alert_by_fund
 from duskwork.plans.alerts import band_alert as alerts_outside
 
 
@@ -128,6 +130,70 @@ def pattern_fallback(source: Source):
     )
 
 
+@query("""
+WITH t AS (SELECT DISTINCT p_size || '%_' || p_brand AS item FROM part),
+p AS (SELECT DISTINCT '%\\%\\_' || p_brand || '%' AS pattern FROM part UNION SELECT DISTINCT p_size || '\\%%' FROM part)
+SELECT pattern, count(*) AS items, min(item) AS first_item FROM p JOIN t ON item LIKE pattern ESCAPE '\\' GROUP BY 1
+""")
+def escaped_patterns(source: Source):
+    part = source.part
+    texts = part.select(F.concat(F.col("p_size").cast("string"), F.lit("%_"), "p_brand").alias("item"))
+    patterns = part.select(F.concat(F.lit("%\\%\\_"), "p_brand", F.lit("%")).alias("pattern")).union(
+        part.select(F.concat(F.col("p_size").cast("string"), F.lit("\\%%")))
+    )
+    return pattern_matches(patterns, "pattern", texts, "item").groupBy("pattern").agg(
+        F.count(F.lit(1)).alias("items"), F.min("item").alias("first_item")
+    )
+
+
+@query("""
+WITH p AS (SELECT l_suppkey, l_extendedprice, rank() OVER (PARTITION BY l_suppkey ORDER BY CAST(l_shipdate AS DATE) DESC) AS n FROM lineitem)
+SELECT s_suppkey AS fund_alert_id, s_nationkey AS user_id, 20000.0 AS floor, 80000.0 AS ceiling, l_extendedprice AS ubidpr
+FROM supplier JOIN p ON l_suppkey = s_suppkey WHERE n = 1 AND (l_extendedprice <= 20000 OR l_extendedprice >= 80000)
+""", name="alert_by_fund")
+def _alert_by_fund(source: Source):
+    tables = {
+        "fund_alert": source.supplier.select(
+            F.col("s_suppkey").alias("fund_alert_id"), F.col("s_nationkey").alias("user_id"),
+            F.lit(20000.0).alias("floor"), F.lit(80000.0).alias("ceiling"),
+        ),
+        "ifsdmvprcpf": source.lineitem.select(
+            F.col("l_suppkey").alias("vrtfnd"), F.col("l_extendedprice").alias("ubidpr"),
+            F.date_format("l_shipdate", "yyyyMMdd").cast("int").alias("effdate"),
+        ),
+    }
+    return alert_by_fund(tables, AFTER_ORDERS).out["alerts"]
+
+
+@query("""
+WITH p AS (SELECT o_custkey, o_totalprice, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS n FROM orders)
+SELECT c_custkey AS acct_id, c_nationkey AS user_id, c_acctbal * 10 AS floor, 400000.0 AS ceiling, o_totalprice AS ubidpr
+FROM customer JOIN p ON o_custkey = c_custkey WHERE n = 1 AND (o_totalprice <= c_acctbal * 10 OR o_totalprice >= 400000)
+""", name="alert_by_account")
+def _alert_by_account(source: Source):
+    tables = {
+        "acct_alert": source.customer.select(
+            F.col("c_custkey").alias("acct_id"), F.col("c_nationkey").alias("user_id"),
+            (F.col("c_acctbal") * 10).alias("floor"), F.lit(400000.0).alias("ceiling"),
+        ),
+        "account_value": source.orders.select(
+            F.col("o_custkey").alias("acct_id"), F.col("o_totalprice").alias("ubidpr"), F.col("o_orderdate").alias("effdate"),
+        ),
+    }
+    return alert_by_account(tables, AFTER_ORDERS).out["alerts"]
+
+
+@query("""
+WITH poor AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+SELECT o_orderkey, o_custkey, o_custkey IN (SELECT c_custkey FROM poor) AS archived FROM orders
+""", name="move_rows")
+def _move_rows(source: Source):
+    orders = source.orders.select("o_orderkey", "o_custkey")
+    poor = source.customer.where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
+    kept, archive = move_rows(orders, orders.limit(0), poor, "o_custkey")
+    return kept.withColumn("archived", F.lit(False)).unionByName(archive.withColumn("archived", F.lit(True)))
+
+
 @query("""
 WITH t AS (SELECT p_brand, p_type, min(p_size) AS size, 'kept' AS origin FROM part WHERE p_size <= 15 GROUP BY 1, 2),
 s AS (SELECT p_brand, p_type, max(p_size) AS size FROM part WHERE p_size > 40 GROUP BY 1, 2)

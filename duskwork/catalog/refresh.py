@@ -38,8 +38,7 @@ k AS (
 act AS (SELECT * FROM k WHERE coy IN ('2', '3')),
 own AS (SELECT o_custkey AS user_id FROM act UNION SELECT lowest FROM act WHERE lowest IS NOT NULL),
 held AS (
-  SELECT DISTINCT o_custkey AS user_id, CASE o_orderstatus WHEN 'F' THEN 'V' WHEN 'O' THEN 'I' ELSE 'M' END AS kind
-  FROM orders WHERE o_orderdate > TIMESTAMP '2001-03-01'),
+  SELECT DISTINCT o_custkey AS user_id, CASE o_orderstatus WHEN 'F' THEN 'V' WHEN 'O' THEN 'I' ELSE 'M' END AS kind FROM orders),
 facts AS (
   SELECT u.*, web AND external AS ok, user_id IN (SELECT user_id FROM own) AS owned,
     user_id IN (SELECT user_id FROM ag WHERE kind = 'M' AND live) AS m_live,
@@ -77,7 +76,7 @@ def user_refresh(source: Source):
 WITH brand AS (SELECT 'B' || split_part(p_brand, '#', 2) AS crtable, max(p_retailprice) AS top FROM part GROUP BY 1),
 frequency AS (SELECT DISTINCT substr(o_orderpriority, 1, 1) AS billfreq FROM orders),
 item AS (
-  SELECT DISTINCT 'EX' || substr(o_orderpriority, 1, 1) || o_orderstatus || '1' AS item FROM orders WHERE o_totalprice > 450000
+  SELECT DISTINCT 'EX' || substr(o_orderpriority, 1, 1) || o_orderstatus || '1' AS item FROM orders
   UNION SELECT DISTINCT 'EX**' || CASE WHEN p_size > 25 THEN 'F' ELSE '-' END || substr(p_type, 1, 2) FROM part),
 k AS (
   SELECT crtable, billfreq, chdrcoy,
@@ -104,11 +103,11 @@ k AS (
     SELECT DISTINCT a.l_orderkey, a.unityp, b.batctrcde, b.sacstyp FROM line a JOIN line b USING (l_orderkey, l_partkey)
     UNION SELECT l_orderkey, 'Z', batctrcde, sacstyp FROM line WHERE unityp = 'N') ON l_orderkey = o_orderkey),
 item AS (
-  SELECT DISTINCT 'x' || batctrcde || sacstyp || unityp AS item FROM line WHERE l_shipdate > TIMESTAMP '2001-10-20'
-  UNION SELECT DISTINCT '****' || sacstyp || unityp FROM line WHERE l_shipdate < TIMESTAMP '1995-01-12'),
+  SELECT DISTINCT 'x' || batctrcde || sacstyp || unityp AS item FROM line
+  UNION SELECT DISTINCT '****' || sacstyp || unityp FROM line),
 pointer AS (
   SELECT DISTINCT 'T' || o_orderstatus || 'C' || substr(o_orderpriority, 1, 1) || 'A' AS item
-  FROM orders WHERE o_totalprice > 400000),
+  FROM orders),
 s AS (
   SELECT k.*, CASE
     WHEN batctrcde || sacstyp = 'TFS1' AND EXISTS (SELECT 1 FROM pointer WHERE item LIKE '%' || batctrcde || cnttype || unityp || '%')

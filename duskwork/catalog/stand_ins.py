@@ -284,7 +284,7 @@ def portfolio_tables(source: Source) -> dict[str, DataFrame]:
             F.col("p_size").cast("bigint").alias("aa_class_id"), F.col("p_partkey").alias("portfolio_id"),
             F.col("p_retailprice").alias("percentage"),
         ),
-        "tmp_account": part.where(F.lit(False)).select(
+        "tmp_account": part.select(
             F.col("p_partkey").alias("account_temp_id"), *[text().alias(c) for c in _beneficiary()]
         ),
         "portfolio": empty(
@@ -341,7 +341,7 @@ def entity_tables(source: Source) -> dict[str, DataFrame]:
 
 
 def refresh_tables(source: Source) -> dict[str, DataFrame]:
-    """Customers are users; recent orders say which roles they hold; suppliers are
+    """Customers are users; orders say which roles they hold; suppliers are
     agents of the customer numbered ten times their own key, in their nation's
     region's role; orders are contracts served by their smallest supplier."""
     spark, customer, orders = source.spark, source.customer, source.orders
@@ -350,7 +350,6 @@ def refresh_tables(source: Source) -> dict[str, DataFrame]:
     )
     lowest = source.lineitem.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("lowest"))
     contracts = orders.join(lowest, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    recent = orders.where(F.col("o_orderdate") > F.lit("2001-03-01").cast("timestamp_ntz"))
     role = decode("o_orderstatus", [("F", 2), ("O", 3)], 0).cast("bigint")
     none = F.lit(None)
     return {
@@ -383,8 +382,8 @@ def refresh_tables(source: Source) -> dict[str, DataFrame]:
         "r_agt_cl_role_map": source.region.select(
             F.col("r_name").alias("zlfagtcl"), F.col("r_regionkey").cast("bigint").alias("role_id")
         ),
-        "v_userrole": recent.select(F.col("o_custkey").alias("user_id"), role.alias("role_id")),
-        "r_user_role": recent.where(F.col("o_orderstatus") == "O").select(
+        "v_userrole": orders.select(F.col("o_custkey").alias("user_id"), role.alias("role_id")),
+        "r_user_role": orders.where(F.col("o_orderstatus") == "O").select(
             F.col("o_custkey").alias("user_id"), role.alias("role_id")
         ),
         "ifsdmchdrpf": contracts.select(
@@ -409,7 +408,7 @@ def note_tables(source: Source) -> dict[str, DataFrame]:
     part, orders = source.part, source.orders
     brand = F.concat(F.lit("B"), F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)))
     frequency = F.substring("o_orderpriority", 1, 1)
-    by_frequency = orders.where(F.col("o_totalprice") > 450000).select(
+    by_frequency = orders.select(
         F.concat(F.lit("EX"), frequency, F.substring("o_orderstatus", 1, 1), F.lit("1")).alias("itemitem")
     ).distinct()
     generic = part.select(
@@ -449,20 +448,18 @@ def description_tables(source: Source) -> dict[str, DataFrame]:
         F.col("l_returnflag").alias("unityp"), F.concat(F.lit("T"), F.col("l_linestatus")).alias("batctrcde"),
         F.concat(F.lit("S"), F.col("l_linenumber").cast("string")).alias("sacstyp"),
     )
-    late = lines.where(F.col("l_shipdate") > F.lit("2001-10-20").cast("timestamp_ntz"))
-    early = lines.where(F.col("l_shipdate") < F.lit("1995-01-12").cast("timestamp_ntz"))
     batch_item = F.concat(
         F.lit("xT"), F.col("l_linestatus"), F.lit("S"), F.col("l_linenumber").cast("string"), F.col("l_returnflag")
     )
     any_item = F.concat(F.lit("****S"), F.col("l_linenumber").cast("string"), F.col("l_returnflag"))
-    pointers = orders.where(F.col("o_totalprice") > 400000).select(
+    pointers = orders.select(
         F.concat(F.lit("T"), F.substring("o_orderstatus", 1, 1), F.lit("C"), F.substring("o_orderpriority", 1, 1), F.lit("A"))
         .alias("itemitem")
     ).distinct()
     codes = lambda df, code: df.select(code.alias("itemitem")).distinct()
     head = [F.lit("IT").alias("itempfx"), F.lit("2").alias("itemcoy"), "itemitem"]
-    described = codes(late, batch_item).union(codes(early, any_item)).union(codes(source.region, F.lit("TARGET77")))
-    target = F.concat(F.rpad(F.lit("nothing here"), 78, "."), F.rpad(F.lit("TARGET77 TFS1"), 78, "."))
+    described = codes(lines, batch_item).union(codes(lines, any_item)).union(codes(source.region, F.lit("TARGET77")))
+    target = F.concat(F.rpad(F.lit("nothing here"), 78 * 7, "."), F.rpad(F.lit("TARGET77 TFS1"), 78, "."))
     return {
         "ifsdmchdrpf": orders.select(
             company().alias("chdrcoy"), F.col("o_orderkey").cast("string").alias("chdrnum"),
@@ -491,6 +488,7 @@ def beneficiary_tables(source: Source) -> dict[str, DataFrame]:
     number = F.col("c_custkey").cast("string").alias("chdrnum")
     staged = {"beneficial_name": F.col("p_name"), "branch_name": F.col("p_brand")}
     return {
+        "eod_log": empty(source.spark, LOG_SCHEMA),
         "trx_ut": lines.select(
             client_number("l_orderkey").alias("e_reference_number"), F.col("l_partkey").alias("account_id")
         ),

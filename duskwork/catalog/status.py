@@ -18,20 +18,20 @@ from duskwork.sources.params import param, set_param
 
 
 @query("""
-SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-03' GROUP BY 1
+SELECT user_id, CAST(ts AS DATE) AS day FROM events GROUP BY 1, 2
 HAVING count(DISTINCT event_type) = 2 AND bool_or(event_type = 'click') AND bool_or(event_type = 'view')
 """)
 def role_set_exact(source: Source):
-    early = source.events.where(F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz"))
-    return role_set(early, "user_id", "event_type", ["click", "view"])
+    daily = source.events.withColumn("day", F.to_date("ts"))
+    return role_set(daily, ["user_id", "day"], "event_type", ["click", "view"])
 
 
 @query("""
-SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-03' GROUP BY 1 HAVING count(DISTINCT event_type) = 2
+SELECT user_id, CAST(ts AS DATE) AS day FROM events GROUP BY 1, 2 HAVING count(DISTINCT event_type) = 2
 """)
 def two_roles(source: Source):
-    early = source.events.where(F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz"))
-    return roles_held(early, "user_id", "event_type", 2)
+    daily = source.events.withColumn("day", F.to_date("ts"))
+    return roles_held(daily, ["user_id", "day"], "event_type", 2)
 
 
 @query("""

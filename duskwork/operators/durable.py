@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="duskwork-checkpoint-")
     context.setCheckpointDir(folder)

@@ -12,6 +12,8 @@ from duskwork.operators.filters import Keys, key_list
 
 GRAM = 8
 PRODUCT_SLICES = 16
+# (escaped in a pattern, literal, stand-in from the private use area), backslash first
+ESCAPES = (("\\\\", "\\", "\ue001"), ("\\%", "%", "\ue002"), ("\\_", "_", "\ue003"))
 
 
 def derived_key_join(
@@ -58,8 +60,22 @@ def all_combinations(left: DataFrame, right: DataFrame, slices: int = PRODUCT_SL
 
 
 def _anchor(pattern: Column, prefix: bool, gram: int) -> Column:
-    """Literal text every match of the pattern must contain (or start with)."""
-    plain = lambda run: F.replace(run, F.lit("\\\\"), F.lit("\\"))
+    """Literal text every match of the pattern must contain (or start with).
+
+    Escaped characters are literal: they're swapped for stand-ins while the
+    pattern is cut at its wildcards. A pattern that holds such a stand-in itself
+    gets the empty anchor, which every text has.
+    """
+    swapped, original = pattern, pattern
+    for escaped, literal, stand_in in ESCAPES:
+        swapped = F.replace(swapped, F.lit(escaped), F.lit(stand_in))
+    pattern = swapped
+
+    def plain(run: Column) -> Column:
+        for _, literal, stand_in in ESCAPES:
+            run = F.replace(run, F.lit(stand_in), F.lit(literal))
+        return run
+
     if prefix:
         run = plain(F.regexp_extract(pattern, "^[^%_]*", 0))
     else:
@@ -68,7 +84,8 @@ def _anchor(pattern: Column, prefix: bool, gram: int) -> Column:
             lambda r: F.struct(F.length(plain(r)).alias("size"), plain(r).alias("run")),
         )
         run = F.array_max(runs)["run"]
-    return F.substring(run, 1, gram)
+    taken = F.rlike(original, F.lit("[" + "".join(s for _, _, s in ESCAPES) + "]"))
+    return F.when(taken, F.lit("")).otherwise(F.substring(run, 1, gram))
 
 
 def _grams(text: Column, prefix: bool, gram: int) -> Column:
@@ -103,19 +120,15 @@ def pattern_matches(
 
 
 def unique_rows(df: DataFrame, key: Keys, what: str) -> DataFrame:
-    """``df`` as one row per key; running it fails if a key has several rows."""
+    """``df`` as one row per key; running it fails if a key has several rows.
+
+    The check is a filter, so it runs whatever columns are read afterwards.
+    """
     names = key_list(key)
     rest = [c for c in df.columns if c not in names]
     packed = df.groupBy(*names).agg(
         F.count(F.lit(1)).alias("__rows"), F.first(F.struct(*rest) if rest else F.lit(1)).alias("__row")
     )
-    checked = packed.withColumn(
-        "__row",
-        F.when(
-            F.col("__rows") > 1,
-            F.raise_error(
-                F.concat(F.lit(f"{what}: several rows for key "), F.to_json(F.struct(*names)))
-            ),
-        ).otherwise(F.col("__row")),
-    )
+    twice = F.raise_error(F.concat(F.lit(f"{what}: several rows for key "), F.to_json(F.struct(*names))))
+    checked = packed.where(F.when(F.col("__rows") > 1, twice.cast("boolean")).otherwise(F.lit(True)))
     return checked.select(*names, *[F.col("__row")[c].alias(c) for c in rest])

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwork.operators.filters import Keys, drop_matching, join_side, keep_matching, key_list, keys_of, with_match
-from duskwork.operators.joins import unique_rows
 
 Sets = Mapping[str, Column]
 
@@ -74,42 +73,61 @@ def update_keys(target: DataFrame, keys: DataFrame, on: Keys, sets: Sets) -> Dat
     return update_where(marked, F.col("__hit"), sets).drop("__hit")
 
 
+def once_per_key(joined: DataFrame, names: Sequence[str], what: str) -> DataFrame:
+    """Fail where a row has met a key with several source rows (``__rows``).
+
+    A filter above the join, so it runs whatever columns are read afterwards.
+    """
+    twice = F.raise_error(F.concat(F.lit(f"{what} rows for key "), F.to_json(F.struct(*names))))
+    return joined.where(F.when(F.col("__rows") > 1, twice.cast("boolean")).otherwise(F.lit(True)))
+
+
 def update_from(target: DataFrame, source: DataFrame, on: Keys, copies: Mapping[str, str], sets: Sets | None = None) -> DataFrame:
     """Overwrite columns with those of the matching source row.
 
     ``copies`` maps target column to source column; ``sets`` adds fixed values
-    for matched rows. A source value of NULL overwrites too. Two source rows for
-    one key are an error.
+    for matched rows. A source value of NULL overwrites too. A target row matched by
+    two source rows is an error.
     """
     names = key_list(on)
     wanted = sorted(set(copies.values()))
-    src = source.select(*names, *[F.col(c).alias(f"__src_{c}") for c in wanted])
-    src = unique_rows(src.dropna(how="any", subset=names), names, "update")
-    src = join_side(src.withColumn("__hit", F.lit(True)), names)
-    values: dict[str, Column] = {t: F.col(f"__src_{s}") for t, s in copies.items()}
+    rest = F.struct(*[F.col(c).alias(f"__src_{c}") for c in wanted]) if wanted else F.lit(1)
+    packed = source.dropna(how="any", subset=names).groupBy(*names).agg(
+        F.count(F.lit(1)).alias("__rows"), F.first(rest).alias("__row")
+    )
+    src = join_side(packed.withColumn("__hit", F.lit(True)), names)
+    values: dict[str, Column] = {t: F.col("__row")[f"__src_{s}"] for t, s in copies.items()}
     values.update(sets or {})
-    merged = target.join(src, names, "left")
+    merged = once_per_key(target.join(src, names, "left"), names, "update: several")
     return update_where(merged, F.col("__hit"), values).select(*target.columns)
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, on: Keys, update: Sets, insert: Sets
+    target: DataFrame, source: DataFrame, on: Keys, update: Sets, insert: Sets, null_safe: bool = False
 ) -> DataFrame:
     """Update target rows that have a source row, append source rows that have none.
 
     ``update`` and ``insert`` are expressions over source columns; columns
     left out of ``insert`` become NULL. A target row matched by two source rows
-    is an error; unmatched source rows are all inserted. NULL keys never match.
+    is an error; unmatched source rows are all inserted. NULL keys never match,
+    unless ``null_safe``: then a NULL in a key equals another NULL, so that running a
+    merge again changes nothing.
     """
     names = key_list(on)
+    if null_safe:
+        packed_key = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+        keyed = merge_upsert(
+            target.withColumn("__key", packed_key), source.withColumn("__key", packed_key), "__key", update,
+            {**insert, "__key": F.col("__key")},
+        )
+        return keyed.drop("__key")
     new_values = F.struct(*[expression.alias(c) for c, expression in update.items()])
     packed = source.dropna(how="any", subset=names).select(*names, new_values.alias("__new")).groupBy(*names).agg(
         F.count(F.lit(1)).alias("__rows"), F.first("__new").alias("__new")
     )
     present = target.join(join_side(packed, names), names, "left")
-    twice = F.raise_error(F.concat(F.lit("merge: several source rows for key "), F.to_json(F.struct(*names))))
-    changes = {c: F.when(F.col("__rows") > 1, twice).otherwise(F.col("__new")[c]) for c in update}
-    updated = update_where(present, F.col("__rows").isNotNull(), changes).select(*target.columns)
+    present = once_per_key(present, names, "merge: several source")
+    updated = update_where(present, F.col("__rows").isNotNull(), {c: F.col("__new")[c] for c in update}).select(*target.columns)
     fresh = drop_matching(source, target, names)
     inserted = fresh.select(
         *[

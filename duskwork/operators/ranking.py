@@ -21,11 +21,12 @@ def newest_cutoffs(df: DataFrame, key: str, ts: str, counts: Sequence[int], salt
     """For each key, its n-th newest timestamp for every n in ``counts``.
 
     Columns: the key and ``newest_<n>``, NULL where the key has fewer than n
-    timed rows. Each salted sub-group passes on at most max(counts) timestamps.
+    timed rows. Each salted sub-group passes on at most max(counts) timestamps. Salts go by
+    input partition as well as by time, so many rows with one time are spread too.
     """
     deepest = max(counts)
     timed = df.where(F.col(ts).isNotNull()).select(
-        key, ts, F.pmod(F.xxhash64(ts), F.lit(salts)).alias("__salt")
+        key, ts, F.pmod(F.xxhash64(ts, F.spark_partition_id()), F.lit(salts)).alias("__salt")
     )
     newest_first = F.col(ts).desc()
     part = Window.partitionBy(key, "__salt").orderBy(newest_first)
@@ -56,12 +57,13 @@ def beyond_newest(df: DataFrame, key: str, ts: str, n: int) -> DataFrame:
 def latest_per_key(df: DataFrame, key: Keys, ts: str) -> DataFrame:
     """Rows carrying the greatest ``ts`` of their key, ties included.
 
-    The join key contains the timestamp, so the rows of one key spread out.
+    Ranks are limited within each input partition before the shuffle, so of a
+    key only its latest rows per partition travel, and the table is read once.
     """
     names = key_list(key)
-    latest = df.groupBy(*names).agg(F.max(ts).alias(ts)).dropna(subset=[*names, ts])
-    on = [*names, ts]
-    return df.join(join_side(latest, on), on).select(*df.columns)
+    newest = Window.partitionBy(*names).orderBy(F.col(ts).desc())
+    timed = df.dropna(subset=[*names, ts]).withColumn("__rank", F.rank().over(newest))
+    return timed.where(F.col("__rank") == 1).select(*df.columns)
 
 
 def first_per_key(df: DataFrame, key: Keys, order: Sequence[Column | str]) -> DataFrame:

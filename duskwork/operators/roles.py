@@ -8,23 +8,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duskwork.operators.filters import Keys, key_list
 
-def role_set(assignments: DataFrame, user: str, role: str, required: Sequence[str], exact: bool = True) -> DataFrame:
+
+def role_set(assignments: DataFrame, user: Keys, role: str, required: Sequence[str], exact: bool = True) -> DataFrame:
     """Users who hold every required role and, if ``exact``, no other.
 
     Roles become one flag each, so only flags are combined per user.
     """
     flags = [F.max(F.col(role).eqNullSafe(F.lit(r))).alias(f"__has_{i}") for i, r in enumerate(required)]
     other = F.max(F.coalesce(~F.col(role).isin(list(required)), F.lit(False))).alias("__other")
-    per_user = assignments.groupBy(user).agg(*flags, other)
+    per_user = assignments.groupBy(*key_list(user)).agg(*flags, other)
     held = reduce(lambda a, b: a & b, [F.col(f"__has_{i}") for i in range(len(required))])
-    return per_user.where(held & ~F.col("__other") if exact else held).select(user)
+    return per_user.where(held & ~F.col("__other") if exact else held).select(*key_list(user))
 
 
-def roles_held(assignments: DataFrame, user: str, role: str, count: int) -> DataFrame:
+def roles_held(assignments: DataFrame, user: Keys, role: str, count: int) -> DataFrame:
     """Users who hold exactly ``count`` different roles."""
-    held = assignments.groupBy(user).agg(F.countDistinct(role).alias("__roles"))
-    return held.where(F.col("__roles") == count).select(user)
+    held = assignments.groupBy(*key_list(user)).agg(F.countDistinct(role).alias("__roles"))
+    return held.where(F.col("__roles") == count).select(*key_list(user))
 
 
 def minus(first: DataFrame, *rest: DataFrame) -> DataFrame:

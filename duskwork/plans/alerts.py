@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duskwork.operators.filters import outside_band
+from duskwork.operators.filters import keep_matching, outside_band
 from duskwork.operators.joins import derived_key_join
 from duskwork.operators.ranking import latest_per_key
 from duskwork.plans.job import JobResult, Tables
@@ -23,10 +23,12 @@ def band_alert(
 ) -> DataFrame:
     """Alerts whose latest value is at or beyond a bound, with that value.
 
-    Several values at the latest moment are all looked at.
+    Several values at the latest moment are all looked at. Only series with an
+    alert are ranked.
     """
-    latest = latest_per_key(values.select(value_key, when, value), value_key, when)
-    latest = latest.select(F.col(value_key).cast("string").alias("__series"), value)
+    series = values.select(F.col(value_key).cast("string").alias("__series"), when, value)
+    wanted = keep_matching(series, alerts.select(F.col(alert_key).cast("string").alias("__series")), "__series")
+    latest = latest_per_key(wanted, "__series", when).select("__series", value)
     pairs = derived_key_join(alerts, latest, F.col(alert_key).cast("string"), F.col("__series"))
     return pairs.where(outside_band(value, floor, ceiling)).select(*alerts.columns, value)
 

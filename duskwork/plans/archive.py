@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,13 @@ def _audit(rows: DataFrame, table: str, key: str, as_of: datetime) -> DataFrame:
     return audit_rows(rows, LOG_NAME, table, label(table), label(f"{table}_HIST"), as_of)
 
 
+def all_mapped(source: DataFrame, mapped: Iterable[str], what: str) -> None:
+    """Raise if a source column has no place in the archive: its values would be lost with the row."""
+    lost = sorted(set(source.columns) - set(mapped))
+    if lost:
+        raise ValueError(f"{what}: no archive column for {lost}")
+
+
 def archive_transactions(tables: Tables, as_of: datetime) -> JobResult:
     """Aged transactions with their details, and aged transaction approvals with
     their histories, leave the live tables for the history tables."""
@@ -57,6 +65,8 @@ def archive_transactions(tables: Tables, as_of: datetime) -> JobResult:
         "pending_approval_history": histories_left,
     }
     kept_details = [c for c in tables["trx_ut_detail_hist"].columns if c in details.columns]
+    all_mapped(trx, mapping.values(), "trx_ut")
+    all_mapped(details, kept_details, "trx_ut_detail")
     same_shape(tables["pending_approval_hist"], moved_approvals)
     same_shape(tables["pending_approval_history_hist"], histories)
     archived = {

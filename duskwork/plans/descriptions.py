@@ -12,11 +12,12 @@ from duskwork.operators.durable import reuse
 from duskwork.operators.joins import all_combinations, pattern_matches
 from duskwork.operators.lookup import Step, cascade_lookup, choose_pattern, chunk_scan
 from duskwork.operators.mutate import merge_upsert
+from duskwork.operators.ranking import first_per_key
 from duskwork.operators.roles import union_distinct
 from duskwork.plans.job import JobResult, Tables
 from duskwork.sources.codes import (
     ANY_BATCH, ANY_FREQUENCY, ITEM_COMPANIES, ITEM_PREFIX, MAIN_COVERAGE, MAIN_RIDER, NO_PREMIUM_INDICATOR,
-    NOTE_COMPANIES, NOTE_PATTERN_HEAD, OPEN_END, SEGMENT_CODE_WIDTH, SEGMENT_COUNT, SEGMENT_WIDTH, VALID_CONTRACT,
+    NOTE_COMPANIES, NOTE_PATTERN_HEAD, OPEN_END, SEGMENT_CODE_WIDTH, SEGMENT_WIDTH, VALID_CONTRACT,
 )
 
 # --- fixed values ---
@@ -54,7 +55,8 @@ def premium_indicators(tables: Tables) -> DataFrame:
 
 def refresh_notes(tables: Tables, as_of: datetime) -> JobResult:
     """Notes per coverage, frequency and company: the item pattern with the
-    frequency where one exists, otherwise the pattern for any frequency."""
+    frequency where one exists, otherwise the pattern for any frequency. Of several items
+    for one note the smallest (company, item) counts; a NULL note text is a key like any other."""
     keys = note_keys(tables).withColumn("__code", code("crtable"))
     single = premium_indicators(tables).withColumnRenamed("crtable", "__code")
     keys = keys.join(single, ["chdrcoy", "__code"], "left")
@@ -66,11 +68,11 @@ def refresh_notes(tables: Tables, as_of: datetime) -> JobResult:
     )
     lookup = items(tables["ifsdmt9065"])
     chosen, pairs = choose_pattern(reuse(keys), "specific", "generic", lookup, "itemitem", "chosen", prefix=True)
-    texts = lookup.select("itemitem", trimmed("longdesc").alias("noteitem"), trimmed("trandesc").alias("notedesc"))
-    notes = pairs.join(texts, "itemitem")
-    source = chosen.join(notes, "chosen").select(*NOTE_KEY, "notedesc")
+    texts = lookup.select("itemitem", "itemcoy", trimmed("longdesc").alias("noteitem"), trimmed("trandesc").alias("notedesc"))
+    notes = chosen.join(pairs.join(texts, "itemitem"), "chosen")
+    source = reuse(first_per_key(notes, NOTE_KEY, ["itemcoy", "itemitem", "notedesc"]).select(*NOTE_KEY, "notedesc"))
     values = {c: F.col(c) for c in source.columns}
-    new = merge_upsert(tables["r_explanatory_notes"], source, NOTE_KEY, {"notedesc": F.col("notedesc")}, values)
+    new = merge_upsert(tables["r_explanatory_notes"], source, NOTE_KEY, {"notedesc": F.col("notedesc")}, values, null_safe=True)
     return JobResult({"r_explanatory_notes": new}, (NOTES_LOG_NAME,))
 
 
@@ -92,14 +94,15 @@ def by_pattern(keys: DataFrame, pattern: str, lookup: DataFrame, value: Column)
     return Step(pairs.join(lookup, "itemitem"), (pattern,), value, ("itemcoy", "itemitem"))
 
 
-def by_segment(keys: DataFrame, pattern: str, needle: str, lookup: DataFrame) -> Step:
+def by_segment(keys: DataFrame, pattern: str, needle: str, lookup: DataFrame, count: int | None = None) -> Step:
     """Cascade step over long texts: a segment of a matching item's text that
-    names the needle points, by its first characters, to the item that counts."""
+    names the needle points, by its first characters, to the item that counts. The
+    whole text is cut, unless ``count`` says how many segments a layout has."""
     wanted = keys.select(pattern, needle).where(F.col(needle).isNotNull()).distinct()
     sources = pattern_matches(wanted, pattern, lookup, "itemitem").join(lookup, "itemitem")
     texts = wanted.join(sources, pattern).select(pattern, needle, "itemcoy", "itemitem", "trandesc")
     hits = chunk_scan(
-        texts, "trandesc", F.col(needle), width=SEGMENT_WIDTH, count=SEGMENT_COUNT, head=SEGMENT_CODE_WIDTH
+        texts, "trandesc", F.col(needle), width=SEGMENT_WIDTH, count=count, head=SEGMENT_CODE_WIDTH
     ).withColumn("__target", like_pattern("%", F.col("code"), "%"))
     targets = lookup.select(
         F.col("itemitem").alias("__item"), F.col("itemcoy").alias("__coy"), F.col("trandesc").alias("__text")
@@ -110,7 +113,7 @@ def by_segment(keys: DataFrame, pattern: str, needle: str, lookup: DataFrame) ->
     )
 
 
-def describe(keys: DataFrame, long_items: DataFrame, short_items: DataFrame) -> DataFrame:
+def describe(keys: DataFrame, long_items: DataFrame, short_items: DataFrame, segment_count: int | None = None) -> DataFrame:
     """A description for each type combination, NULL where nothing matches."""
     acc, unit, batch, sub = (F.col(c) for c in DESCRIPTION_KEY)
     keys = keys.select(
@@ -124,7 +127,7 @@ def describe(keys: DataFrame, long_items: DataFrame, short_items: DataFrame) ->
     keys = reuse(keys)
     text = F.col("trandesc")
     steps = [
-        by_segment(keys, "__p1", "__needle", long_items),
+        by_segment(keys, "__p1", "__needle", long_items, segment_count),
         by_pattern(keys, "__p2", long_items, text),
         by_pattern(keys, "__p3", long_items, text),
         by_pattern(keys, "__p4", long_items, text),
@@ -134,11 +137,15 @@ def describe(keys: DataFrame, long_items: DataFrame, short_items: DataFrame) ->
     return found.select(*DESCRIPTION_KEY, trimmed("trandesc").alias("trandesc"))
 
 
-def refresh_descriptions(tables: Tables, as_of: datetime) -> JobResult:
-    """Upsert the description of every type combination in use."""
-    source = reuse(describe(type_combinations(tables), items(tables["ifsdmt9065"]), items(tables["ifsdmt1688"])))
+def refresh_descriptions(tables: Tables, as_of: datetime, segment_count: int | None = None) -> JobResult:
+    """Upsert the description of every type combination in use.
+
+    Long texts are searched whole; ``segment_count`` is for a layout with so many slots.
+    """
+    long_items, short_items = items(tables["ifsdmt9065"]), items(tables["ifsdmt1688"])
+    source = reuse(describe(type_combinations(tables), long_items, short_items, segment_count))
     values = {c: F.col(c) for c in source.columns}
     new = merge_upsert(
-        tables["r_trx_description"], source, DESCRIPTION_KEY, {"trandesc": F.col("trandesc")}, values
+        tables["r_trx_description"], source, DESCRIPTION_KEY, {"trandesc": F.col("trandesc")}, values, null_safe=True
     )
     return JobResult({"r_trx_description": new}, (DESCRIPTIONS_LOG_NAME,))

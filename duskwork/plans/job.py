@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,14 +85,14 @@ def chain(tables: Tables, as_of: datetime, *jobs: Job) -> JobResult:
 
 def recorded(spark: SparkSession, tables: Tables, result: JobResult, as_of: datetime) -> JobResult:
     """The result with its audit and success rows as appended rows."""
-    records = {}
+    records, state = {}, result.over(tables)
     if result.audit is not None:
-        records["audit_trail"] = with_row_ids(result.audit, "audit_id", tables["audit_trail"])
+        records["audit_trail"] = with_row_ids(result.audit, "audit_id", state["audit_trail"])
     if result.log_names:
         records["eod_log"] = reduce(
             DataFrame.unionByName, [run_log_row(spark, name, as_of) for name in result.log_names]
         )
-    return combine(result, JobResult.of(tables, (), {}, records))
+    return combine(result, JobResult.of(state, (), {}, records))
 
 
 def next_state(spark: SparkSession, tables: Tables, result: JobResult, as_of: datetime) -> dict[str, DataFrame]:
@@ -102,13 +103,15 @@ def next_state(spark: SparkSession, tables: Tables, result: JobResult, as_of: da
 def run_job(
     spark: SparkSession, job: Job, name: str, tables: Tables, as_of: datetime, folder: str
 ) -> dict[str, DataFrame]:
-    """Run a job and write what it changed under ``folder``.
+    """Run a job and write what it changed to a folder of this run under ``folder``.
 
     Changed tables are written whole; of tables that only grew, the new rows
-    alone, under ``folder/appended``. Returns the tables to go on with. If
-    anything fails, also while writing, nothing changed is taken over: only a
-    failure row joins the run log.
+    alone, under ``appended``. Returns the tables to go on with. If anything
+    fails, also while writing, nothing changed is taken over: only a failure
+    row joins the run log, under ``failed``. Every run has a folder of its own and
+    never writes over files, so tables read from earlier runs stay whole.
     """
+    folder = f"{folder}/{name}-{uuid4().hex}"
     try:
         result = recorded(spark, tables, job(tables, as_of), as_of)
         rewritten = {n: df for n, df in result.tables.items() if n not in result.appended}
@@ -118,7 +121,7 @@ def run_job(
         grown = {n: tables[n].unionByName(df) for n, df in rows.items()}
         return {**tables, **read_tables(spark, folder, rewritten), **grown}
     except Exception as error:  # noqa: BLE001 - every failure is logged under the job's name
-        row = rows_for(tables["eod_log"], run_log_row(spark, name, as_of, str(error)[:4000]))
+        row = rows_for(tables["eod_log"], run_log_row(spark, name, as_of, str(error)))
         write_tables({"eod_log": row}, f"{folder}/failed")
         written = read_tables(spark, f"{folder}/failed", ["eod_log"])["eod_log"]
         return {**tables, "eod_log": tables["eod_log"].unionByName(written)}

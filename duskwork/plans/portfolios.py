@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duskwork.functions.dates import moment
-from duskwork.functions.text import trimmed
-from duskwork.operators.filters import keep_matching
-from duskwork.operators.joins import unique_rows
+from duskwork.functions.text import joined, trimmed
+from duskwork.operators.audit import run_log
+from duskwork.operators.durable import reuse
+from duskwork.operators.filters import join_side, keep_matching
 from duskwork.operators.mutate import update_from
 from duskwork.operators.ranking import first_per_key
 from duskwork.plans.job import JobResult, Tables
-from duskwork.sources.codes import INTAKE_USER
+from duskwork.sources.codes import FAILURE, INTAKE_USER
+
+# --- fixed values ---
+BENEFICIARY_STEP = "updatebeneficialplanacct"
 
 BENEFICIARY_COLUMNS = (
     "beneficial_name", "beneficial_name_2", "beneficial_nric", "beneficial_nric_2",
@@ -80,12 +84,19 @@ def copy_beneficiaries(
 ) -> JobResult:
     """Staged beneficiary and branch data overwrite those of the plan account.
 
-    A reference with staged data that leads to several accounts is an error. Where several
-    staged rows lead to one account, the last reference and staged account win.
+    A reference with staged data that leads to several accounts is left out: it's
+    returned in ``out['ambiguous_references']`` with its number of accounts, and a
+    failure row under the step's name joins the run log. Where several staged rows
+    lead to one account, the last reference and staged account win.
     """
     trx = staged_transactions(tables["trx_ut"], tables["tmp_account"], references)
     staged = tables["tmp_account"].join(trx, "account_temp_id")
-    accounts = unique_rows(accounts_of(tables, staged, match_company), "reference", "beneficiaries")
+    found = accounts_of(tables, staged, match_company).groupBy("reference").agg(
+        F.count(F.lit(1)).alias("accounts"), F.min("acctid").alias("acctid")
+    )
+    found = reuse(found)
+    accounts = join_side(found.where("accounts = 1").select("reference", "acctid"), "reference")
+    ambiguous = found.where("accounts > 1").select("reference", "accounts")
     source = first_per_key(
         staged.join(accounts, "reference"), "acctid",
         [F.col("reference").desc(), F.col("account_temp_id").desc()],
@@ -94,7 +105,12 @@ def copy_beneficiaries(
         tables["plan_acct"], source, "acctid", {c: c for c in BENEFICIARY_COLUMNS},
         {"dt_updated": moment(as_of), "updated_by": F.lit(INTAKE_USER)},
     )
-    return JobResult({"plan_acct": new}, ())
+    failure = ambiguous.agg(F.count(F.lit(1)).alias("n"), F.min("reference").alias("first")).where("n > 0").select(
+        F.lit(BENEFICIARY_STEP).alias("job"), F.lit(FAILURE).alias("status"),
+        joined("references with several accounts: ", F.col("n").cast("string"), ", first ", F.col("first")).alias("error"),
+    )
+    rows = {"eod_log": run_log(failure, "job", "status", as_of, "error")}
+    return JobResult.of(tables, (), {"plan_acct": new}, rows, out={"ambiguous_references": ambiguous})
 
 
 def staged_references(tables: Tables, since_key: int, match_company: bool = True) -> DataFrame:

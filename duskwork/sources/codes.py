@@ -62,5 +62,4 @@ ANY_FREQUENCY = "**"
 ANY_BATCH = "****"
 NO_PREMIUM_INDICATOR = "-"
 SEGMENT_WIDTH = 78
-SEGMENT_COUNT = 6
 SEGMENT_CODE_WIDTH = 8

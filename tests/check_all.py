@@ -14,7 +14,7 @@ if __name__ == "__main__":
     queries, oracle = entry.queries(), entry.oracle_sql()
     bad = 0
     for name, run in queries.items():
-        if names and name not in names:
+        if (names and name not in names) or name not in oracle:
             continue
         start = time.time()
         try:

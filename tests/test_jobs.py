@@ -330,8 +330,10 @@ def test_beneficiaries_need_one_account(spark):
         tmp_portfolio=[{"portfolio_id": 1, "account_temp_id": 71}],
     )
     ref = spark.createDataFrame([("R1",)], "reference string")
-    with pytest.raises(Exception, match="beneficiaries"):
-        portfolios.copy_beneficiaries(t, ref, AS_OF).tables["plan_acct"].collect()
+    r = portfolios.copy_beneficiaries(t, ref, AS_OF)
+    assert rows(r.tables["plan_acct"], "acctid", "branch_name") == [(1, None), (2, None), (3, None)]
+    assert rows(r.out["ambiguous_references"]) == [("R1", 2)]
+    assert rows(r.tables["eod_log"], "eod_proc_name", "status") == [("updatebeneficialplanacct", "F")]
     assert rows(portfolios.insert_portfolios(t, ref, AS_OF).tables["portfolio"], "acct_id") == [(1,), (2,)]
     loose = portfolios.insert_portfolios(t, ref, AS_OF, match_company=False)
     assert rows(loose.tables["portfolio"], "acct_id") == [(1,), (2,), (3,)]
@@ -380,6 +382,24 @@ def test_run_job_writes_or_logs_failure(spark, tmp_path):
     assert failed["pending_approval"] is t["pending_approval"]
 
 
+def test_jobs_and_failures_share_a_folder(spark, tmp_path):
+    t, state = approval_case(spark), approval_case(spark)
+    for _ in range(2):
+        state = plans.run_job(spark, plans.expire_approvals, "DelExpTrnReqWOApp", state, AS_OF, str(tmp_path))
+    broken = {**state, "r_sysparam": t["r_sysparam"].limit(0)}
+    for _ in range(2):
+        broken = plans.run_job(spark, plans.expire_approvals, "DelExpTrnReqWOApp", broken, AS_OF, str(tmp_path))
+    assert [s for (s,) in rows(broken["eod_log"], "status")] == ["F", "F", "S", "S"]
+    assert broken["audit_trail"].count() == 3
+
+
+def test_archive_refuses_to_lose_a_column(spark):
+    t = tables(spark, r_sysparam=params(TRX_HISTORY_DURATION_MONTH=90), trx_ut=[{"trx_ut_id": 1, "dt_created": ago(90)}])
+    t["trx_ut"] = t["trx_ut"].withColumn("new_column", F.lit("x"))
+    with pytest.raises(ValueError, match="new_column"):
+        plans.archive_transactions(t, AS_OF)
+
+
 def test_marks_move_with_the_log(spark):
     t = intake_case(spark)
     r = intake.new_agents(t, AS_OF)

@@ -86,6 +86,38 @@ def test_pattern_matches_against_brute_force(spark):
         assert got == brute and brute
 
 
+def test_pattern_matches_with_escaped_wildcards(spark):
+    texts = ["a%b", "axb", "100_xy", "1000xy", "c\\d", "c\\%d", "", "\ue002", "50%"]
+    patterns = ["a\\%b", "100\\_x%", "c\\\\d", "c\\\\\\%d", "c\\\\%d", "%\\%", "\ue002", "%\\\\%"]
+    t, p = spark.createDataFrame([(x,) for x in texts], "t string"), spark.createDataFrame([(x,) for x in patterns], "p string")
+    brute = rows(p.crossJoin(t).where("t like p"), "p", "t")
+    assert rows(joins.pattern_matches(p, "p", t, "t"), "p", "t") == brute and len(brute) > 8
+
+
+def test_double_keys_are_found_whatever_is_read(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    target = spark.createDataFrame([(1, "x")], "k int, v string")
+    for df in (
+        joins.unique_rows(twice.select("k"), "k", "test"), mutate.update_from(target, twice, "k", {}, {"v": F.lit("y")}),
+        mutate.merge_upsert(target, twice, "k", {"v": F.col("v")}, {"k": F.col("k"), "v": F.col("v")}),
+    ):
+        with pytest.raises(Exception, match="several"):
+            df.count()
+
+
+def test_null_safe_merge_is_repeatable(spark):
+    source = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    state = spark.createDataFrame([(2, "x")], "k int, v string")
+    for _ in range(3):
+        state = mutate.merge_upsert(state, source, "k", {"v": F.col("v")}, {"k": F.col("k"), "v": F.col("v")}, null_safe=True)
+        assert rows(state) == [(1, "b"), (2, "x"), (None, "a")]
+
+
+def test_newest_cutoffs_with_one_hot_time(spark):
+    df = spark.range(5000).selectExpr("1 AS k", "timestamp_ntz'2024-01-01 00:00:00' AS ts")
+    assert rows(ranking.newest_cutoffs(df, "k", "ts", [3, 5001]), "newest_3", "newest_5001") == [(datetime(2024, 1, 1), None)]
+
+
 def test_unique_rows_raises_on_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     assert rows(joins.unique_rows(df, "k", "x")) == [(1, "a"), (2, "b")]

@@ -56,12 +56,24 @@ def test_refresh_notes(spark):
     assert rows(again.tables["r_explanatory_notes"]) == rows(r.tables["r_explanatory_notes"])
 
 
-def test_notes_matched_twice_fail(spark):
+def test_notes_held_by_two_companies_take_the_smallest_and_merge_once(spark):
     t = note_case(spark)
+    once = plans.refresh_notes(t, AS_OF)
     extra = t["ifsdmt9065"].where("itemitem = 'EXMS1   '").selectExpr("itempfx", "'3' AS itemcoy", "itemitem", "longdesc", "trandesc")
     t["ifsdmt9065"] = t["ifsdmt9065"].union(extra)
-    with pytest.raises(Exception, match="several source rows"):
-        plans.refresh_notes(t, AS_OF).tables["r_explanatory_notes"].collect()
+    state = t
+    for _ in range(3):
+        r = plans.refresh_notes(state, AS_OF)
+        assert rows(r.tables["r_explanatory_notes"]) == rows(once.tables["r_explanatory_notes"])
+        state = r.over(state)
+
+
+def test_notes_without_text_are_merged_once(spark):
+    t = note_case(spark)
+    t["ifsdmt9065"] = t["ifsdmt9065"].selectExpr("itempfx", "itemcoy", "itemitem", "' ' AS longdesc", "trandesc")
+    first = plans.refresh_notes(t, AS_OF)
+    again = plans.refresh_notes(first.over(t), AS_OF)
+    assert rows(again.tables["r_explanatory_notes"]) == rows(first.tables["r_explanatory_notes"])
 
 
 # --- transaction descriptions ------------------------------------------------------
