@@ -42,7 +42,7 @@ LOOKALIKES = dict(zip(
     "аеорсухіјѕԁһкмтвнαβεικνορτυχ０１２３４５６７８９ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ",
     "aeopcyxijsdhkmtbhabeiknoptux0123456789abcdefghijklmnopqrstuvwxyz",
 ))
-DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
+DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 EXCEPTIONS = (
     "trash can", "trash bin", "trash bag", "trash folder", "clown fish", "clown car", "loser bracket",
     "scum line", "pond scum", "soap scum", "worthless check", "worthless security",
