@@ -42,8 +42,8 @@ BLOCK = 1024
 PERCENTILE = 0.9
 SHARD_IDS = 1 << 19
 END_ID = 2
-# Distinct pieces kept by a worker: about 50 MB.
-CACHE_PIECES = 600_000
+# Distinct pieces kept by a worker: about 150 MB.
+CACHE_PIECES = 1_000_000
 HEAD = struct.Struct("<IBH")
 
 
@@ -159,21 +159,27 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian uint32."""
-        if self.CONTROL.search(text) or self.added and self.added.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces = self.PIECE.findall(text)
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            self.learn(set(pieces))
-            return b"".join(map(self.known.__getitem__, pieces))
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the new pieces: those of a space and a word as one text, cut by byte lengths."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; pieces that are new in any of them are learnt together."""
+        whole = [bool(self.CONTROL.search(t) or self.added and self.added.search(t)) for t in texts]
+        cut = [() if w else self.PIECE.findall(t) for t, w in zip(texts, whole)]
+        if len(self.known) > CACHE_PIECES:
+            self.known.clear()
+        new: set[str] = set()
+        for pieces in cut:
+            new.update(pieces)
+        self.learn([piece for piece in new if piece not in self.known])
+        take = self.known.__getitem__
+        return [
+            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w else b"".join(map(take, pieces))
+            for t, w, pieces in zip(texts, whole, cut)
+        ]
+
+    def learn(self, new: list[str]) -> None:
+        """Encode new pieces: those of a space and a word as one text, cut by byte lengths."""
         known = self.known
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        new = [piece for piece in pieces if piece not in known]
         words = [piece for piece in new if piece[0] == " " and not piece[1:2].isspace() and len(piece) > 1]
         others = [piece for piece in new if piece[0] != " " or piece[1:2].isspace() or len(piece) == 1]
         for piece, entry in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
@@ -194,49 +200,45 @@ def encoder(path: str) -> Encoder:
 
 
 def write_shards(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """part, shard, doc_ids, data: the written token shards, in ascending order of doc_id.
+    """part, shard, inside, size, doc_ids, data: the written token shards, in ascending order of doc_id.
 
-    (part, shard) is the order of the shards; ``doc_ids`` lists a shard's documents.
+    (part, shard) is the order of the shards, ``inside`` the number of ids before a shard
+    in its part, ``size`` its own number; ``doc_ids`` lists a shard's documents.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.json")
 
     def encode(parts):
         own, number = encoder(path), 0
         part_id, end = TaskContext.get().partitionId(), np.uint32(END_ID).tobytes()
-        ids, held, size = [], [], 0
+        ids, held, size, inside = [], [], 0, 0
         for part in parts:
-            for doc, text in zip(part.column("doc_id").to_pylist(), texts_of(part)):
-                tokens = np.frombuffer(own.encode(text) + end, "<u4")
+            for doc, packed in zip(part.column("doc_id").to_pylist(), own.encode_all(texts_of(part))):
+                tokens = np.frombuffer(packed + end, "<u4")
                 ids.append(doc)
                 held.append(tokens)
                 size += len(tokens)
                 if size >= SHARD_IDS:
-                    yield [part_id], [number], [ids], [encode_shard(held)]
-                    ids, held, size, number = [], [], 0, number + 1
+                    yield [part_id], [number], [inside], [size], [ids], [encode_shard(held)]
+                    ids, held, size, inside, number = [], [], 0, inside + size, number + 1
         if held:
-            yield [part_id], [number], [ids], [encode_shard(held)]
+            yield [part_id], [number], [inside], [size], [ids], [encode_shard(held)]
 
     # Ties are dealt by content, so a repeated id is no hot range.
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("tie").asc(), F.col("text").asc_nulls_first()]
     dealt = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).drop("tie")
-    return written(map_slices(dealt, encode, "part long, shard long, doc_ids array<long>, data binary"), "tokens")
+    return written(map_slices(dealt, encode, "part long, shard long, inside long, size long, doc_ids array<long>, data binary"), "tokens")
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the shards."""
-    within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-
-    def sizes(parts):
-        for part in parts:
-            heads = part.column("head").to_pylist()
-            yield part.column("part"), part.column("shard"), [struct.unpack_from("<I", h, 8)[0] for h in heads]
+    """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the shards.
 
-    counted = map_slices(shards.select("part", "shard", F.substring("data", 1, 16).alias("head")), sizes, "part long, shard long, size long")
-    counted = counted.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    totals = counted.groupBy("part").agg(F.sum("size").alias("size")).withColumn("base", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    begins = counted.join(totals.select("part", "base"), "part").select("part", "shard", (F.col("base") + F.col("inside")).alias("begin"))
+    Only the sums of parts are broadcast, one row per task that wrote.
+    """
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = shards.groupBy("part").agg(F.sum("size").alias("size"))
+    bases = totals.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
+    placed = shards.join(F.broadcast(bases), "part").select((F.col("base") + F.col("inside")).alias("begin"), "doc_ids", "data")
 
     def decode(parts):
         for part in parts:
@@ -250,4 +252,4 @@ def read_documents(shards: DataFrame) -> DataFrame:
                     begin += len(tokens)
                 yield ids, starts, counts, sums
 
-    return map_slices(shards.join(begins, ["part", "shard"]).select("begin", "doc_ids", "data"), decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_slices(placed, decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
