@@ -273,40 +273,54 @@ def feasible(a: str, b: str) -> Column:
     o = F.expr(f"({PERCENT} * ({a}n + {b}n) + {99 + PERCENT}) div {100 + PERCENT}")
     least = F.greatest(F.lit(1), *[F.least(o - F.expr(f"({PERCENT} * {a}n + 99) div 100") + 1, o - F.expr(f"({PERCENT} * {b}n + 99) div 100") + 1)])
     return (
-        (F.col(f"{a}comp") != F.col(f"{b}comp"))
+        (F.col(f"{a}doc_id") != F.col(f"{b}doc_id"))
         & (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb))
         & (1 + F.least(na - 1 - F.col(f"{a}rank"), nb - 1 - F.col(f"{b}rank")) >= o)
         & (F.least(f"{a}s0", f"{b}s0") >= least) & (F.least(f"{a}s1", f"{b}s1") >= least)
     )
 
 
-def renamed(rows: DataFrame, prefix: str) -> DataFrame:
-    return rows.select("token", *[F.col(c).alias(prefix + c) for c in ("doc_id", "n", "rank", "s0", "s1", "comp")])
+FIELDS = ("doc_id", "n", "rank", "s0", "s1")
 
 
-def pairs_of(joined: DataFrame) -> DataFrame:
-    return joined.filter(feasible("x_", "y_")).select(
-        F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")
-    ).distinct()
+def pair() -> tuple:
+    """Columns a and b of a frame of two sides, the smaller id first."""
+    return F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")
 
 
-def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Each token's nodes paired with one pivot of the token; another pivot in each turn."""
-    fields = ("doc_id", "n", "rank", "s0", "s1", "comp")
-    first = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
-    pivots = rows.groupBy("token").agg(F.min(F.struct(first.alias("first"), *fields)).alias("pivot"))
-    pivots = pivots.select("token", *[F.col(f"pivot.{c}").alias(f"y_{c}") for c in fields])
-    return pairs_of(renamed(rows, "x_").join(pivots, "token"))
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """turn, a, b: each token's nodes paired with a pivot of the token; another pivot in each turn.
 
-
-def cross_pairs(rows: DataFrame) -> DataFrame:
-    """All candidate pairs across groups: per token, nodes outside its largest group with all nodes."""
-    counts = rows.groupBy("token", "comp").count()
+    Pivots and pairs use one shuffle of the rows by token.
+    """
+    dealt = rows.repartition("token")
+    firsts = [F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn)) for turn in range(STAR_ROUNDS)]
+    pivots = dealt.groupBy("token").agg(*[F.min(F.struct(first.alias("first"), *FIELDS)).alias(f"p{t}") for t, first in enumerate(firsts)])
+    sides = dealt.select("token", *[F.col(c).alias(f"x_{c}") for c in FIELDS]).join(pivots, "token")
+    paired = sides.select("*", F.posexplode(F.array(*[f"p{t}" for t in range(STAR_ROUNDS)])).alias("turn", "pivot"))
+    paired = paired.select("turn", *[f"x_{c}" for c in FIELDS], *[F.col(f"pivot.{c}").alias(f"y_{c}") for c in FIELDS])
+    return paired.filter(feasible("x_", "y_")).groupBy(*pair()).agg(F.min("turn").alias("turn"))
+
+
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose documents aren't in one group yet."""
+    for side in "ab":
+        named = labels.select(F.col("node").alias(side), F.col("component").alias(f"group_{side}"))
+        pairs = pairs.join(named, side, "left").withColumn(f"group_{side}", F.coalesce(f"group_{side}", side))
+    return pairs.filter("group_a <> group_b").drop("group_a", "group_b")
+
+
+def cross_pairs(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """a, b: all candidate pairs across groups; per token, nodes outside its largest group with all nodes."""
+    placed = rows.join(reuse_keys(labels.withColumnRenamed("node", "doc_id")), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
+    dealt = placed.repartition("token")
+    counts = dealt.groupBy("token", "comp").count()
     largest = counts.groupBy("token").agg(F.max(F.struct("count", "comp")).alias("most"), F.count("*").alias("groups"))
     mixed = largest.filter("groups > 1").select("token", F.col("most.comp").alias("major"))
-    inside = written(rows.join(mixed, "token"), "mixed-tokens")
-    outside = renamed(inside.filter("comp <> major"), "x_")
-    return pairs_of(outside.join(renamed(inside, "y_"), "token"))
+    inside = written(dealt.join(mixed, "token"), "mixed-tokens")
+    outside = inside.filter("comp <> major").select("token", *[F.col(c).alias(f"x_{c}") for c in (*FIELDS, "comp")])
+    joined = outside.join(inside.select("token", *[F.col(c).alias(f"y_{c}") for c in (*FIELDS, "comp")]), "token")
+    return joined.filter("x_comp <> y_comp").filter(feasible("x_", "y_")).select(*pair()).distinct()
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -349,19 +363,19 @@ def groups(docs: DataFrame) -> DataFrame:
     per_doc = shared.groupBy("doc_id").agg(
         F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).alias("s0"), F.sum(F.when(F.col("kind") == 1, F.col("rank")).otherwise(0)).alias("s1")
     ).filter("s0 > 0 AND s1 > 0")
-    rows = written(shared.filter("kind = 0").drop("kind").join(per_doc, "doc_id"), "candidate-tokens")
+    rows = written(shared.filter("kind = 0").drop("kind").join(reuse_keys(per_doc), "doc_id"), "candidate-tokens")
 
     # Between star rounds one step of smallest neighbours is enough: equal labels mean linked documents.
-    labels, tried = one_step(links), None
-    for turn in range(STAR_ROUNDS + 1):
-        placed = written(rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component"), "placed")
-        pairs = star_pairs(placed, turn) if turn < STAR_ROUNDS else cross_pairs(placed)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
+    labels = one_step(links)
+    stars = written(star_pairs(rows), "star-pairs")
+    for turn in range(STAR_ROUNDS):
+        pairs = written(across(stars.filter(F.col("turn") == turn).select("a", "b"), labels), "pairs")
         links = links.unionByName(written(verified(docs, pairs), "links"))
         labels = one_step(links) if turn < STAR_ROUNDS - 1 else components(links)
+    rest = written(cross_pairs(rows, labels).join(stars, ["a", "b"], "left_anti"), "pairs")
+    if not rest.isEmpty():
+        stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        labels = components(stars.unionByName(verified(docs, rest)))
     return sets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
