@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 
 from duskwork.functions.dates import key_of, moment
 from duskwork.functions.text import code
-from duskwork.operators.durable import reuse
 from duskwork.operators.filters import join_side, keep_matching
 from duskwork.operators.incremental import high_water_mark
 from duskwork.operators.mutate import is_true, update_where
-from duskwork.operators.roles import activity_actions, minus
+from duskwork.operators.roles import activity_actions
 from duskwork.plans.intake import contract_owners, is_active_contract
 from duskwork.plans.job import JobResult, Tables
 from duskwork.plans.portfolios import account_keys
@@ -25,6 +24,8 @@ from duskwork.sources.codes import (
 # --- fixed values ---
 ACCOUNTS_LOG_NAME = "REFRESH PLANACCT"
 USERS_LOG_NAME = "REFRESH USR"
+RULE_OFF_WEB, RULE_OTHER_LIVE, RULE_OTHER_ENDED = "2A", "2B", "2B-ii"
+RULE_BOTH, RULE_ADVISER, RULE_INVESTOR = "2C", "2D", "2E"
 
 
 def follow_contracts(
@@ -77,71 +78,76 @@ def refresh_accounts(tables: Tables, as_of: datetime, match_company: bool = True
     return JobResult({"plan_acct": new}, (ACCOUNTS_LOG_NAME,))
 
 
-def user_facts(tables: Tables, as_of: datetime) -> dict[str, DataFrame]:
-    """Sets of user ids the status rules ask about, by name."""
-    today = key_of(as_of)
-    info = tables["r_user_info"].select("user_id", "user_type", code("clntnum").alias("client"))
-    web = tables["ifsdmclntpf"].groupBy(code("clntnum").alias("client")).agg(
-        F.max(F.col("cltmchg") == YES).alias("__on"), F.max(F.col("cltmchg") == NO).alias("__off")
+def any_flags(on: list[str], *frames: DataFrame) -> DataFrame:
+    """One row per key: every flag that some frame has, true where any row says so.
+
+    The frames are stacked, so one shuffle of map-side combined flags serves them all.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).dropna(subset=on)
+    return stacked.groupBy(*on).agg(
+        *[F.coalesce(F.max(n), F.lit(False)).alias(n) for n in stacked.columns if n not in on]
+    )
+
+
+def client_flags(tables: Tables, as_of: datetime) -> DataFrame:
+    """What the status rules ask about each client: web access, contracts, agent roles."""
+    today, yes = key_of(as_of), F.lit(True)
+    web = tables["ifsdmclntpf"].select(
+        code("clntnum").alias("client"), (F.col("cltmchg") == YES).alias("on_web"), (F.col("cltmchg") == NO).alias("off_web")
     )
-    # users with their web flags, and agents with their roles, feed most of the sets below
-    info = reuse(info.join(join_side(web.dropna(subset=["client"]), "client"), "client", "left"))
-    off_web = info.where("__off")
-    external = info.where(F.col("user_type") == EXTERNAL_USER)
-    on_web = external.where("__on")
+    contracts = tables["ifsdmchdrpf"].where(F.col("statcode").isin(*ACTIVE_CONTRACT))
+    owners = contract_owners(contracts.where(is_active_contract()), "client").select("client", yes.alias("owned"))
 
     agents = tables["ifsdmaglfpf"].select("agntnum", "agntcoy", "zlfagtcl", "dtetrm", code("clntnum").alias("client"))
-    roles = tables["r_role"].select("role_id", "role_type")
-    agent_roles = reuse(agents.join(tables["r_agt_cl_role_map"], "zlfagtcl").join(roles, "role_id"))
-    other = ~F.col("role_type").isin(ROLE_INVESTOR, ROLE_ADVISER)
     open_after, open_from = F.col("dtetrm") > today, F.col("dtetrm") >= today
     front_end = F.col("agntcoy").isin(*FRONT_END_COMPANIES)
+    role = F.col("role_type")
+    other = ~role.isin(ROLE_INVESTOR, ROLE_ADVISER)
+    roles = tables["r_role"].select("role_id", "role_type")
+    agent_roles = agents.join(tables["r_agt_cl_role_map"], "zlfagtcl").join(roles, "role_id").select(
+        "client",
+        (other & open_after).alias("other_open"), (other & (F.col("dtetrm") <= today)).alias("other_past"),
+        (open_after & front_end).alias("front_end_open"),
+        ((role == ROLE_ADVISER) & front_end & open_from).alias("adviser_open"),
+        ((role != ROLE_ADVISER) & open_from).alias("not_adviser_open"),
+    )
 
-    def users_of(people: DataFrame, condition: Column) -> DataFrame:
-        return keep_matching(people, agent_roles.where(condition), "client").select("user_id")
-
-    contracts = tables["ifsdmchdrpf"].where(is_active_contract())
-    owned = keep_matching(info, contract_owners(contracts, "client"), "client")
-    serving = keep_matching(agents.where(open_after), contracts.select(F.col("servagnt").alias("agntnum")), "agntnum")
-    served = keep_matching(info, serving, "client")
-
-    held = tables["v_userrole"].select("user_id", "role_id").join(roles, "role_id")
-    sets = held.groupBy("user_id").agg(
-        F.countDistinct("role_id").alias("n"),
-        F.max(F.col("role_type") == ROLE_ADVISER).alias("v"), F.max(F.col("role_type") == ROLE_INVESTOR).alias("i"),
+    by_company = contracts.select("chdrcoy", F.col("servagnt").alias("agntnum")).dropna().distinct()
+    serving = agents.join(join_side(by_company, "agntnum"), "agntnum").select(
+        "client", "chdrcoy", (open_after & F.col("chdrcoy").isin(*FRONT_END_COMPANIES)).alias("served"), yes.alias("serves")
+    )
+    live = agents.where(open_from & front_end).select("client", F.col("agntcoy").alias("chdrcoy"), yes.alias("live"))
+    companies = any_flags(["client", "chdrcoy"], serving, live).select(
+        "client", "served", (F.col("serves") & F.col("live")).alias("serves_live"), F.col("live").alias("live_company")
     )
-    both = keep_matching(on_web, sets.where((F.col("n") == 2) & F.col("v") & F.col("i")), "user_id")
+    return any_flags(["client"], web, owners, agent_roles, companies)
 
-    live_companies = agents.where(open_from & front_end).select("client", F.col("agntcoy").alias("chdrcoy")).distinct()
-    adviser_only = minus(
-        users_of(on_web, (F.col("role_type") == ROLE_ADVISER) & front_end & open_from),
-        users_of(external, (F.col("role_type") != ROLE_ADVISER) & open_from),
-        tables["r_user_role"].select("user_id"),
+
+def user_facts(tables: Tables, as_of: datetime) -> DataFrame:
+    """One row per user with a flag for each set the status rules ask about."""
+    f = F.col
+    info = tables["r_user_info"].select("user_id", "user_type", code("clntnum").alias("client"))
+    info = info.join(join_side(client_flags(tables, as_of), "client"), "client", "left")
+    external = f("user_type") == EXTERNAL_USER
+    on_web = external & f("on_web")
+    people = info.select(
+        "user_id", "off_web", "owned", "served", "serves_live", "live_company", on_web.alias("on_web"),
+        *[(on_web & f(n)).alias(n) for n in ("other_open", "other_past", "front_end_open", "adviser_open")],
+        (external & f("not_adviser_open")).alias("not_adviser_open"),
     )
-    adviser_only = keep_matching(adviser_only, keep_matching(info, live_companies, "client"), "user_id")
-    by_company = tables["ifsdmchdrpf"].where(F.col("statcode").isin(*ACTIVE_CONTRACT)).select(
-        "chdrcoy", F.col("servagnt").alias("agntnum")
-    ).distinct()
-    serves_company = agents.select("agntnum", "client").distinct().join(by_company, "agntnum")
-    serves_live = keep_matching(serves_company, live_companies, ["client", "chdrcoy"])
-
-    investor_only = minus(
-        keep_matching(on_web, tables["r_user_role"], "user_id").select("user_id"),
-        keep_matching(external, held.where(F.col("role_type") != ROLE_INVESTOR), "user_id").select("user_id"),
+    roles = tables["r_role"].select("role_id", "role_type")
+    held = tables["v_userrole"].select("user_id", "role_id").join(roles, "role_id").groupBy("user_id").agg(
+        F.countDistinct("role_id").alias("n"), F.max(f("role_type") == ROLE_ADVISER).alias("v"),
+        F.max(f("role_type") == ROLE_INVESTOR).alias("i"), F.max(f("role_type") != ROLE_INVESTOR).alias("beyond_investor"),
+    ).select("user_id", ((f("n") == 2) & f("v") & f("i")).alias("adviser_investor"), "beyond_investor")
+    assigned = tables["r_user_role"].select("user_id", F.lit(True).alias("assigned"))
+    return any_flags(["user_id"], people, held, assigned).select(
+        "user_id", "off_web", "owned", "served", "serves_live", f("other_open").alias("other_live"),
+        (f("other_past") & ~f("front_end_open")).alias("other_ended"),
+        (f("on_web") & f("adviser_investor")).alias("both"),
+        (f("adviser_open") & ~f("not_adviser_open") & ~f("assigned") & f("live_company")).alias("adviser_only"),
+        (f("on_web") & f("assigned") & ~f("beyond_investor")).alias("investor_only"),
     )
-    return {
-        "off_web": off_web,
-        "other_live": users_of(on_web, other & open_after),
-        "other_ended": minus(
-            users_of(on_web, other & (F.col("dtetrm") <= today)), users_of(on_web, open_after & front_end)
-        ),
-        "owned": owned,
-        "served": served,
-        "both": both,
-        "adviser_only": adviser_only,
-        "serves_live": keep_matching(info, serves_live, "client"),
-        "investor_only": investor_only,
-    }
 
 
 def with_facts(users: DataFrame, facts: dict[str, DataFrame], user: str = "user_id") -> DataFrame:
@@ -173,18 +179,21 @@ def _ask_reset(users: DataFrame, condition: Column, by: str, as_of: datetime) ->
 def refresh_users(tables: Tables, as_of: datetime) -> JobResult:
     """Status rules in order, each seeing the status the one before left."""
     users = tables["r_user"]
-    state = with_facts(users, user_facts(tables, as_of))
+    facts = user_facts(tables, as_of)
+    state = users.join(join_side(facts, "user_id"), "user_id", "left").select(
+        *users.columns, *[F.coalesce(F.col(n), F.lit(False)).alias(n) for n in facts.columns if n != "user_id"]
+    )
     status, f = F.col("status"), F.col
 
-    state = _stop(state, f("off_web") & (status != INACTIVE), f"{USERS_LOG_NAME} 2A", as_of)
-    state = _ask_reset(state, f("other_live") & (status == INACTIVE), f"{USERS_LOG_NAME} 2B", as_of)
+    state = _stop(state, f("off_web") & (status != INACTIVE), f"{USERS_LOG_NAME} {RULE_OFF_WEB}", as_of)
+    state = _ask_reset(state, f("other_live") & (status == INACTIVE), f"{USERS_LOG_NAME} {RULE_OTHER_LIVE}", as_of)
     state = _stop(
-        state, f("other_ended") & (status == ACTIVE) & ~f("owned"), f"{USERS_LOG_NAME} 2B-ii", as_of
+        state, f("other_ended") & (status == ACTIVE) & ~f("owned"), f"{USERS_LOG_NAME} {RULE_OTHER_ENDED}", as_of
     )
     for group, active, rule in (
-        ("both", f("served") | f("owned"), "2C"),
-        ("adviser_only", f("serves_live"), "2D"),
-        ("investor_only", f("owned"), "2E"),
+        ("both", f("served") | f("owned"), RULE_BOTH),
+        ("adviser_only", f("serves_live"), RULE_ADVISER),
+        ("investor_only", f("owned"), RULE_INVESTOR),
     ):
         reset, stop = activity_actions(status, f(group), active)
         # one user meets only one of the two, so their order does not matter
