@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwork.llm import (
-    chat_format, decontamination, exact_dedup, license_scan, line_dedup, mixing, ngram_join, pii, token_store, toxicity,
+    chat_format, collocations, decontamination, exact_dedup, license_scan, line_dedup, merkle, mixing, ngram_join, pii,
+    token_counts, token_store, toxicity,
 )
 from duskwork.llm.frames import map_slices, table, texts_of, written
 
@@ -158,10 +159,113 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.ranked(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_phrases"] = f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, {collocations.LONGEST} + 1)) AS k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+inside AS (
+  SELECT DISTINCT lang, f, array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') AS phrase
+  FROM f, (SELECT unnest(range(2, {collocations.LONGEST})) AS m), (SELECT unnest(range(1, {collocations.LONGEST})) AS i)
+  WHERE m < k AND i + m - 1 <= k),
+c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f
+  WHERE k > 1 AND NOT EXISTS (SELECT 1 FROM inside x WHERE x.lang = f.lang AND x.phrase = f.phrase AND 100 * x.f >= 100 * f.f)),
+cuts AS (
+  SELECT c.*, cut, l.f AS l, r.f AS r, n.n,
+    ((1000::HUGEINT * a * n.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c JOIN n ON n.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[cut + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= {collocations.TOP}
+"""
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
+def manifest_sql(levels: int) -> str:
+    """Trees of up to ``levels`` levels over documents, unrolled: n(k) has the nodes of level k, s(k) their siblings."""
+
+    def encoded(value: str) -> str:
+        return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(encoded, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    crc = (
+        "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), "
+        "lambda r, b: list_reduce(list_prepend(xor(r, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+    )
+
+    def rising(start: str, at: str) -> list[str]:
+        parts = [start]
+        for k in range(levels):
+            n, s = f"{at}{k}", f"{at}s{k}"
+            parts.append(
+                f"{s} AS (SELECT t, p, n, "
+                f"coalesce(string_agg(h, '') OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+                f"coalesce(string_agg(h, '') OVER (b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r "
+                f"FROM {n} WHERE n > 1 WINDOW b AS (PARTITION BY t, p // 8 ORDER BY p))"
+            )
+            parts.append(
+                f"{at}{k + 1} AS (SELECT t, p // 8 AS p, (n + 7) // 8 AS n, sha256(string_agg(h, '' ORDER BY p)) AS h "
+                f"FROM {n} WHERE n > 1 GROUP BY t, p // 8, n UNION ALL SELECT t, p, n, h FROM {n} WHERE n = 1)"
+            )
+        return parts
+
+    ctes = rising(
+        f"d AS (SELECT doc_id, lang, {leaf('text')} AS leaf, "
+        f"CASE WHEN {crc} % 3 = 0 THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {leaf('text')} END AS shown, "
+        "dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS p, "
+        "count(*) OVER (PARTITION BY lang) AS n FROM documents), a0 AS (SELECT t, p, n, leaf AS h FROM d)", "a")
+    ctes += rising(f"b0 AS (SELECT 0 AS t, t AS p, count(*) OVER () AS n, h FROM a{levels})", "b")
+    joins, pairs = [], []
+    for k in range(levels):
+        joins.append(f"LEFT JOIN as{k} ON as{k}.t = d.t AND as{k}.p = d.p // {8 ** k}")
+        pairs.append(f"as{k}")
+    for k in range(levels):
+        joins.append(f"LEFT JOIN bs{k} ON bs{k}.p = d.t // {8 ** k}")
+        pairs.append(f"bs{k}")
+    folded = "shown"
+    steps = []
+    for number, pair in enumerate(pairs):
+        steps.append(
+            f"f{number + 1} AS (SELECT * REPLACE (CASE WHEN l{number} IS NULL THEN folded ELSE sha256(l{number} || folded || r{number}) END AS folded) "
+            f"FROM f{number})"
+        )
+    sides = ", ".join(f"{pair}.l AS l{i}, {pair}.r AS r{i}" for i, pair in enumerate(pairs))
+    joined = " || ".join(f"coalesce(l{i} || r{i}, '')" for i in range(len(pairs)))
+    start = f"f0 AS (SELECT d.doc_id, d.leaf, {folded} AS folded, a{levels}.h AS subroot, {sides} FROM d JOIN a{levels} ON a{levels}.t = d.t " + " ".join(joins) + ")"
+    return (
+        "WITH " + ",\n".join([*ctes, start, *steps]) + f"\nSELECT doc_id, leaf, subroot, b{levels}.h AS root, sha256({joined}) AS proof_sha256, "
+        f"folded AS folded_root, folded = b{levels}.h AS verified FROM f{len(pairs)} CROSS JOIN b{levels}"
+    )
+
+
+ORACLE["op13_manifest"] = manifest_sql(9)
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_personal_data, op2_line_dedup, op3_exact_dedup, op4_decontamination, op5_token_store, op6_toxicity, op7_source_mixing,
-        op8_ngram_join, op9_license_scan, op10_chat_format,
+        op8_ngram_join, op9_license_scan, op10_chat_format, op11_phrases, op12_token_counts, op13_manifest,
     )
 }
