@@ -44,6 +44,18 @@ def cascade_delete(
     ``settle`` is applied to the keys looked up in a parent table, for example
     to write them out before several tables use them.
     """
+    return cascade(tables, root, root_keys, root_on, children, settle)[0]
+
+
+def cascade(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    root_keys: DataFrame,
+    root_on: Keys,
+    children: Sequence[tuple[str, str, Keys, Keys]] = (),
+    settle: Callable[[DataFrame], DataFrame] = lambda keys: keys,
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(new states, rows deleted) of a :func:`cascade_delete`; of the root, its keys are given."""
     doomed: dict[str, DataFrame] = {}
     out = {root: delete_keys(tables[root], root_keys, root_on)}
     for child, parent, child_on, parent_on in children:
@@ -56,7 +68,7 @@ def cascade_delete(
             keys = settle(keys_of(rows.select(*columns), child_on))
         doomed[child] = keep_matching(tables[child], keys, child_on)
         out[child] = delete_keys(tables[child], keys, child_on)
-    return out
+    return out, {root: root_keys, **doomed}
 
 
 def update_where(target: DataFrame, condition: Column, sets: Sets) -> DataFrame:

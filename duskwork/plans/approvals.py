@@ -11,7 +11,7 @@ from duskwork.functions.dates import moment, stamp_text
 from duskwork.operators.audit import audit_rows
 from duskwork.operators.durable import reuse_keys
 from duskwork.operators.filters import is_aged, keep_matching, with_match
-from duskwork.operators.mutate import cascade_delete, is_true, update_keys
+from duskwork.operators.mutate import cascade, is_true, update_keys
 from duskwork.plans.job import JobResult, Tables, union_audit
 from duskwork.sources.codes import EXPIRED, PENDING, TRANSACTION_TYPE
 from duskwork.sources.params import number_param
@@ -43,7 +43,7 @@ def expire_approvals(tables: Tables, as_of: datetime) -> JobResult:
     touched = reuse_keys(marked.where(F.col("has_trx") | is_true(F.col("pending_type") != TRANSACTION_TYPE)))
     deleted, expired = touched.where("has_trx"), touched.where(~F.col("has_trx"))
 
-    new = cascade_delete(
+    new, gone = cascade(
         tables, "pending_approval", deleted, "pending_approval_id",
         [
             ("trx_ut", "pending_approval", "pending_approval_id", "pending_approval_id"),
@@ -61,4 +61,4 @@ def expire_approvals(tables: Tables, as_of: datetime) -> JobResult:
         audit_rows(deleted, ACTION, "PENDING_APPROVAL", before, None, as_of),
         audit_rows(expired, ACTION, "PENDING_APPROVAL", before, after, as_of),
     )
-    return JobResult(new, (LOG_NAME,), audit)
+    return JobResult(new, (LOG_NAME,), audit, touched={**gone, "pending_approval": touched})

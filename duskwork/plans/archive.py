@@ -81,4 +81,8 @@ def archive_transactions(tables: Tables, as_of: datetime) -> JobResult:
         _audit(histories, "PENDING_APPROVAL_HISTORY", "pending_approval_id", as_of),
         _audit(moved_approvals, "PENDING_APPROVAL", "pending_approval_id", as_of),
     )
-    return JobResult.of(tables, (LOG_NAME,), left, archived, audit)
+    keys = {
+        "trx_ut": trx_keys, "trx_ut_detail": trx_keys,
+        "pending_approval": approval_keys, "pending_approval_history": approval_keys,
+    }
+    return JobResult.of(tables, (LOG_NAME,), left, archived, audit, touched=keys)

@@ -69,7 +69,8 @@ def purge_mailboxes(tables: Tables, as_of: datetime) -> JobResult:
     keys = doomed.select("mail_id")
     new = {name: delete_keys(tables[name], keys, "mail_id") for name in ("mail_dtl_content", "mail_dtl", "mail")}
     before = [F.col("mail_id"), stamp_text(F.col("dt_created")), F.col("subject")]
-    return JobResult(new, (PURGE_LOG_NAME,), audit_rows(doomed, PURGE_ACTION, PURGE_TABLES, before, None, as_of))
+    audit = audit_rows(doomed, PURGE_ACTION, PURGE_TABLES, before, None, as_of)
+    return JobResult(new, (PURGE_LOG_NAME,), audit, touched=dict.fromkeys(new, keys))
 
 
 def addressed(recipients: DataFrame, names: DataFrame, users: DataFrame) -> DataFrame:

@@ -110,7 +110,9 @@ def copy_beneficiaries(
         joined("references with several accounts: ", F.col("n").cast("string"), ", first ", F.col("first")).alias("error"),
     )
     rows = {"eod_log": run_log(failure, "job", "status", as_of, "error")}
-    return JobResult.of(tables, (), {"plan_acct": new}, rows, out={"ambiguous_references": ambiguous})
+    return JobResult.of(
+        tables, (), {"plan_acct": new}, rows, out={"ambiguous_references": ambiguous}, touched={"plan_acct": source.select("acctid")},
+    )
 
 
 def staged_references(tables: Tables, since_key: int, match_company: bool = True) -> DataFrame:

@@ -39,4 +39,4 @@ def settle_transactions(tables: Tables, as_of: datetime) -> JobResult:
         ready, ACTION, "TRX_UT",
         [F.col("trx_ut_id"), F.col("trx_status")], [F.col("trx_ut_id"), F.lit(SUCCEEDED)], as_of,
     )
-    return JobResult({"trx_ut": new}, (LOG_NAME,), audit)
+    return JobResult({"trx_ut": new}, (LOG_NAME,), audit, touched={"trx_ut": ready})

@@ -64,7 +64,7 @@ def set_dormant(tables: Tables, as_of: datetime) -> JobResult:
         idle, DORMANT_ACTION, "R_USER",
         [F.col("user_id"), F.col("status")], [F.col("user_id"), F.lit(DORMANT)], as_of,
     )
-    return JobResult({"r_user": new}, (DORMANT_LOG_NAME,), audit)
+    return JobResult({"r_user": new}, (DORMANT_LOG_NAME,), audit, touched={"r_user": idle})
 
 
 def queue_password_resets(tables: Tables, as_of: datetime) -> JobResult:
@@ -78,7 +78,7 @@ def queue_password_resets(tables: Tables, as_of: datetime) -> JobResult:
     order: list[Column | str] = ["user_info_id", "client", "email", *ADDRESS]
     asked = reuse_keys(first_per_key(asked, "user_id", order).drop("client", "user_info_id"))
     requests = asked.drop("pwd_regen_flag").withColumn("user_id", F.col("user_id").cast("string"))
-    queue, _ = enqueue_requests(tables["r_user_process"], requests, "user_id")
+    queue, added = enqueue_requests(tables["r_user_process"], requests, "user_id")
     new = {
         "r_user_process": queue,
         "r_user": update_keys(users, asked, "user_id", {"pwd_regen_flag": F.lit(NO)}),
@@ -88,4 +88,4 @@ def queue_password_resets(tables: Tables, as_of: datetime) -> JobResult:
         asked, RESET_ACTION, "R_USER",
         [F.col("user_id"), F.col("pwd_regen_flag")], [F.col("user_id"), F.lit(NO)], as_of,
     )
-    return JobResult(new, (RESET_LOG_NAME,), audit)
+    return JobResult(new, (RESET_LOG_NAME,), audit, touched={"r_user": asked, "r_user_process": added})
