@@ -130,6 +130,24 @@ def pattern_fallback(source: Source):
     )
 
 
+@query("""
+WITH t AS (SELECT DISTINCT left(p_type, p_size % 7) AS item FROM part),
+p AS (SELECT DISTINCT repeat('_', p_size % 9) || CASE WHEN p_partkey % 3 = 0 THEN '%' ELSE '' END AS pattern FROM part
+      UNION SELECT DISTINCT '%' || left(p_type, p_size % 3) || '%_' FROM part)
+SELECT pattern, count(*) AS items, min(item) AS first_item FROM p JOIN t ON item LIKE pattern GROUP BY 1
+""")
+def wildcard_patterns(source: Source):
+    """Patterns of wildcards alone, which no literal piece can be looked up for, among others."""
+    part = source.part
+    tail = F.when(F.col("p_partkey") % 3 == 0, "%").otherwise("")
+    blanks = part.select(F.concat(F.repeat(F.lit("_"), F.col("p_size") % 9), tail).alias("pattern"))
+    short = part.select(F.concat(F.lit("%"), F.substring(F.col("p_type"), F.lit(1), F.col("p_size") % 3), F.lit("%_")))
+    texts = part.select(F.substring(F.col("p_type"), F.lit(1), F.col("p_size") % 7).alias("item"))
+    return pattern_matches(blanks.union(short), "pattern", texts, "item").groupBy("pattern").agg(
+        F.count(F.lit(1)).alias("items"), F.min("item").alias("first_item")
+    )
+
+
 @query("""
 WITH t AS (SELECT DISTINCT p_size || '%_' || p_brand AS item FROM part),
 p AS (SELECT DISTINCT '%\\%\\_' || p_brand || '%' AS pattern FROM part UNION SELECT DISTINCT p_size || '\\%%' FROM part)

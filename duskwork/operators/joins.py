@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwork.functions.text import matches
-from duskwork.operators.filters import Keys, key_list
+from duskwork.operators.filters import Keys, join_side, key_list
 
-GRAM = 8
-PRODUCT_SLICES = 16
+GRAM = 3
+PREFIX_GRAM = 8
+# Rows of either side in a cell of a product.
+CELL_ROWS = 2048
 # (escaped in a pattern, literal, stand-in from the private use area), backslash first
 ESCAPES = (("\\\\", "\\", "\ue001"), ("\\%", "%", "\ue002"), ("\\_", "_", "\ue003"))
 
@@ -47,76 +49,107 @@ def either_owner_join(
     ).drop("__owner")
 
 
-def all_combinations(left: DataFrame, right: DataFrame, slices: int = PRODUCT_SLICES) -> DataFrame:
+def block_count(df: DataFrame, rows: int) -> Column:
+    """Blocks of ``rows`` rows that a frame is dealt into, at least one, as a scalar subquery."""
+    return df.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows))).cast("int").alias("n")).scalar()
+
+
+def all_combinations(left: DataFrame, right: DataFrame, cell: int = CELL_ROWS) -> DataFrame:
     """Every row of ``left`` with every row of ``right``.
 
     The full product is the result asked for here (code tables crossed with
-    code tables). It is computed as an equality join on a slice number: left
-    rows are dealt out over the slices, right rows are copied to each.
+    code tables). It is computed on a grid: left rows are dealt into as many bands as they
+    need at ``cell`` rows each, right rows into as many columns, each row is copied along its
+    band or column, and an equality join on both numbers makes the cells. So no task
+    gets more than ``cell`` by ``cell`` pairs, and cells grow in number with the product. Both
+    sides are counted first: hand in written frames if they are costly.
     """
-    a = left.withColumn("__slice", F.pmod(F.xxhash64(*left.columns), F.lit(slices)).cast("int"))
-    b = right.withColumn("__slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return a.join(b, "__slice").drop("__slice")
+    bands, columns = block_count(left, cell), block_count(right, cell)
+
+    def dealt(df: DataFrame, number: str, count: Column, copied: str, copies: Column) -> DataFrame:
+        own = df.withColumn(number, F.pmod(F.xxhash64(*df.columns), count).cast("int"))
+        return own.withColumn(copied, F.explode(F.sequence(F.lit(0), copies - 1)))
 
+    a = dealt(left, "__band", bands, "__column", columns)
+    b = dealt(right, "__column", columns, "__band", bands)
+    return a.join(b, ["__band", "__column"]).drop("__band", "__column")
 
-def _anchor(pattern: Column, prefix: bool, gram: int) -> Column:
-    """Literal text every match of the pattern must contain (or start with).
+
+def _runs(pattern: Column) -> Column:
+    """The literal runs of a LIKE pattern, none of them empty.
 
     Escaped characters are literal: they're swapped for stand-ins while the
     pattern is cut at its wildcards. A pattern that holds such a stand-in itself
-    gets the empty anchor, which every text has.
+    counts as one without runs.
     """
-    swapped, original = pattern, pattern
-    for escaped, literal, stand_in in ESCAPES:
+    swapped = pattern
+    for escaped, _, stand_in in ESCAPES:
         swapped = F.replace(swapped, F.lit(escaped), F.lit(stand_in))
-    pattern = swapped
 
     def plain(run: Column) -> Column:
         for _, literal, stand_in in ESCAPES:
             run = F.replace(run, F.lit(stand_in), F.lit(literal))
         return run
 
-    if prefix:
-        run = plain(F.regexp_extract(pattern, "^[^%_]*", 0))
-    else:
-        runs = F.transform(
-            F.split(pattern, "[%_]"),
-            lambda r: F.struct(F.length(plain(r)).alias("size"), plain(r).alias("run")),
-        )
-        run = F.array_max(runs)["run"]
-    taken = F.rlike(original, F.lit("[" + "".join(s for _, _, s in ESCAPES) + "]"))
-    return F.when(taken, F.lit("")).otherwise(F.substring(run, 1, gram))
-
-
-def _grams(text: Column, prefix: bool, gram: int) -> Column:
-    """All pieces of ``text`` an anchor may equal, the empty one included."""
-    sizes = lambda room: F.filter(F.sequence(F.lit(0), F.lit(gram)), lambda n: n <= room)
-    if prefix:
-        return F.transform(sizes(F.length(text)), lambda n: F.substring(text, F.lit(1), n))
+    runs = F.transform(F.filter(F.split(swapped, "[%_]"), lambda r: F.length(r) > 0), plain)
+    taken = F.rlike(pattern, F.lit("[" + "".join(s for _, _, s in ESCAPES) + "]"))
+    return F.when(taken, F.array().cast("array<string>")).otherwise(runs)
+
+
+def _pieces(run: Column, gram: int) -> Column:
+    """All pieces of ``gram`` characters of a run, or the run itself if it is shorter."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(run) - gram + 1))
+    return F.transform(starts, lambda i: F.substring(run, i, F.lit(gram)))
+
+
+def _grams(text: Column, gram: int) -> Column:
+    """All pieces of ``text`` of one to ``gram`` characters."""
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text)))
-    pieces = F.transform(
-        starts,
-        lambda i: F.transform(sizes(F.length(text) - i + 1), lambda n: F.substring(text, i, n)),
-    )
-    return F.array_distinct(F.flatten(pieces))
+    pieces = F.transform(starts, lambda i: F.array(*[F.substring(text, i, F.lit(n)) for n in range(1, gram + 1)]))
+    return F.filter(F.array_distinct(F.flatten(pieces)), lambda g: g != "")
+
+
+def rarest_grams(patterns: DataFrame, pattern: str, grams: DataFrame, gram: int) -> DataFrame:
+    """(pattern, __gram): of a pattern's pieces the one that fewest texts have.
+
+    ``grams`` has a row per text and gram (column ``__gram``); its counts are combined
+    map-side. A pattern with a piece that no text has matches nothing and is left out.
+    """
+    counts = grams.groupBy("__gram").agg(F.count(F.lit(1)).alias("__texts"))
+    pieces = patterns.withColumn("__gram", F.explode(F.flatten(F.transform(_runs(F.col(pattern)), lambda r: _pieces(r, gram)))))
+    counted = pieces.distinct().join(join_side(counts, "__gram"), "__gram", "left")
+    rarest = F.min(F.struct(F.coalesce("__texts", F.lit(0)).alias("texts"), "__gram")).alias("__rarest")
+    return counted.groupBy(pattern).agg(rarest).where(F.col("__rarest.texts") > 0).select(pattern, F.col("__rarest.__gram").alias("__gram"))
 
 
 def pattern_matches(
-    patterns: DataFrame, pattern: str, texts: DataFrame, text: str, *, prefix: bool = False, gram: int = GRAM
+    patterns: DataFrame, pattern: str, texts: DataFrame, text: str, *, prefix: bool = False, gram: int | None = None
 ) -> DataFrame:
     """Distinct (pattern, text) pairs with ``text LIKE pattern``.
 
     A LIKE condition alone would compare every pattern with every text. Here
-    each pattern is reduced to its longest literal run (at most ``gram``
-    characters) and each text to its pieces of that size; pairs that agree on
-    one are checked with the real LIKE. ``prefix=True`` is for patterns that do
-    not start with a wildcard: a text then has only as many pieces as ``gram``.
+    texts are indexed by their pieces of up to ``gram`` characters, each pattern is looked
+    up by the piece of its literal runs that fewest texts have, and the texts found are
+    checked with the real LIKE. ``prefix=True`` is for patterns that mostly start with a literal
+    run: that run (at most ``gram`` characters) is the key, and a text has only as many
+    pieces as that. Patterns of wildcards alone (or starting with one, under ``prefix``) are
+    compared with every text, as a product in blocks.
     """
+    gram = gram or (PREFIX_GRAM if prefix else GRAM)
     p = patterns.select(pattern).where(F.col(pattern).isNotNull()).distinct()
     t = texts.select(text).where(F.col(text).isNotNull()).distinct()
-    p = p.withColumn("__gram", _anchor(F.col(pattern), prefix, gram))
-    t = t.withColumn("__gram", F.explode(_grams(F.col(text), prefix, gram)))
-    return p.join(t, "__gram").where(matches(text, pattern)).select(pattern, text)
+    if prefix:
+        led = F.rlike(F.col(pattern), F.lit("^[^%_]")) & (F.size(_runs(F.col(pattern))) > 0)
+        keyed = p.where(led).withColumn("__gram", F.substring(_runs(F.col(pattern))[0], 1, gram))
+        heads = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(gram)), lambda n: F.substring(F.col(text), F.lit(1), n)))
+        grams = t.withColumn("__gram", F.explode(F.filter(heads, lambda g: g != "")))
+    else:
+        led = F.size(_runs(F.col(pattern))) > 0
+        grams = t.withColumn("__gram", F.explode(_grams(F.col(text), gram)))
+        keyed = rarest_grams(p.where(led), pattern, grams, gram)
+    found = join_side(keyed, "__gram").join(grams, "__gram").select(pattern, text)
+    rest = all_combinations(p.where(~led), t).select(pattern, text)
+    return found.unionByName(rest).where(matches(text, pattern))
 
 
 def unique_rows(df: DataFrame, key: Keys, what: str) -> DataFrame:

@@ -9,6 +9,7 @@ from duskwork.operators.audit import append_audit, audit_rows, enqueue_requests,
 from duskwork.operators.entities import joint_group, resolve_entities, sole_member_group
 from duskwork.sources.schemas import make_table
 from duskwork.sources.tables import project_columns, read_tables, write_tables
+from tests.test_plans import settings
 from tests.helpers import AS_OF, ago, rows
 
 
@@ -73,6 +74,50 @@ def test_all_combinations(spark):
     assert joins.all_combinations(a, b.limit(0)).count() == 0
 
 
+def test_all_combinations_in_many_cells(spark):
+    a = spark.range(50).withColumnRenamed("id", "a")
+    b = spark.range(30).withColumnRenamed("id", "b")
+    assert rows(joins.all_combinations(a, b, cell=7)) == rows(a.crossJoin(b))
+    assert joins.all_combinations(a.limit(0), b, cell=7).count() == 0
+    twice = a.union(a)
+    assert joins.all_combinations(twice, b, cell=7).count() == 3000
+
+
+def test_product_is_dealt_over_as_many_tasks_as_it_needs(spark):
+    def tasks(many, cell):
+        side = spark.range(many)
+        product = joins.all_combinations(side.withColumnRenamed("id", "a"), side.withColumnRenamed("id", "b"), cell)
+        return product.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
+
+    with settings(
+        spark, spark__sql__shuffle__partitions="64", spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false",
+    ):
+        assert tasks(10, 16)[0] == 1
+        few, most = tasks(160, 16)
+        assert few > 40 and most < 160 * 160 / 8
+
+
+def test_rarest_gram_is_the_key(spark):
+    t = spark.createDataFrame([(f"common{i}",) for i in range(50)] + [("common rare",)], "t string")
+    p = spark.createDataFrame([("%common%rar%",), ("%common%",), ("%absent%common%",), ("%7",)], "p string")
+    grams = t.withColumn("__gram", F.explode(joins._grams(F.col("t"), 3)))
+    chosen = dict(rows(joins.rarest_grams(p, "p", grams, 3)))
+    assert chosen["%common%rar%"] == "rar" and chosen["%7"] == "7" and len(chosen["%common%"]) == 3
+    assert "%absent%common%" not in chosen
+    assert rows(joins.pattern_matches(p, "p", t, "t"), "p", "t") == rows(p.crossJoin(t).where("t like p"), "p", "t")
+
+
+def test_no_pattern_is_looked_up_by_an_empty_piece(spark):
+    p = spark.createDataFrame([(x,) for x in ("", "%", "_%_", "%a", "\\%", "\ue001x", "%%")], "p string")
+    runs = {r.p: r.runs for r in p.select("p", joins._runs(F.col("p")).alias("runs")).collect()}
+    assert all("" not in found for found in runs.values())
+    assert {k for k, found in runs.items() if not found} == {"", "%", "_%_", "%%", "\ue001x"}
+    t = spark.createDataFrame([(x,) for x in ("", "a", "ba", "%", "\ue001x")], "t string")
+    for prefix in (False, True):
+        assert rows(joins.pattern_matches(p, "p", t, "t", prefix=prefix), "p", "t") == rows(p.crossJoin(t).where("t like p"), "p", "t")
+
+
 def test_pattern_matches_against_brute_force(spark):
     rng = random.Random(5)
     word = lambda chars, low, high: "".join(rng.choice(chars) for _ in range(rng.randint(low, high)))
