@@ -325,6 +325,41 @@ def reset_tables(source: Source) -> dict[str, DataFrame]:
     }
 
 
+def night_tables(source: Source) -> dict[str, DataFrame]:
+    """Intake, refresh and reset tables of one world: those of the intake, where some users
+    are inactive, agents and serving agents as for the refresh, and the queue of early buyers."""
+    spark, customer = source.spark, source.customer
+    tables, refresh = intake_tables(source), refresh_tables(source)
+    none = F.lit(None)
+    balance = customer.select(F.col("c_custkey").alias("user_id"), "c_acctbal")
+    moments = [none.cast("timestamp_ntz").alias(c) for c in ("dt_updated", "dt_reset_password_updated")]
+    tables["r_user"] = tables["r_user"].drop("status").join(balance, "user_id").select(
+        "user_id", F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("login_id"),
+        F.when(F.col("c_acctbal") < 0, "I").otherwise("A").alias("status"), "pwd_regen_flag", "email_notify_flag",
+        "created_by", "dt_created", text().alias("updated_by"), *moments,
+    )
+    addresses = customer.select(client_number("c_custkey").alias("clntnum"), F.col("c_mktsegment").alias("cltaddr01"))
+    tables["ifsdmclntpf"] = tables["ifsdmclntpf"].join(addresses, "clntnum").select(
+        "*", *[text().alias(f"cltaddr0{i}") for i in range(2, 6)])
+    served = refresh["ifsdmchdrpf"].select("chdrcoy", "chdrnum", "servagnt")
+    tables["ifsdmchdrpf"] = tables["ifsdmchdrpf"].join(served, ["chdrcoy", "chdrnum"])
+    tables["r_role"] = source.region.select(
+        F.col("r_regionkey").cast("bigint").alias("role_id"), decode("r_name", [("ASIA", "INVESTOR")], F.col("r_name")).alias("role_nm"),
+        decode("r_name", [("ASIA", "I"), ("EUROPE", "V")], "M").alias("role_type"),
+    )
+    marks = run_log(spark, NEW_AGENT=datetime(2001, 7, 6), NEW_USER=datetime(2001, 7, 6))
+    return {
+        **tables,
+        **{n: refresh[n] for n in ("ifsdmaglfpf", "r_agt_cl_role_map")},
+        "r_user_process": reset_tables(source)["r_user_process"],
+        "r_sysparam": params(spark, PASSWORD_RESET_DATE_LAST_RUN=20240101),
+        "eod_log": marks,
+        "audit_trail": empty(
+            spark, "audit_id bigint, action string, table_nm string, dt_created timestamp_ntz, created_by string, "
+            "audit_type string, data1 string, data2 string"),
+    }
+
+
 def entity_tables(source: Source) -> dict[str, DataFrame]:
     """Orders are entities; the suppliers of their lines 1 and 2 first and second owners."""
     lines = source.lineitem.where(F.col("l_linenumber").isin(1, 2))
