@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwork.functions.dates import days_before, moment
+from duskwork.operators.durable import ranged, settled
 
 Keys = str | Sequence[str]
 
@@ -87,13 +88,24 @@ def with_match(df: DataFrame, keys: DataFrame, on: Keys, flag: str) -> DataFrame
     )
 
 
+def matching_side(keys: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``keys`` as the right side of a semi or anti join, which repeated keys don't harm.
+
+    Settled keys are taken as they lie: their size is known, and Spark can build a
+    runtime filter from many of them. Others are made distinct where they are read.
+    """
+    if settled(keys):
+        return ranged(keys.select(*names).dropna(how="any", subset=list(names)), keys)
+    return join_side(keys_of(keys, names), names)
+
+
 def keep_matching(df: DataFrame, keys: DataFrame, on: Keys) -> DataFrame:
     """EXISTS: rows whose key occurs in ``keys``."""
     names = key_list(on)
-    return df.join(join_side(keys_of(keys, names), names), names, "left_semi").select(*df.columns)
+    return df.join(matching_side(keys, names), names, "left_semi").select(*df.columns)
 
 
 def drop_matching(df: DataFrame, keys: DataFrame, on: Keys) -> DataFrame:
     """NOT EXISTS: rows whose key does not occur in ``keys``; NULL keys stay."""
     names = key_list(on)
-    return df.join(join_side(keys_of(keys, names), names), names, "left_anti").select(*df.columns)
+    return df.join(matching_side(keys, names), names, "left_anti").select(*df.columns)

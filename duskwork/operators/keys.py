@@ -44,18 +44,18 @@ def assign_ordinals(df: DataFrame, order: Sequence[str], column: str, digits: in
 
 
 def assign_keys(
-    df: DataFrame, order: Sequence[str], key: str, existing: DataFrame, existing_key: str | None = None
+    df: DataFrame, order: Sequence[str], key: str, existing: DataFrame | Column, existing_key: str | None = None
 ) -> DataFrame:
-    """Give each row a key above every key of ``existing``."""
+    """Give each row a key above every key of ``existing``, or above a last key."""
+    last = existing if isinstance(existing, Column) else highest(existing, existing_key or key)
     numbered = assign_ordinals(df, order, key)
-    return numbered.withColumn(key, highest(existing, existing_key or key) + F.col(key))
+    return numbered.withColumn(key, last + F.col(key))
 
 
-def with_row_ids(df: DataFrame, key: str, existing: DataFrame) -> DataFrame:
-    """Unique ids above those of ``existing``, for rows nothing else refers to.
+def with_row_ids(df: DataFrame, key: str, existing: DataFrame | Column) -> DataFrame:
+    """Unique ids above those of ``existing`` (or a last key), for rows nothing else refers to.
 
     No shuffle: ids are unique but leave gaps, and are final once written.
     """
-    return df.withColumn(
-        key, highest(existing, key) + F.lit(1) + F.monotonically_increasing_id()
-    )
+    last = existing if isinstance(existing, Column) else highest(existing, key)
+    return df.withColumn(key, last + F.lit(1) + F.monotonically_increasing_id())

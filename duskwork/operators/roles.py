@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -56,3 +56,48 @@ def activity_actions(status: Column, in_group: Column, active: Column) -> tuple[
     reset = member & busy & F.coalesce(status == "I", F.lit(False))
     stop = member & ~busy & F.coalesce(status != "I", F.lit(False))
     return reset, stop
+
+
+# Bits of a long that hold roles; the sign bit is left out.
+WORD_BITS = 63
+
+
+def role_sets(
+    assignments: DataFrame, user: Keys, role: str, sets: Mapping[str, Sequence[str]], exact: bool = True, name: str = "role_set"
+) -> DataFrame:
+    """(user, name of the set) for each set whose roles a user holds: exactly these, or at least these.
+
+    One aggregate answers any number of sets: each role has a bit, a user's roles are
+    the bitwise OR over the rows, combined map-side, and sets are compared with it as
+    numbers. Roles of no set share one further bit. A NULL role counts as none.
+    """
+    numbers = {r: i for i, r in enumerate(sorted({r for required in sets.values() for r in required}))}
+    other = len(numbers)
+    words = other // WORD_BITS + 1
+
+    def masks(ordinals: Iterable[int]) -> list[int]:
+        out = [0] * words
+        for i in ordinals:
+            out[i // WORD_BITS] |= 1 << (i % WORD_BITS)
+        return out
+
+    known = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair]) if numbers else None
+    ordinal = F.coalesce(known[F.col(role)], F.lit(other)) if numbers else F.lit(other)
+    bit = F.when(F.col(role).isNotNull(), ordinal)
+    # two to the power of a bit's place, exact for the 63 places of a word
+    value = F.pow(F.lit(2.0), F.pmod(bit, F.lit(WORD_BITS))).cast("bigint")
+    none = F.lit(0).cast("bigint")
+    held = [F.bit_or(F.when(F.floor(bit / WORD_BITS) == w, value).otherwise(none)).alias(f"__held_{w}") for w in range(words)]
+    per_user = assignments.groupBy(*key_list(user)).agg(*held)
+    wanted = F.array(*[
+        F.struct(F.lit(n).alias("name"), F.array(*[F.lit(m).cast("bigint") for m in masks({numbers[r] for r in required})]).alias("masks"))
+        for n, required in sets.items()
+    ])
+    mine = [F.col(f"__held_{w}") for w in range(words)]
+
+    def fits(s: Column) -> Column:
+        pairs = [(mine[w], s["masks"][w]) for w in range(words)]
+        return reduce(lambda a, b: a & b, [h == m if exact else h.bitwiseAND(m) == m for h, m in pairs])
+
+    found = per_user.withColumn("__set", F.explode(F.filter(wanted, fits)))
+    return found.select(*key_list(user), F.col("__set.name").alias(name))

@@ -15,28 +15,37 @@ from duskwork.plans.job import JobResult, Tables
 # --- fixed values ---
 FUND_LOG_NAME = "AlertByFund"
 ACCOUNT_LOG_NAME = "AlertByPlanAccount"
+# The latest prices of each fund, maintained by ``operators.latest``.
+LATEST_PRICE = "latest_price"
 
 
 def band_alert(
     alerts: DataFrame, values: DataFrame, alert_key: str, value_key: str, *, when: str = "effdate",
-    value: str = "ubidpr", floor: str = "floor", ceiling: str = "ceiling",
+    value: str = "ubidpr", floor: str = "floor", ceiling: str = "ceiling", maintained: bool = False,
 ) -> DataFrame:
     """Alerts whose latest value is at or beyond a bound, with that value.
 
     Several values at the latest moment are all looked at. Only series with an
-    alert are ranked.
+    alert are ranked; ``maintained`` values (``operators.latest``) are the latest
+    ones already.
     """
     series = values.select(F.col(value_key).cast("string").alias("__series"), when, value)
     wanted = keep_matching(series, alerts.select(F.col(alert_key).cast("string").alias("__series")), "__series")
-    latest = latest_per_key(wanted, "__series", when).select("__series", value)
+    latest = wanted if maintained else latest_per_key(wanted, "__series", when)
+    latest = latest.select("__series", value)
     pairs = derived_key_join(alerts, latest, F.col(alert_key).cast("string"), F.col("__series"))
     return pairs.where(outside_band(value, floor, ceiling)).select(*alerts.columns, value)
 
 
 def alert_by_fund(tables: Tables, as_of: datetime) -> JobResult:
-    """Fund alerts against the latest bid price; rows in ``out['alerts']``."""
+    """Fund alerts against the latest bid price; rows in ``out['alerts']``.
+
+    A maintained table ``latest_price`` takes the place of the price history.
+    """
     alerts = tables["fund_alert"].select("fund_alert_id", "user_id", "floor", "ceiling")
-    rows = band_alert(alerts, tables["ifsdmvprcpf"], "fund_alert_id", "vrtfnd")
+    maintained = LATEST_PRICE in tables
+    prices = tables[LATEST_PRICE if maintained else "ifsdmvprcpf"]
+    rows = band_alert(alerts, prices, "fund_alert_id", "vrtfnd", maintained=maintained)
     return JobResult({}, (FUND_LOG_NAME,), None, {"alerts": rows})
 
 

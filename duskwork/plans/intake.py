@@ -15,9 +15,10 @@ from duskwork.operators.entities import resolve_entities
 from duskwork.operators.filters import drop_matching, join_side, keep_matching, with_match
 from duskwork.operators.incremental import high_water_mark, incremental_new
 from duskwork.operators.joins import owners_of
-from duskwork.operators.keys import assign_keys, assign_ordinals, highest
+from duskwork.operators.keys import assign_keys, assign_ordinals
 from duskwork.operators.ranking import first_per_key, lookup_per_key
 from duskwork.operators.roles import union_distinct
+from duskwork.operators.sequences import last_key, reserved
 from duskwork.plans.job import JobResult, Tables, chain, combine, union_audit
 from duskwork.plans.portfolios import copy_beneficiaries, insert_portfolios, staged_references
 from duskwork.sources.codes import (
@@ -25,6 +26,7 @@ from duskwork.sources.codes import (
     FRONT_END_COMPANIES, INACTIVE, INDIVIDUAL, INTAKE_USER, INVESTOR_ROLE_NAME, JOINT, NO, NO_ENTITY, RESET,
     SECOND_OWNER, VALID_CONTRACT, YES,
 )
+from duskwork.sources.clustered import changed_since
 
 # --- fixed values ---
 AGENT_LOG_NAME = "NEW_AGENT"
@@ -33,6 +35,7 @@ ACCOUNT_LOG_NAME = "NEW_ACCT"
 ENTITY_TABLES = ",R_CUSTOMER,R_CUSTUSER_MATRIX"
 
 CONTRACT = ["chdrcoy", "chdrnum"]
+USER_KEYS = (("r_user", "user_id"), ("r_user_info", "user_info_id"), ("r_user_role", "user_role_id"))
 
 
 def clients_of(tables: Tables) -> DataFrame:
@@ -63,7 +66,7 @@ def investor_role(tables: Tables) -> Column:
 def new_clients(tables: Tables, log_name: str, extra: Column | None = None) -> DataFrame:
     """Clients changed since the last success of ``log_name`` who are no users."""
     mark = high_water_mark(tables["eod_log"], log_name)
-    changed = F.col("datime") > moment(mark)
+    changed = changed_since(tables["ifsdmclntpf"], "datime", mark)
     changed = changed if extra is None else changed & extra
     known = tables["r_user_info"].select(code("clntnum").alias("client"))
     return incremental_new(clients_of(tables), changed, known, "client", settle=reuse_keys)
@@ -81,11 +84,10 @@ def create_users(
     numbered = assign_ordinals(reuse(chosen), ["client"], "__n")
     people = numbered.select(
         "clntnum", "status", "pwd_regen_flag", "email_notify_flag",
-        (highest(tables["r_user"], "user_id") + F.col("__n")).alias("user_id"),
-        (highest(tables["r_user_info"], "user_info_id") + F.col("__n")).alias("user_info_id"),
-        (highest(tables["r_user_role"], "user_role_id") + F.col("__n")).alias("user_role_id"),
+        *[(last_key(tables, table, key) + F.col("__n")).alias(key) for table, key in USER_KEYS],
     )
     people = reuse(people)
+    taken = {names: people for names in USER_KEYS if with_role or names[0] != "r_user_role"}
     made = {"created_by": F.lit(INTAKE_USER), "dt_created": moment(as_of)}
     stamp = [v.alias(k) for k, v in made.items()]
     active = F.lit(ACTIVE).alias("status")
@@ -102,7 +104,7 @@ def create_users(
         )
         touched, after = f"{touched},R_USER_ROLE", [*after, F.col("user_role_id")]
     audit = audit_rows(people, log_name, touched, None, [*after, F.col("clntnum")], as_of)
-    return JobResult.of(tables, (log_name,), {}, added, audit, {log_name: people})
+    return JobResult.of(tables, (log_name,), reserved(tables, taken), added, audit, {log_name: people})
 
 
 def new_agents(tables: Tables, as_of: datetime) -> JobResult:
@@ -153,7 +155,7 @@ def new_entities(tables: Tables, contracts: DataFrame) -> DataFrame:
             "main", "__joint", customer_type.alias("customer_type"), authority.alias("auth_type"),
             F.col("__opener")["chdrcoy"].alias("open_coy"), F.col("__opener")["chdrnum"].alias("open_num"),
         ),
-        ["main", "__joint"], "entity_id", tables["r_customer"], "entityid",
+        ["main", "__joint"], "entity_id", last_key(tables, "r_customer", "entityid"),
     ).withColumn("is_new", F.lit(True))
     old = known.select(*_pair(), "entity_id", F.lit(False).alias("is_new"))
     return created.unionByName(old, allowMissingColumns=True)
@@ -168,7 +170,7 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
     since = key_of(high_water_mark(tables["eod_log"], ACCOUNT_LOG_NAME))
     contracts = tables["ifsdmchdrpf"]
     fresh = incremental_new(
-        contracts, is_active_contract() & (F.col("modidate") > since), tables["plan_acct"], CONTRACT,
+        contracts, is_active_contract() & changed_since(contracts, "modidate", since), tables["plan_acct"], CONTRACT,
         settle=reuse_keys,
     ).select(*CONTRACT, code("cownnum").alias("main"), code("jownnum").alias("joint"), "dueflg")
     fresh = first_per_key(fresh, CONTRACT, ["main", "joint", "dueflg"])
@@ -184,7 +186,7 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
             join_side(entities.select("main", "__joint", "entity_id", "is_new", "open_coy", "open_num"), ["main", "__joint"]),
             ["main", "__joint"],
         ),
-        CONTRACT, "acctid", tables["plan_acct"],
+        CONTRACT, "acctid", last_key(tables, "plan_acct", "acctid"),
     )
     opened = reuse_keys(opened)
 
@@ -218,7 +220,8 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
             [F.col("acctid"), F.col("chdrcoy"), F.col("chdrnum"), F.col("entity_id")], as_of,
         ),
     )
-    accounts = JobResult.of(tables, (ACCOUNT_LOG_NAME,), {}, added, audit, {ACCOUNT_LOG_NAME: opened})
+    taken = reserved(tables, {("r_customer", "entityid"): created, ("plan_acct", "acctid"): opened})
+    accounts = JobResult.of(tables, (ACCOUNT_LOG_NAME,), taken, added, audit, {ACCOUNT_LOG_NAME: opened})
     state = accounts.over(tables)
     portfolios = insert_portfolios(state, references, as_of, match_company)
     beneficiaries = copy_beneficiaries(portfolios.over(state), references, as_of, match_company)
@@ -242,13 +245,13 @@ def investor_roles(tables: Tables, as_of: datetime) -> JobResult:
     infos = tables["r_user_info"].select(code("clntnum").alias("client"), "user_id")
     without = drop_matching(keep_matching(infos, owners, "client"), tables["r_user_role"], "user_id")
     users = reuse(without.select("user_id").distinct())
-    given = assign_keys(users, ["user_id"], "user_role_id", tables["r_user_role"])
+    given = assign_keys(users, ["user_id"], "user_role_id", last_key(tables, "r_user_role", "user_role_id"))
     rows = given.select(
         "user_role_id", "user_id", investor_role(tables).alias("role_id"), F.lit(ACTIVE).alias("status"),
         moment(as_of).alias("dt_created"), F.lit(INTAKE_USER).alias("created_by"),
         moment(as_of).alias("dt_updated"), F.lit(INTAKE_USER).alias("updated_by"),
     )
-    return JobResult.of(tables, (), {}, {"r_user_role": rows})
+    return JobResult.of(tables, (), reserved(tables, {("r_user_role", "user_role_id"): users}), {"r_user_role": rows})
 
 
 def take_in(tables: Tables, as_of: datetime) -> JobResult:

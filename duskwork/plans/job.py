@@ -10,9 +10,10 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duskwork.operators.audit import run_log_row
-from duskwork.operators.keys import with_row_ids
+from duskwork.operators.audit import AUDIT_COLUMNS, run_log_row
+from duskwork.operators.keys import assign_keys, with_row_ids
 from duskwork.operators.mutate import rows_for
+from duskwork.operators.sequences import SEQUENCES, last_key, reserved
 from duskwork.sources import files
 from duskwork.sources.bucketed import BUCKET, Layout, in_buckets, put_in_place, put_new, stage, stage_new
 from duskwork.sources.tables import read_tables, write_tables
@@ -109,14 +110,19 @@ def chain(tables: Tables, as_of: datetime, *jobs: Job) -> JobResult:
 
 def recorded(spark: SparkSession, tables: Tables, result: JobResult, as_of: datetime) -> JobResult:
     """The result with its audit and success rows as appended rows."""
-    records, state = {}, result.over(tables)
+    records, changed, state = {}, {}, result.over(tables)
     if result.audit is not None:
-        records["audit_trail"] = with_row_ids(result.audit, "audit_id", state["audit_trail"])
+        last = last_key(state, "audit_trail", "audit_id")
+        if SEQUENCES in state:
+            records["audit_trail"] = assign_keys(result.audit, AUDIT_COLUMNS, "audit_id", last)
+            changed = reserved(state, {("audit_trail", "audit_id"): result.audit})
+        else:
+            records["audit_trail"] = with_row_ids(result.audit, "audit_id", last)
     if result.log_names:
         records["eod_log"] = reduce(
             DataFrame.unionByName, [run_log_row(spark, name, as_of) for name in result.log_names]
         )
-    return combine(result, JobResult.of(state, (), {}, records))
+    return combine(result, JobResult.of(state, (), changed, records))
 
 
 def next_state(spark: SparkSession, tables: Tables, result: JobResult, as_of: datetime) -> dict[str, DataFrame]:

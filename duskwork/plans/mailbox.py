@@ -16,6 +16,7 @@ from duskwork.operators.filters import class_limit, join_side, keep_matching, ol
 from duskwork.operators.keys import assign_keys
 from duskwork.operators.mutate import delete_keys, update_where
 from duskwork.operators.ranking import first_per_key, newest_cutoffs
+from duskwork.operators.sequences import last_key, reserved
 from duskwork.plans.job import JobResult, Tables
 from duskwork.sources.codes import ACTIVE, COMPLETED, INTERNAL_USER, MAIL_USER, PENDING, YES
 from duskwork.sources.params import number_param
@@ -96,7 +97,7 @@ def mail_annual_report(tables: Tables, as_of: datetime) -> JobResult:
 
     # message texts are joined last: they do not travel through the numbering
     sent = reuse(addressed(recipients, names, users))
-    sent = reuse(assign_keys(sent, ["mail_temp_id", "client"], "mail_id", tables["mail"]))
+    sent = reuse(assign_keys(sent, ["mail_temp_id", "client"], "mail_id", last_key(tables, "mail", "mail_id")))
     mails = sent.join(pending, "mail_temp_id").select(
         "mail_id", "owner_id", F.lit(SENDER).alias("from"), "to", "message", F.lit(MAIL_TYPE).alias("mail_type"),
         F.lit(SUBJECT).alias("subject"), moment(as_of).alias("dt_mail"), F.lit(MAIL_USER).alias("created_by"),
@@ -114,6 +115,7 @@ def mail_annual_report(tables: Tables, as_of: datetime) -> JobResult:
         "mail_temp": update_where(
             tables["mail_temp"], F.col("status") == PENDING, {"status": F.lit(COMPLETED)}
         ),
+        **reserved(tables, {("mail", "mail_id"): sent}),
     }
     appended = {"mail": mails, "mail_dtl": files}
     return JobResult.of(tables, (MAILING_LOG_NAME,), new, appended, out={"skipped": skipped})

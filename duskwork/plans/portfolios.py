@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from duskwork.functions.dates import moment
 from duskwork.functions.text import joined, trimmed
 from duskwork.operators.audit import run_log
-from duskwork.operators.durable import reuse
 from duskwork.operators.filters import join_side, keep_matching
 from duskwork.operators.mutate import update_from
 from duskwork.operators.ranking import first_per_key
@@ -94,7 +93,6 @@ def copy_beneficiaries(
     found = accounts_of(tables, staged, match_company).groupBy("reference").agg(
         F.count(F.lit(1)).alias("accounts"), F.min("acctid").alias("acctid")
     )
-    found = reuse(found)
     accounts = join_side(found.where("accounts = 1").select("reference", "acctid"), "reference")
     ambiguous = found.where("accounts > 1").select("reference", "accounts")
     source = first_per_key(

@@ -7,6 +7,17 @@ import os
 from pyspark.sql import SparkSession
 
 
+# Runtime Bloom filters: a large table that is joined with far fewer keys is filtered before its
+# shuffle. Built for keys of up to a gigabyte, and as many bits as 40 million of them need.
+RUNTIME_FILTERS = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "40000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 28),
+}
+
+
 def local_session(
     name: str = "duskwork", cores: int | str | None = None, partitions: int = 8, **settings: str
 ) -> SparkSession:
@@ -24,7 +35,7 @@ def local_session(
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
     )
-    for key, value in settings.items():
+    for key, value in {**RUNTIME_FILTERS, **settings}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

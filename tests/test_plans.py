@@ -99,6 +99,33 @@ def test_few_written_keys_leave_the_table_in_place(spark):
             assert mutate.delete_keys(table, kept, "id").count() == 9900
 
 
+def test_many_settled_keys_filter_the_table_below_its_shuffle(spark, tmp_path):
+    """A semi join with keys too many to broadcast gets a range for the scan and a runtime Bloom filter."""
+    spark.range(0, 200_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("pad")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    kept = durable.reuse_keys(spark.range(1000, 60_000, 50).union(spark.createDataFrame([(None,), (1000,)], "id bigint")), most=10)
+    with settings(
+        spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="1",
+    ):
+        joined = filters.keep_matching(table, kept, "id")
+        plan = plan_of(joined)
+        assert "might_contain" in plan and plan.index("SortMergeJoin") < plan.index("might_contain")
+        assert plan.index("Exchange hashpartitioning") < plan.index("might_contain")
+        assert "GreaterThanOrEqual(id,1000)" in plan and "LessThanOrEqual(id,59950)" in plan
+        assert joined.count() == 1180 and filters.drop_matching(table, kept, "id").count() == 200_000 - 1180
+    assert durable.reuse_keys(spark.range(3)).count() == 3
+    assert filters.keep_matching(table, durable.reuse_keys(spark.createDataFrame([(None,)], "id bigint"), most=0), "id").count() == 0
+
+
+def test_wide_keys_are_not_broadcast(spark):
+    wide = spark.range(1000).withColumn("text", F.lit("x"))
+    assert durable.row_bytes(wide) >= 28
+    assert "BroadcastHashJoin" in plan_of(mutate.delete_keys(spark.range(10), durable.reuse_keys(wide), "id"))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        assert "SortMergeJoin" in plan_of(mutate.delete_keys(spark.range(10), durable.reuse_keys(wide, most_bytes=20_000), "id"))
+
+
 def test_newest_cutoffs_pass_on_few_rows(spark):
     mail = spark.range(5000).select(
         (F.col("id") % 2).alias("owner"), (F.lit(ago(0)).cast("timestamp_ntz") - F.make_dt_interval(secs=F.col("id"))).alias("t")
