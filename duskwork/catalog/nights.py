@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duskwork.catalog import stand_ins
 from duskwork.catalog.intake import _INTAKE
-from duskwork.catalog.registry import AFTER_ORDERS, Source, query
+from duskwork.catalog.registry import AFTER_EVENTS, AFTER_ORDERS, Source, query
+from duskwork.catalog.retention import _MAIL_LIMITS
 from duskwork.operators.durable import scratch_folder
-from duskwork.plans.night import INTAKE_NIGHT, roles_in_use, run_night
+from duskwork.plans.night import HOUSEKEEPING_NIGHT, INTAKE_NIGHT, roles_in_use, run_night
+from duskwork.sources.bucketed import Layout, lay_out, read_laid_out
 
 # Users, their roles and accounts after each job; z has the users as the refresh leaves them.
 _NIGHT = _INTAKE + """,
@@ -85,7 +90,69 @@ def nightly_states(source: Source):
         opened.select(F.lit("account"), "acctid", "chdrcoy", "chdrnum", none),
         state["r_user_process"].select(F.lit("queued"), F.col("user_id").cast("bigint"), none, none, none),
     ]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part)
-    return rows
+    return reduce(DataFrame.union, parts)
+
+
+# All jobs look at the tables from the same moment: just after the last event.
+_HOUSE = f"""
+WITH trx AS (
+  SELECT o_orderkey AS id, CASE WHEN o_custkey % 2 = 0 THEN 'ORD' ELSE 'NEW' END AS status, o_orderdate FROM orders
+  WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')),
+stale AS (
+  SELECT o_orderkey AS id, o_orderpriority = '1-URGENT' AS tra, o_orderkey IN (SELECT id FROM trx) AS has_trx FROM orders
+  WHERE o_orderstatus = 'P' AND o_orderdate <= TIMESTAMP '2024-01-31' - INTERVAL 9500 DAY),
+left_trx AS (SELECT * FROM trx WHERE id NOT IN (SELECT id FROM stale WHERE has_trx)),
+old AS (SELECT id FROM left_trx WHERE o_orderdate <= TIMESTAMP '2024-01-31' - INTERVAL 10000 DAY),
+live AS (SELECT * FROM left_trx WHERE id NOT IN (SELECT id FROM old)),
+approval AS (
+  SELECT o_orderkey AS id, o_orderdate, o_orderpriority = '1-URGENT' AS tra,
+         CASE WHEN o_orderkey IN (SELECT id FROM stale WHERE NOT has_trx AND NOT tra) THEN 'EXP'
+              WHEN o_orderstatus = 'P' THEN 'PND' ELSE o_orderstatus END AS status
+  FROM orders WHERE o_orderkey NOT IN (SELECT id FROM stale WHERE has_trx)),
+moved AS (SELECT id FROM approval WHERE tra AND o_orderdate <= TIMESTAMP '2024-01-31' - INTERVAL 10000 DAY),
+gone AS (SELECT event_id FROM ({_MAIL_LIMITS}) WHERE ts <= TIMESTAMP '2024-01-31' - days * INTERVAL 1 DAY OR newer >= newest),
+last AS (SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id)
+"""
+
+
+@query(f"""{_HOUSE}
+SELECT 'transaction' AS what, id, CASE WHEN status = 'ORD' AND NOT EXISTS (
+         SELECT 1 FROM lineitem WHERE l_orderkey = id AND l_linestatus <> 'F') THEN 'SUC' ELSE status END AS state FROM live
+UNION ALL SELECT 'archived transaction', id, (SELECT status FROM trx t WHERE t.id = old.id) FROM old
+UNION ALL SELECT 'detail', l_orderkey, l_linenumber::VARCHAR FROM lineitem
+          WHERE l_orderkey NOT IN (SELECT id FROM old) AND l_orderkey NOT IN (SELECT id FROM stale WHERE has_trx)
+UNION ALL SELECT 'archived detail', l_orderkey, l_linenumber::VARCHAR FROM lineitem WHERE l_orderkey IN (SELECT id FROM old)
+UNION ALL SELECT 'approval', id, status FROM approval WHERE id NOT IN (SELECT id FROM moved)
+UNION ALL SELECT 'archived approval', id, status FROM approval WHERE id IN (SELECT id FROM moved)
+UNION ALL SELECT 'mail', event_id, NULL FROM events WHERE event_id NOT IN (SELECT event_id FROM gone)
+UNION ALL SELECT 'user', l.user_id, CASE WHEN l.ts <= TIMESTAMP '2024-01-31'
+            - CASE WHEN c_mktsegment = 'BUILDING' THEN INTERVAL 12 HOUR ELSE INTERVAL 6 HOUR END AND r_name <> 'AFRICA' THEN 'D' ELSE 'A' END
+          FROM last l LEFT JOIN customer ON c_custkey = l.user_id LEFT JOIN nation ON n_nationkey = c_nationkey
+          LEFT JOIN region ON r_regionkey = n_regionkey
+""")
+def housekeeping_states(source: Source):
+    """Every table of the housekeeping night behind its five jobs; transactions, approvals and users are laid out by key."""
+    spark = source.spark
+    tables = stand_ins.housekeeping_tables(source)
+    folder = scratch_folder(spark, "house")
+    layouts = {}
+    for name, key in (("trx_ut", "trx_ut_id"), ("trx_ut_detail", "trx_ut_id"), ("pending_approval", "pending_approval_id"), ("r_user", "user_id")):
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tables[name].schema.fields)
+        layouts[name] = Layout(f"{folder}/{name}", (key,), schema, 1)
+        lay_out(tables[name], layouts[name])
+        tables[name] = read_laid_out(spark, layouts[name])
+    state = run_night(spark, HOUSEKEEPING_NIGHT, tables, AFTER_EVENTS, folder, "first", layouts)
+
+    def rows(what, name, key, shown):
+        shown = F.col(shown) if shown else F.lit(None)
+        return state[name].select(F.lit(what).alias("what"), F.col(key).alias("id"), shown.cast("string").alias("state"))
+
+    parts = [
+        rows("transaction", "trx_ut", "trx_ut_id", "trx_status"), rows("archived transaction", "trx_ut_hist", "trx_ut_id", "trx_status"),
+        rows("detail", "trx_ut_detail", "trx_ut_id", "trx_ut_detail_id"),
+        rows("archived detail", "trx_ut_detail_hist", "trx_ut_id", "trx_ut_detail_id"),
+        rows("approval", "pending_approval", "pending_approval_id", "pending_status"),
+        rows("archived approval", "pending_approval_hist", "pending_approval_id", "pending_status"),
+        rows("mail", "mail", "mail_id", None), rows("user", "r_user", "user_id", "status"),
+    ]
+    return reduce(DataFrame.unionByName, parts)

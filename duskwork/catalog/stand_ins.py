@@ -17,6 +17,10 @@ from duskwork.functions.text import decode
 from duskwork.operators.audit import LOG_SCHEMA
 from duskwork.sources.codes import PROCESS_USER
 
+AUDIT_SCHEMA = (
+    "audit_id bigint, action string, table_nm string, dt_created timestamp_ntz, created_by string, audit_type string, "
+    "data1 string, data2 string"
+)
 AUDITED = "created_by string, dt_created timestamp_ntz, updated_by string, dt_updated timestamp_ntz"
 
 
@@ -354,9 +358,40 @@ def night_tables(source: Source) -> dict[str, DataFrame]:
         "r_user_process": reset_tables(source)["r_user_process"],
         "r_sysparam": params(spark, PASSWORD_RESET_DATE_LAST_RUN=20240101),
         "eod_log": marks,
-        "audit_trail": empty(
-            spark, "audit_id bigint, action string, table_nm string, dt_created timestamp_ntz, created_by string, "
-            "audit_type string, data1 string, data2 string"),
+        "audit_trail": empty(spark, AUDIT_SCHEMA),
+    }
+
+
+def housekeeping_tables(source: Source) -> dict[str, DataFrame]:
+    """Approvals, transactions with details, mail and logins of one world: orders with a
+    returned line are transactions on their own approval."""
+    spark, orders, lines = source.spark, source.orders, source.lineitem
+    returned = lines.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    trx = orders.join(returned, "o_orderkey").select(
+        F.col("o_orderkey").alias("trx_ut_id"), F.col("o_orderkey").alias("pending_approval_id"),
+        F.col("o_orderkey").cast("string").alias("reference_id"),
+        F.when(F.col("o_custkey") % 2 == 0, "ORD").otherwise("NEW").alias("trx_status"),
+        F.col("o_orderpriority").alias("fee_stucture_type"), F.col("o_orderdate").alias("dt_created"),
+    )
+    approvals = approval_tables(source)
+    detail = lines.select(F.col("l_orderkey").alias("trx_ut_id"), F.col("l_linenumber").cast("bigint").alias("trx_ut_detail_id"))
+    kept = {n: approvals[n] for n in ("pending_approval", "pending_approval_history")}
+    fee = {"fee_stucture_type": "fee_structure_type"}
+    return {
+        **kept, "trx_ut": trx, "trx_ut_detail": detail,
+        "trx_ut_hist": spark.createDataFrame([], trx.schema).withColumnsRenamed(fee),
+        **{f"{n}_hist": spark.createDataFrame([], df.schema) for n, df in {**kept, "trx_ut_detail": detail}.items()},
+        "ifsdmutrnpf": lines.select(
+            F.rpad(F.col("l_orderkey").cast("string"), 16, " ").alias("ztranref"),
+            F.when(F.col("l_linestatus") == "F", "Y").otherwise("N").alias("fdbkind"),
+        ),
+        **{n: df for n, df in mail_tables(source).items() if n.startswith("mail")},
+        **{n: df for n, df in login_tables(source).items() if n.startswith("r_") and n != "r_sysparam"},
+        "r_sysparam": params(
+            spark, PENDINGAPPROVAL_DAYS=9500, TRX_HISTORY_DURATION_MONTH=10000, DORMANT_PERIOD_ADMIN=0.5, DORMANT_PERIOD_USER=0.25,
+            MAIL_MAX_DAYS_ADMIN=28, MAIL_MAX_DAYS_NON_ADMIN=27, MAIL_MAX_MESSAGES_ADMIN=60, MAIL_MAX_MESSAGES_NON_ADMIN=50,
+        ),
+        "eod_log": empty(spark, LOG_SCHEMA), "audit_trail": empty(spark, AUDIT_SCHEMA),
     }
 
 

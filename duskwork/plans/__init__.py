@@ -7,7 +7,7 @@ from duskwork.plans.descriptions import refresh_descriptions, refresh_notes
 from duskwork.plans.intake import take_in
 from duskwork.plans.job import JobResult, chain, next_state, run_job
 from duskwork.plans.mailbox import mail_annual_report, purge_mailboxes
-from duskwork.plans.night import INTAKE_NIGHT, NightStopped, Step, report, run_night
+from duskwork.plans.night import HOUSEKEEPING_NIGHT, INTAKE_NIGHT, NightStopped, Step, report, run_night
 from duskwork.plans.refresh import refresh_accounts, refresh_users
 from duskwork.plans.settlement import settle_transactions
 from duskwork.plans.users import queue_password_resets, set_dormant
@@ -31,7 +31,7 @@ JOBS = {
 }
 
 __all__ = [
-    "INTAKE_NIGHT", "JOBS", "JobResult", "NightStopped", "Step", "chain", "next_state", "report", "run_job", "run_night",
+    "HOUSEKEEPING_NIGHT", "INTAKE_NIGHT", "JOBS", "JobResult", "NightStopped", "Step", "chain", "next_state", "report", "run_job", "run_night",
     "alert_by_account", "alert_by_fund", "archive_transactions", "expire_approvals", "mail_annual_report",
     "purge_mailboxes", "queue_password_resets", "refresh_accounts", "refresh_descriptions", "refresh_notes",
     "refresh_users", "set_dormant", "settle_transactions", "take_in",

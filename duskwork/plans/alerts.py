@@ -15,8 +15,8 @@ from duskwork.plans.job import JobResult, Tables
 # --- fixed values ---
 FUND_LOG_NAME = "AlertByFund"
 ACCOUNT_LOG_NAME = "AlertByPlanAccount"
-# The latest prices of each fund, maintained by ``operators.latest``.
-LATEST_PRICE = "latest_price"
+# The latest prices of each fund and values of each account, maintained by ``operators.latest``.
+LATEST_PRICE, LATEST_VALUE = "latest_price", "latest_account_value"
 
 
 def band_alert(
@@ -51,7 +51,12 @@ def alert_by_fund(tables: Tables, as_of: datetime) -> JobResult:
 
 def alert_by_account(tables: Tables, as_of: datetime) -> JobResult:
     """Account alerts against ``account_value`` (acct_id, effdate, ubidpr),
-    which the caller supplies; rows in ``out['alerts']``."""
+    which the caller supplies; rows in ``out['alerts']``.
+
+    A maintained table ``latest_account_value`` takes its place.
+    """
     alerts = tables["acct_alert"].select("acct_id", "user_id", "floor", "ceiling")
-    rows = band_alert(alerts, tables["account_value"], "acct_id", "acct_id")
+    maintained = LATEST_VALUE in tables
+    values = tables[LATEST_VALUE if maintained else "account_value"]
+    rows = band_alert(alerts, values, "acct_id", "acct_id", maintained=maintained)
     return JobResult({}, (ACCOUNT_LOG_NAME,), None, {"alerts": rows})

@@ -14,6 +14,7 @@ from duskwork.operators.durable import reuse_keys
 from duskwork.operators.filters import is_aged, with_match
 from duskwork.operators.mutate import delete_where, is_true, rows_for, same_shape
 from duskwork.plans.job import JobResult, Tables, union_audit
+from duskwork.sources.bucketed import BUCKET
 from duskwork.sources.codes import TRANSACTION_TYPE
 from duskwork.sources.params import number_param
 
@@ -51,7 +52,8 @@ def archive_transactions(tables: Tables, as_of: datetime) -> JobResult:
 
     archive = tables["trx_ut_hist"]
     mapping = {c: RENAMED.get(c, c) for c in archive.columns if RENAMED.get(c, c) in trx.columns}
-    moved_trx, moved_approvals = trx.where(is_true(old_trx)), approvals.where(is_true(old_approval))
+    # A bucket column belongs to the layout of the live table and stays behind.
+    moved_trx, moved_approvals = (df.drop(BUCKET) for df in (trx.where(is_true(old_trx)), approvals.where(is_true(old_approval))))
     trx_keys = reuse_keys(moved_trx.select("trx_ut_id").distinct())
     approval_keys = reuse_keys(moved_approvals.select("pending_approval_id").distinct())
     details, details_left = split_by_parent(tables["trx_ut_detail"], trx_keys, "trx_ut_id")
@@ -64,8 +66,9 @@ def archive_transactions(tables: Tables, as_of: datetime) -> JobResult:
         "pending_approval": delete_where(approvals, old_approval),
         "pending_approval_history": histories_left,
     }
+    details, histories = details.drop(BUCKET), histories.drop(BUCKET)
     kept_details = [c for c in tables["trx_ut_detail_hist"].columns if c in details.columns]
-    all_mapped(trx, mapping.values(), "trx_ut")
+    all_mapped(moved_trx, mapping.values(), "trx_ut")
     all_mapped(details, kept_details, "trx_ut_detail")
     same_shape(tables["pending_approval_hist"], moved_approvals)
     same_shape(tables["pending_approval_history_hist"], histories)

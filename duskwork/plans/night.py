@@ -17,13 +17,20 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duskwork.plans.approvals import LOG_NAME as EXPIRY_LOG_NAME
+from duskwork.plans.approvals import expire_approvals
+from duskwork.plans.archive import LOG_NAME as ARCHIVE_LOG_NAME
+from duskwork.plans.archive import archive_transactions
 from duskwork.plans.intake import (
     ACCOUNT_LOG_NAME, AGENT_LOG_NAME, INVESTOR_LOG_NAME, investor_roles, new_accounts, new_agents, new_investors,
     staged_portfolios,
 )
 from duskwork.plans.job import Job, Tables, run_job
+from duskwork.plans.mailbox import PURGE_LOG_NAME, purge_mailboxes
 from duskwork.plans.refresh import USERS_LOG_NAME, refresh_users
-from duskwork.plans.users import RESET_LOG_NAME, queue_password_resets
+from duskwork.plans.settlement import LOG_NAME as SETTLEMENT_LOG_NAME
+from duskwork.plans.settlement import settle_transactions
+from duskwork.plans.users import DORMANT_LOG_NAME, RESET_LOG_NAME, queue_password_resets, set_dormant
 from duskwork.sources import files
 from duskwork.sources.bucketed import Layout
 
@@ -46,6 +53,14 @@ INTAKE_NIGHT = (
 )
 
 
+# Approvals expire before their transactions are archived or settled.
+HOUSEKEEPING_NIGHT = (
+    Step(EXPIRY_LOG_NAME, expire_approvals), Step(ARCHIVE_LOG_NAME, archive_transactions),
+    Step(SETTLEMENT_LOG_NAME, settle_transactions), Step(PURGE_LOG_NAME, purge_mailboxes),
+    Step(DORMANT_LOG_NAME, set_dormant),
+)
+
+
 class NightStopped(RuntimeError):
     """A job failed: ``tables`` are as the job before left them, with the failure in the run log."""
 

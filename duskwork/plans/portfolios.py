@@ -14,6 +14,7 @@ from duskwork.operators.filters import join_side, keep_matching
 from duskwork.operators.mutate import update_from
 from duskwork.operators.ranking import first_per_key
 from duskwork.plans.job import JobResult, Tables
+from duskwork.sources.clustered import changed_since
 from duskwork.sources.codes import FAILURE, INTAKE_USER
 
 # --- fixed values ---
@@ -121,7 +122,7 @@ def staged_references(tables: Tables, since_key: int, match_company: bool = True
     )
     trx = keep_matching(trx, tables["tmp_portfolio"], "account_temp_id")
     on = account_keys(match_company)
-    trades = tables["ifsdmutrnpf"].where(F.col("trdt") > since_key).select(trimmed("ztranref").alias("reference"), *on)
+    trades = tables["ifsdmutrnpf"].where(changed_since(tables["ifsdmutrnpf"], "trdt", since_key)).select(trimmed("ztranref").alias("reference"), *on)
     empty = tables["plan_acct"].join(
         tables["portfolio"].select(F.col("acct_id").alias("acctid")), "acctid", "left_anti"
     )
