@@ -1,12 +1,13 @@
 """Token counts by batch encoding; only lengths leave the workers.
 
-Texts reach the tokenizer in batches of about ``BATCH_BYTES`` bytes, whatever the
-number of texts in them, so many short texts share one call and one long text
-doesn't fill the memory. A text longer than ``PIECE_CHARS`` is cut before a blank or
-an ASCII digit: this tokenizer drops white space, takes a digit as a piece of its own
-and composes neither with what stands before, so the counts of the parts add up to
-that of the whole. A stretch without any such place stays whole. Tokenizers whose
-parts don't allow that (``cuts_safely``) get whole texts.
+Texts are split at spaces, and stretches longer than ``PIECE_CHARS`` before a blank or an
+ASCII digit: this tokenizer drops white space, takes a digit as a piece of its own and
+composes neither with what stands before, so the counts of the parts add up to that of
+the whole. A stretch without any such place stays whole. Parts that are new reach the
+tokenizer in batches of about ``BATCH_BYTES`` bytes, whatever their number, so short ones
+share a call and long ones don't fill the memory; counts of short parts are kept for
+the texts that follow, up to ``KEPT_PARTS`` of them. Tokenizers whose parts don't allow such
+splits (``cuts_safely``) get whole texts, in batches of the same size.
 
 Null text counts as empty: no bytes, no tokens. Repeated rows are each counted; a null
 ``doc_id`` stays null. Extra columns are ignored.
@@ -28,6 +29,9 @@ from duskwork.llm.frames import map_slices, texts_of
 LIMIT = 2048
 BATCH_BYTES = 1 << 18
 PIECE_CHARS = 1 << 16
+# Parts whose counts a worker keeps (about 40 MB), and the longest of them.
+KEPT_PARTS = 300_000
+KEPT_CHARS = 40
 BREAK = re.compile("[ \t\n\r0-9]")
 # Parts under which a cut before a blank or digit changes nothing: names of normalisers and pre-tokenizers.
 SAFE_NORMALIZERS = {"NFC", "Lowercase", "Replace"}
@@ -74,28 +78,52 @@ class Counter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.known: dict[str, int] = {}
 
     def counts(self, texts: list[str]) -> list[int]:
         """The number of tokens of each text."""
-        totals = [0] * len(texts)
-        owners: list[int] = []
-        batch: list[str] = []
-        size = 0
-        for number, text in enumerate(texts):
-            for piece in pieces(text, PIECE_CHARS) if self.cuts else [text]:
-                owners.append(number)
-                batch.append(piece)
-                size += len(piece.encode())
-                if size >= BATCH_BYTES:
-                    self.add(totals, owners, batch)
-                    owners, batch, size = [], [], 0
-        self.add(totals, owners, batch)
+        if not self.cuts:
+            found = dict(zip(texts, self.encoded(texts)))
+            return [found[t] for t in texts]
+        return [n for group in grouped(texts) for n in self.split_counts(group)]
+
+    def split_counts(self, texts: list[str]) -> list[int]:
+        """Counts of the texts from those of their parts; new parts of all of them are encoded together."""
+        if len(self.known) > KEPT_PARTS:
+            self.known.clear()
+        known = self.known
+        split = [text.split(" ") for text in texts]
+        new = [part for part in set().union(*split) if part not in known]
+        long_parts = {part: pieces(part, PIECE_CHARS) for part in new if len(part) > PIECE_CHARS}
+        whole = [part for part in new if part not in long_parts]
+        known.update(zip(whole, self.encoded(whole)))
+        for part, cut in long_parts.items():
+            known[part] = sum(self.encoded(cut))
+        totals = [sum(map(known.__getitem__, parts)) for parts in split]
+        for part in new:
+            if len(part) > KEPT_CHARS:
+                del known[part]
         return totals
 
-    def add(self, totals: list[int], owners: list[int], batch: list[str]) -> None:
-        if batch:
-            for owner, found in zip(owners, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)):
-                totals[owner] += len(found)
+    def encoded(self, texts: list[str]) -> list[int]:
+        """The number of tokens of each text, encoded in batches of even size."""
+        return [
+            len(found) for batch in grouped(texts)
+            for found in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
+        ]
+
+
+def grouped(texts: list[str]):
+    """``texts`` in order, in batches of about ``BATCH_BYTES`` bytes."""
+    batch, size = [], 0
+    for text in texts:
+        batch.append(text)
+        size += len(text.encode())
+        if size >= BATCH_BYTES:
+            yield batch
+            batch, size = [], 0
+    if batch:
+        yield batch
 
 
 @functools.cache

@@ -64,6 +64,8 @@ def phrase_rows():
 @pytest.mark.parametrize(("segment", "held"), [(1 << 20, 1 << 20), (97, 50)])
 def test_phrases_against_plain_counting(spark, monkeypatch, segment, held):
     monkeypatch.setattr(collocations, "SEGMENT", segment)
+    monkeypatch.setattr(collocations, "HELD_PHRASES", held)
+    monkeypatch.setattr(collocations, "BUCKET_PHRASES", held)
     made = [r for r in phrase_rows() if segment > 97 or len(r[1] or "") < 50_000]
     got = collocations.ranked(docs(spark, made), least=4, top=50)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -113,9 +115,27 @@ def test_colliding_fingerprints_are_told_apart_by_text():
     words.__dict__.pop("prefix", None)
     at = np.flatnonzero(words.piece[:-1] == words.piece[1:])
     found = Counter()
-    for pointer, times in collocations.verified(words, at, 2, ids):
-        found[words.phrase(pointer, 2)] += times
+    kept = collocations.Phrases()
+    own = kept.numbered(words, ids, np.arange(len(ids)))
+    for prints, first, times in collocations.verified(words, at, 2, ids):
+        assert len(set(prints)) == 1
+        for pointer, n in zip(first.tolist(), times.tolist()):
+            found[words.phrase(pointer, 2)] += n
+        rows_made = np.full((len(first), kept.WIDTH), -1, np.int64)
+        rows_made[:, 0], rows_made[:, 1] = own[ids[first]], own[ids[first + 1]]
+        rows_made[:, 5:] = np.stack([0 * first, 0 * first, 9 - first, first], axis=1)
+        kept.langs["en"] = 0
+        kept.add(prints, rows_made, times)
+        kept.add(prints, rows_made, times)
     assert found == {"aa bb": 3, "bb aa": 1, "bb cc": 1, "cc dd": 2, "dd aa": 1}
+    langs, lengths, phrases, counts, ids, places = kept.columns()
+    assert dict(zip(phrases, counts.tolist())) == {p: 2 * c for p, c in found.items()} and set(lengths) == {2} and set(langs) == {"en"}
+
+
+def test_earlier_pointer():
+    a = np.array([[0, 5, 9], [1, 0, 3], [0, 5, 1]])
+    b = np.array([[0, 4, 10], [0, 7, 7], [0, 5, 2]])
+    assert collocations.earlier(a, b).tolist() == [[0, 4, 10], [0, 7, 7], [0, 5, 1]]
 
 
 def test_segments_cover_each_word_once():
@@ -128,7 +148,7 @@ def test_segments_cover_each_word_once():
 
 def test_bitmap_holds_every_fingerprint(spark):
     prints = [(i * 0x9E3779B97F4A7C15 + 11) % (1 << 64) - (1 << 63) for i in range(5000)]
-    kept = collocations.bitmap(spark.createDataFrame([(p,) for p in prints], "print long").checkpoint(), "bitmap")
+    kept = collocations.bitmap(spark.createDataFrame([(p,) for p in prints], "print long"), len(prints), "bitmap")
     assert kept.has(np.array(prints, np.int64).view(np.uint64)).all()
     others = np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64)
     assert kept.has(others).mean() < 0.02
@@ -156,9 +176,16 @@ def whole_counts(texts):
 def test_token_counts_of_cut_texts(monkeypatch, chars, size):
     monkeypatch.setattr(token_counts, "PIECE_CHARS", chars)
     monkeypatch.setattr(token_counts, "BATCH_BYTES", size)
+    monkeypatch.setattr(token_counts, "KEPT_PARTS", chars)
     own = token_counts.Counter(PATH)
-    assert own.cuts and own.counts(TEXTS) == whole_counts(TEXTS)
-    assert not token_counts.Counter(public_tokenizers.path("byte_bpe_50k.json")).cuts
+    for _ in range(2):
+        assert own.cuts and own.counts(TEXTS) == whole_counts(TEXTS)
+    assert all(len(part) <= token_counts.KEPT_CHARS for part in own.known)
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(other)
+    whole = token_counts.Counter(other)
+    assert not whole.cuts
+    assert whole.counts(TEXTS) == [len(plain.encode(t, add_special_tokens=False).ids) for t in TEXTS]
 
 
 def test_token_counts_of_table(spark):
