@@ -13,9 +13,10 @@ pass by a bitmap of at most ``MOST_BITS`` bits. A collision, there or in a finge
 only let an n-gram through, never lose one.
 
 Counts from fingerprints only choose. The last pass materialises the words of the
-chosen n-grams alone: each task holds an occurrence pointer per fingerprint, compares every other
-occurrence with the text behind it word by word, and keeps what differs as a phrase of
-its own; pointers and counts then meet by language and text. So counts are those of texts.
+chosen n-grams alone: each task holds words, count and an occurrence pointer per
+fingerprint, compares every other occurrence with them word by word, and keeps what
+differs as a phrase of its own; pointers and counts then meet by language and text. So
+counts are those of texts.
 
 Long texts are cut into segments of about ``SEGMENT`` bytes that also see the next words
 up to the longest phrase, so phrases across a cut count once and memory stays bounded.
@@ -26,14 +27,16 @@ with few or no phrases has few or no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duskwork.llm.frames import map_slices, written
+from duskwork.llm.frames import arrow_schema, map_slices, written
 
 LONGEST = 5
 LEAST = 100
@@ -41,11 +44,13 @@ TOP = 2000
 NO_LANG = "und"
 PIECE_ENDS = ".,;:!?\n\v\f\r"
 BLANKS = " \t"
-SEGMENT = 1 << 21
-# Distinct fingerprints (16 bytes each) or phrases a task adds up before it hands them on.
+SEGMENT = 1 << 20
+# Distinct fingerprints (16 bytes each) or phrases (100 bytes each) a task adds up before it hands them on.
 HELD_PRINTS = 1 << 20
-HELD_PHRASES = 100_000
+HELD_PHRASES = 1 << 19
 MOST_BITS = 1 << 28
+# Phrases whose counts are brought together in one place.
+BUCKET_PHRASES = 2_000
 # Dealing languages to sub-groups before their best rows are ranked in one place.
 SALTS = 64
 
@@ -186,12 +191,12 @@ def blocks(parts, size: int) -> Iterator[tuple[Words, list, np.ndarray]]:
         for doc, lang, text in zip(ids, langs, texts):
             before = 0
             for own, limit in segments((text or "").encode(), size):
+                if held and total + len(own) > size:
+                    yield block(held)
+                    held, total = [], 0
                 held.append((own, limit, doc, NO_LANG if lang is None else lang, before))
                 total += len(own) + 1
                 before += count_words(own[:limit]) if limit < len(own) else 0
-                if total >= size:
-                    yield block(held)
-                    held, total = [], 0
     if held:
         yield block(held)
 
@@ -202,6 +207,8 @@ def count_words(text: bytes) -> int:
 
 
 def block(held: list) -> tuple[Words, list, np.ndarray]:
+    # By id, so that the first occurrence of a phrase is that of the smallest one.
+    held = sorted(held, key=lambda h: (h[2] is None, h[2] or 0, h[4]))
     sizes = np.array([len(own) + 1 for own, *_ in held], np.int64)
     bounds = np.cumsum(sizes) - sizes
     limits = bounds + np.array([limit for _, limit, *_ in held], np.int64)
@@ -292,13 +299,12 @@ def gram_counts(docs: DataFrame, filters: list[Frequent]) -> DataFrame:
     return rows.groupBy("print").agg(F.sum("count").alias("count"))
 
 
-def bitmap(frequent: DataFrame, name: str) -> Frequent:
-    """The bitmap of a written frame of fingerprints: 32 bits for each of them, up to ``MOST_BITS``.
+def bitmap(frequent: DataFrame, many: int, name: str) -> Frequent:
+    """The bitmap of a written frame of ``many`` fingerprints: 128 bits or more for each of them, up to ``MOST_BITS``.
 
     Its parts are set in tasks; only they reach the driver, whatever the number of fingerprints.
     """
-    rows = frequent.count()
-    size = min(MOST_BITS, 1 << max(16, (32 * rows - 1).bit_length()))
+    size = min(MOST_BITS, 1 << max(16, (128 * many - 1).bit_length()))
     block_bits = min(size, 1 << 16)
 
     def bits(parts):
@@ -328,22 +334,22 @@ def bitmap(frequent: DataFrame, name: str) -> Frequent:
     return Frequent(out)
 
 
-def verified(words: Words, at: np.ndarray, n: int, ids: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(first occurrence, number of occurrences) of each different phrase among the n-grams that begin at ``at``.
+def verified(words: Words, at: np.ndarray, n: int, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(fingerprint, first occurrence, number of occurrences) of each different phrase among the n-grams that begin at ``at``.
 
     Occurrences with one fingerprint are compared with the first of them, word by word
-    in ``ids``; those that differ are taken again among themselves.
+    in ``ids``; those that differ are taken again among themselves, as a further part.
     """
     prints = words.grams(n, at)
     while len(at):
-        _, first, group, times = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
+        known, first, group, times = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
         pointer = at[first][group]
-        same = np.ones(len(at), bool)
+        same = words.salt[at] == words.salt[pointer]
         for k in range(n):
             same &= ids[at + k] == ids[pointer + k]
         if not same.all():
             times = np.bincount(group[same], minlength=len(first))
-        yield from zip(at[first].tolist(), times.tolist())
+        yield known, at[first], times
         at, prints = at[~same], prints[~same]
 
 
@@ -365,48 +371,184 @@ def word_ids(words: Words) -> np.ndarray:
     return ids
 
 
-def phrase_counts(docs: DataFrame, filters: list[Frequent]) -> DataFrame:
-    """lang, words, phrase, count, doc_id, place: frequent phrases of 1 to ``LONGEST`` words with their first occurrence.
+class Phrases:
+    """The phrases a task has met: one row per fingerprint, with words, count and an occurrence pointer.
 
-    Rows of no words hold the number of all words of a language.
+    Words are numbered once per task by their text, so two phrases are the same just if
+    language and word numbers are. A phrase whose fingerprint belongs to another one
+    already is kept by its text.
     """
-    size = SEGMENT
+
+    # Columns: words' numbers (-1 behind the last), language, pointer: without id, id, place.
+    WIDTH = LONGEST + 4
+
+    def __init__(self):
+        self.names: list[bytes] = []
+        self.numbers: dict[bytes, int] = {}
+        self.langs: dict[str, int] = {}
+        self.prints = np.zeros(0, np.uint64)
+        self.counts = np.zeros(0, np.int64)
+        self.rows = np.zeros((0, self.WIDTH), np.int64)
+        self.others: dict[tuple, list] = {}
+
+    def __len__(self) -> int:
+        return len(self.prints) + len(self.others)
+
+    def numbered(self, words: Words, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For each id of a block that some of ``at`` has, the task's number of the word."""
+        found, first = np.unique(ids[at], return_index=True)
+        out = np.full(int(ids.max(initial=0)) + 1, -1, np.int64)
+        numbers, text = self.numbers, words.text.tobytes()
+        first = at[first]
+        for i, start, end in zip(found.tolist(), words.starts[first].tolist(), words.ends[first].tolist()):
+            name = text[start:end]
+            number = numbers.get(name)
+            if number is None:
+                number = numbers[name] = len(self.names)
+                self.names.append(name)
+            out[i] = number
+        return out
+
+    def add(self, prints: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> None:
+        """Take in distinct fingerprints in ascending order."""
+        spot = np.searchsorted(self.prints, prints)
+        spot[spot == len(self.prints)] = 0
+        known = self.prints[spot] == prints if len(self.prints) else np.zeros(len(prints), bool)
+        phrase = slice(0, LONGEST + 1)
+        same = known.copy()
+        same[known] = (self.rows[spot[known], phrase] == rows[known, phrase]).all(axis=1)
+        hit = spot[same]
+        self.counts[hit] += counts[same]
+        self.rows[hit, LONGEST + 1 :] = earlier(self.rows[hit, LONGEST + 1 :], rows[same, LONGEST + 1 :])
+        for i in np.flatnonzero(known & ~same).tolist():
+            key = tuple(rows[i, phrase].tolist())
+            kept = self.others.setdefault(key, [0, rows[i, LONGEST + 1 :]])
+            kept[0] += int(counts[i])
+            kept[1] = earlier(kept[1][None], rows[i, LONGEST + 1 :][None])[0]
+        if not known.all():
+            new = ~known
+            every = np.concatenate([self.prints, prints[new]])
+            order = np.argsort(every, kind="stable")
+            self.prints = every[order]
+            self.counts = np.concatenate([self.counts, counts[new]])[order]
+            self.rows = np.concatenate([self.rows, rows[new]])[order]
+
+    def columns(self) -> list:
+        """lang, words, phrase, count, doc_id, place of all phrases."""
+        rows, counts = self.rows, self.counts
+        if self.others:
+            rows = np.concatenate([rows, [[*key, *kept[1]] for key, kept in self.others.items()]])
+            counts = np.concatenate([counts, [kept[0] for kept in self.others.values()]])
+        names, langs = [name.decode() for name in self.names], list(self.langs)
+        lengths = (rows[:, :LONGEST] >= 0).sum(axis=1)
+        phrases = [" ".join([names[i] for i in row[:n]]) for row, n in zip(rows[:, :LONGEST].tolist(), lengths.tolist())]
+        ids = [None if without else doc for without, doc in rows[:, LONGEST + 1 : LONGEST + 3].tolist()]
+        return [[langs[i] for i in rows[:, LONGEST].tolist()], lengths, phrases, counts, ids, rows[:, -1]]
+
+
+def earlier(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row the smaller pointer; one without an id comes last."""
+    less, equal = np.zeros(len(a), bool), np.ones(len(a), bool)
+    for i in range(a.shape[1]):
+        less |= equal & (b[:, i] < a[:, i])
+        equal &= b[:, i] == a[:, i]
+    return np.where(less[:, None], b, a)
+
+
+PHRASE_ROW = "lang string, words int, phrase string, count long, doc_id long, place long"
+
+
+def phrase_counts(docs: DataFrame, filters: list[Frequent], expected: int = 0) -> DataFrame:
+    """lang, words, phrase, count, doc_id, place: frequent phrases of 1 to ``LONGEST`` words with an occurrence pointer.
+
+    Rows of no words hold the number of all words of a language. A task hands its phrases on as
+    Arrow blocks, one per hash bucket of ``BUCKET_PHRASES`` of the ``expected`` phrases; each
+    bucket's blocks then meet in one task, which reads them one after the other.
+    """
+    size, most, buckets = SEGMENT, HELD_PHRASES, max(1, -(-expected // BUCKET_PHRASES))
+    schema = arrow_schema(PHRASE_ROW)
 
     def collect(parts):
-        found: dict[tuple[str, int, str], list] = {}
+        totals: dict[str, int] = {}
+        found = Phrases()
         for words, docs_held, numbers in blocks(parts, size):
-            ids = word_ids(words)
-            langs = words.langs
             for owner, times in zip(*np.unique(words.owner[words.counted], return_counts=True)):
-                add(found, (langs[owner], 0, ""), int(times), None, None)
-            for n, at in passing(words, filters):
-                for pointer, times in verified(words, at[words.counted[at]], n, ids):
-                    owner = words.owner[pointer]
-                    add(found, (langs[owner], n, words.phrase(pointer, n)), times, docs_held[owner], int(numbers[owner]) + pointer)
-            if len(found) >= HELD_PHRASES:
-                yield columns(found)
-                found = {}
-        if found:
-            yield columns(found)
-
-    def add(found, key, times, doc, place):
-        kept = found.get(key)
-        if kept is None:
-            found[key] = [times, doc, place]
-        else:
-            kept[0] += times
-            if kept[1] is None or doc is not None and (doc, place) < (kept[1], kept[2]):
-                kept[1], kept[2] = doc, place
-
-    def columns(found):
-        langs, lengths, phrases = zip(*found)
-        return list(langs), list(lengths), list(phrases), *(list(c) for c in zip(*found.values()))
-
-    rows = map_slices(docs, collect, "lang string, words int, phrase string, count long, doc_id long, place long")
-    # Rows without an id are pointed to only where there is no other.
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place"))
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"), first.alias("first")).select(
-        "lang", "words", "phrase", "count", F.col("first.doc_id").alias("doc_id"), F.col("first.place").alias("place"))
+                totals[words.langs[owner]] = totals.get(words.langs[owner], 0) + int(times)
+            take_in(found, words, docs_held, numbers)
+            if len(found) >= most:
+                yield dealt(found.columns())
+                found = Phrases()
+        if len(found):
+            yield dealt(found.columns())
+        if totals:
+            none = [None] * len(totals)
+            yield dealt([list(totals), [0] * len(totals), [""] * len(totals), list(totals.values()), none, none])
+
+    def dealt(columns: list) -> list:
+        bucket = np.array([zlib.crc32(f"{lang} {phrase}".encode()) % buckets for lang, phrase in zip(columns[0], columns[2])])
+        batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        chosen = np.unique(bucket)
+        return [chosen, [packed(batch.take(pa.array(np.flatnonzero(bucket == b)))) for b in chosen]]
+
+    def take_in(found: Phrases, words: Words, docs_held: list, numbers: np.ndarray) -> None:
+        if not filters or not len(words.starts):
+            return
+        ids = word_ids(words)
+        langs = np.array([found.langs.setdefault(lang, len(found.langs)) for lang in words.langs])
+        without = np.array([doc is None for doc in docs_held])
+        docs_held = np.array([0 if doc is None else doc for doc in docs_held], np.int64)
+        own = None
+        for n, at in passing(words, filters):
+            if own is None:
+                own = found.numbered(words, ids, at)
+            for prints, first, times in verified(words, at[words.counted[at]], n, ids):
+                owner = words.owner[first]
+                rows = np.full((len(first), Phrases.WIDTH), -1, np.int64)
+                for k in range(n):
+                    rows[:, k] = own[ids[first + k]]
+                rows[:, LONGEST] = langs[owner]
+                rows[:, LONGEST + 1] = without[owner]
+                rows[:, LONGEST + 2] = docs_held[owner]
+                rows[:, LONGEST + 3] = numbers[owner] + first
+                found.add(prints, rows, times)
+
+    def merge(parts):
+        now, held = None, {}
+        for part in parts:
+            for bucket, data in zip(part.column("bucket").to_pylist(), part.column("block")):
+                if bucket != now:
+                    if held:
+                        yield rows_of(held)
+                    now, held = bucket, {}
+                for lang, n, phrase, times, doc, place in zip(*(c.to_pylist() for c in unpacked(data.as_buffer()).columns)):
+                    kept = held.get((lang, n, phrase))
+                    # Rows without an id are pointed to only where there is no other.
+                    pointer = (doc is None, doc or 0, place or 0)
+                    if kept is None:
+                        held[lang, n, phrase] = [times, pointer]
+                    else:
+                        kept[0] += times
+                        kept[1] = min(kept[1], pointer)
+        if held:
+            yield rows_of(held)
+
+    def rows_of(held: dict) -> list:
+        keys, values = list(zip(*held)), list(held.values())
+        return [*map(list, keys), [v[0] for v in values], [None if v[1][0] else v[1][1] for v in values], [v[1][2] for v in values]]
+
+    blocks_of = map_slices(docs, collect, "bucket long, block binary")
+    return map_slices(blocks_of.repartition("bucket").sortWithinPartitions("bucket"), merge, PHRASE_ROW)
+
+
+def packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: pa.Buffer) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_next_batch()
 
 
 def collocations(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -417,12 +559,15 @@ def collocations(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """
     rows = docs.select(docs["doc_id"].cast("long"), docs["lang"].cast("string"), docs["text"])
     filters: list[Frequent] = []
+    expected = 0
     while len(filters) < LONGEST:
         frequent = written(gram_counts(rows, filters).filter(F.col("count") >= least), f"grams-{len(filters) + 1}")
-        if frequent.isEmpty():
+        many = frequent.count()
+        if not many:
             break
-        filters.append(bitmap(frequent, "bitmap"))
-    counts = written(phrase_counts(rows, filters).filter((F.col("words") == 0) | (F.col("count") >= least)), "phrases")
+        expected += many
+        filters.append(bitmap(frequent, many, "bitmap"))
+    counts = written(phrase_counts(rows, filters, expected).filter((F.col("words") == 0) | (F.col("count") >= least)), "phrases")
     return scored(counts)
 
 
