@@ -75,7 +75,12 @@ def refresh_accounts(tables: Tables, as_of: datetime, match_company: bool = True
         new = update_where(stopped.join(back, "chdrnum", "left"), F.col("__back"), {
             "status": F.lit(ACTIVE), "dt_updated": moment(as_of), "updated_by": F.lit(f"{ACCOUNTS_LOG_NAME} B"),
         }).select(*accounts.columns)
-    return JobResult({"plan_acct": new}, (ACCOUNTS_LOG_NAME,))
+    return JobResult({"plan_acct": new}, (ACCOUNTS_LOG_NAME,), touched={"plan_acct": stamped(new, ACCOUNTS_LOG_NAME, as_of)})
+
+
+def stamped(state: DataFrame, by: str, as_of: datetime) -> DataFrame:
+    """Rows that a job has changed, by the moment and name it leaves on them."""
+    return state.where((F.col("dt_updated") == moment(as_of)) & F.startswith("updated_by", F.lit(by)))
 
 
 def any_flags(on: list[str], *frames: DataFrame) -> DataFrame:
@@ -200,4 +205,5 @@ def refresh_users(tables: Tables, as_of: datetime) -> JobResult:
         state = state.withColumn("__reset", reset).withColumn("__stop", stop)
         state = _ask_reset(state, f("__reset"), f"{USERS_LOG_NAME} {rule}", as_of)
         state = _stop(state, f("__stop"), f"{USERS_LOG_NAME} {rule}", as_of).drop("__reset", "__stop")
-    return JobResult({"r_user": state.select(*users.columns)}, (USERS_LOG_NAME,))
+    state = state.select(*users.columns)
+    return JobResult({"r_user": state}, (USERS_LOG_NAME,), touched={"r_user": stamped(state, USERS_LOG_NAME, as_of)})

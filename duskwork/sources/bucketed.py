@@ -13,7 +13,7 @@ that were read before a change must be read again after it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from duskwork.operators.filters import drop_matching, keys_of
 from duskwork.operators.keys import bucket_of
-from duskwork.operators.mutate import Sets, delete_keys, merge_upsert, update_keys
+from duskwork.operators.mutate import Sets, delete_keys, merge_upsert, update_from, update_keys
 from duskwork.sources import files
 
 BUCKET = "key_bucket"
@@ -181,6 +181,15 @@ def delete_keys_in(spark: SparkSession, layout: Layout, keys: DataFrame, run: st
     return rewrite(spark, layout, keys, lambda old: delete_keys(old, keys, layout.key), run)
 
 
+def update_from_in(
+    spark: SparkSession, layout: Layout, source: DataFrame, copies: Mapping[str, str], run: str, sets: Sets | None = None
+) -> Change:
+    """Overwrite columns with those of the matching source row; a source with two rows for a key is an error."""
+    if (set(copies) | set(sets or {})) & set(layout.key):
+        raise ValueError(f"the key {layout.key} cannot be changed in place")
+    return rewrite(spark, layout, source, lambda old: update_from(old, source, list(layout.key), copies, sets), run)
+
+
 def merge_in(spark: SparkSession, layout: Layout, source: DataFrame, update: Sets, insert: Sets, run: str) -> Change:
     """Update rows that have a source row and insert source rows that have none, bucket by bucket."""
 

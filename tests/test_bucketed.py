@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from duskwork import plans
-from duskwork.operators.mutate import delete_keys, merge_upsert, update_keys
+from duskwork.operators.mutate import delete_keys, merge_upsert, update_from, update_keys
 from duskwork.plans.job import JobResult
 from duskwork.sources import bucketed, files
 from duskwork.sources.bucketed import BUCKET, Layout
+from duskwork.sources.schemas import SCHEMAS
 from tests.helpers import AS_OF, ago, params, rows, tables
 from tests.test_plans import plan_of
 
@@ -56,9 +57,12 @@ def test_changes_write_only_their_buckets(spark, tmp_path, wanted):
     assert rows(gone.table, "k", "v", "n") == rows(delete_keys(expected, hit, "k"))
 
     source = spark.createDataFrame([(i, f"m{i}") for i in (*wanted, 5, 1000)], "k bigint, w string").dropna()
+    copied = bucketed.update_from_in(spark, layout, source, {"v": "w"}, "run-2b", {"n": F.lit(9)})
+    left = update_from(delete_keys(expected, hit, "k"), source, "k", {"v": "w"}, {"n": F.lit(9)})
+    assert rows(copied.table, "k", "v", "n") == rows(left)
     update, insert = {"v": F.col("w")}, {"k": F.col("k"), "v": F.col("w")}
     merged = bucketed.merge_in(spark, layout, source, update, insert, "run-3")
-    assert rows(merged.table, "k", "v", "n") == rows(merge_upsert(delete_keys(expected, hit, "k"), source, "k", update, insert))
+    assert rows(merged.table, "k", "v", "n") == rows(merge_upsert(left, source, "k", update, insert))
 
 
 def test_scan_of_a_change_is_pruned(spark, tmp_path):
@@ -176,3 +180,17 @@ def test_job_that_names_no_keys_writes_all_buckets(spark, tmp_path):
 
     state = plans.run_job(spark, job, "x", made, AS_OF, str(tmp_path / "runs"), {"r_user": layout})
     assert rows(state["r_user"], "user_id") == [(0,), (1000,), (2000,), (3000,), (4000,)]
+
+
+def test_refreshes_tell_their_keys(spark, tmp_path):
+    made = tables(
+        spark,
+        plan_acct=[{"acctid": i, "chdrcoy": "2", "chdrnum": f"n{i}", "status": "A"} for i in range(60)],
+        ifsdmchdrpf=[{"chdrcoy": "2", "chdrnum": f"n{i}", "statcode": "LA" if i in (7, 31) else "IF", "modidate": 20240614} for i in range(60)],
+    )
+    layout = Layout(str(tmp_path / "plan_acct"), ("acctid",), SCHEMAS["plan_acct"], 2)
+    made["plan_acct"] = bucketed.lay_out(made["plan_acct"], layout)
+    old = files.data_files(spark, layout.folder)
+    state = plans.run_job(spark, plans.refresh_accounts, "REFRESH PLANACCT", made, AS_OF, str(tmp_path / "runs"), {"plan_acct": layout})
+    assert rows(state["plan_acct"].where("status = 'I'"), "acctid") == [(7,), (31,)] and state["plan_acct"].count() == 60
+    assert len(set(old) - set(files.data_files(spark, layout.folder))) == 2
