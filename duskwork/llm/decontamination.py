@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import pickle
 
 import numpy as np
@@ -189,42 +190,47 @@ def loaded(data: bytes) -> Items:
     return pickle.loads(data)
 
 
+def best_of(found: list) -> list[tuple[int, float, int]]:
+    """One finding per item, the most similar window, the first of equals; an item may have rows in several blocks."""
+    best: dict[int, tuple[float, int]] = {}
+    for item, value, start in found:
+        if item not in best or (-value, start) < (-best[item][0], best[item][1]):
+            best[item] = (value, start)
+    return sorted((item, *kept) for item, kept in best.items())
+
+
+FINDINGS = "doc_id long, contaminated boolean, n_items long, item_ids string, best_item long, best_similarity double, best_start long"
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, contaminated, n_items, item_ids, best_item, best_similarity, best_start for every row.
 
     ``item_ids`` are sorted and comma-joined; the best item is the most similar one,
     the smallest of equals.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     blocks = item_blocks(benchmark)
-    frames = []
-    for block in blocks:
+    # Each block's findings are added to the row, so a row is told from others of the same id, or of none.
+    rows = docs.withColumn("found", F.lit("[]"))
+    for number, block in enumerate(blocks, 1):
         shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Items(block(), threshold)))
 
-        def search(parts, shared=shared):
+        def search(parts, shared=shared, last=number == len(blocks)):
             items = loaded(shared.value)
             for part in parts:
-                found = [items.find(text) for text in texts_of(part)]
+                texts = texts_of(part)
+                found = [json.loads(f) + items.find(text) for f, text in zip(part.column("found").to_pylist(), texts)]
+                if not last:
+                    yield part.column("doc_id"), texts, list(map(json.dumps, found))
+                    continue
+                found = [best_of(f) for f in found]
                 yield (
                     part.column("doc_id"), [bool(f) for f in found], [len(f) for f in found], [",".join(str(i) for i, _, _ in f) for f in found],
                     *map(list, zip(*[min(f, key=lambda x: (-x[1], x[0])) if f else (None, None, None) for f in found])),
                 )
 
-        frames.append(map_slices(
-            docs, search,
-            "doc_id long, contaminated boolean, n_items long, item_ids string, best_item long, best_similarity double, best_start long",
-        ))
-    if len(frames) == 1:
-        return frames[0]
-    all_rows = functools.reduce(DataFrame.unionByName, frames)
-    first = F.min(F.struct(-F.col("best_similarity"), "best_item", "best_start", "best_similarity"))
-    best = all_rows.filter("contaminated").groupBy("doc_id").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("item_ids", ",").cast("array<long>"))))).alias("ids"), first.alias("first")
-    )
-    return docs.select("doc_id").join(best, "doc_id", "left").select(
-        "doc_id", F.col("ids").isNotNull().alias("contaminated"), F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce(F.array_join(F.col("ids").cast("array<string>"), ","), F.lit("")).alias("item_ids"), "first.best_item", "first.best_similarity", "first.best_start",
-    )
+        rows = map_slices(rows, search, FINDINGS if number == len(blocks) else "doc_id long, text string, found string")
+    return rows
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

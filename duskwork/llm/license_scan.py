@@ -20,7 +20,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duskwork.llm.frames import map_slices, texts_of
+from duskwork.llm.frames import Intervals, map_slices, texts_of
 
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 BASE_WEIGHT = 0.4
@@ -190,10 +190,12 @@ class Scanner:
             pattern = self.compiled.get(place)
             if pattern is None:
                 pattern = self.compiled[place] = re.compile(rule.pattern)
-            for match in pattern.finditer(low):
-                start, end = match.span()
-                if not any(a <= start and end <= b for a, b, _ in found):
-                    found.append((start, end, rule))
+            spans = [match.span() for match in pattern.finditer(low)]
+            if spans and found:
+                # Spans of one rule never hold each other.
+                earlier = Intervals([(a, b) for a, b, _ in found])
+                spans = [(a, b) for a, b in spans if not earlier.contain(a, b)]
+            found += [(a, b, rule) for a, b in spans]
         return found
 
 
@@ -212,10 +214,11 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     found = []
     for phrase, label in BASE.items():
         wanted = b" " + phrase.encode() + b" "
-        at = line.find(wanted)
+        at, seen, number = line.find(wanted), 0, 0
         while at >= 0:
-            found.append((line.count(b" ", 0, at), label))
-            at = line.find(wanted, at + 1)
+            number += line.count(b" ", seen, at)
+            found.append((number, label))
+            seen, at = at, line.find(wanted, at + 1)
     return found
 
 

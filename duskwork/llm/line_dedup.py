@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from duskwork.llm.frames import map_slices, texts_of, written
 
+# Rows without an id count as part of the document with the largest id there is.
 NO_ID = (1 << 63) - 1
 SHARD_KEYS = 50_000
 # The list of shards is broadcast: 16 bytes each. Shards get larger beyond.
@@ -283,7 +284,8 @@ def deduplicated(docs: DataFrame, least: int = 10) -> DataFrame:
 
     ``least`` is the number of code points from which a line's key counts.
     """
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
+    given = docs["doc_id"].cast("long")
+    docs = docs.select(F.coalesce(given, F.lit(NO_ID)).alias("doc_id"), docs["text"], given.isNull().alias("without"))
     lines = written(line_counts(docs, least), "lines")
     shards = min(MOST_SHARDS, max(1, -(-lines.count() // SHARD_KEYS)))
     index = written(build_index(lines, shards), "line-index")
@@ -306,11 +308,7 @@ def deduplicated(docs: DataFrame, least: int = 10) -> DataFrame:
                     ]
                 gone.append(counts[-1] - len(lines))
                 kept.append("\n".join(lines))
-            ids = [None if doc == NO_ID else doc for doc in part.column("doc_id").to_pylist()]
+            ids = [None if without else doc for doc, without in zip(part.column("doc_id").to_pylist(), part.column("without").to_pylist())]
             yield ids, kept, counts, gone
 
     return map_slices(joined, drop, "doc_id long, text string, n_lines long, n_dropped long")
-
-
-def sha256_of(texts: Iterator[str]) -> list[str]:
-    return [hashlib.sha256(text.encode("utf-8")).hexdigest() for text in texts]

@@ -9,7 +9,8 @@ probabilities stay short. All copies are shuffled globally by a hash.
 Without given weights a source gets its row count to the power of ``power``. Rows with a null source form a
 source of their own; repeated rows and rows that share a ``doc_id`` get the same
 count; a null ``doc_id`` hashes like the word null. Null texts stay null. All
-columns of the input are kept, added ones are named ``copy`` and ``position``.
+columns of the input are kept, added ones are named ``copy`` and ``position``, with an
+underscore behind a name that the input has already.
 """
 
 from __future__ import annotations
@@ -68,11 +69,24 @@ def mixed(
     broadcast, so documents move once, in the final shuffle.
     """
     rates = reuse_keys(source_rates(docs, weights, power, total))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    # The input's columns travel in one struct, so none of their names meets one used here.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["source"].alias("source"))
+    key = F.coalesce(F.col("row")[doc_id_of(docs)].cast("string"), F.lit("null"))
     numbers = F.transform(F.sequence(F.lit(1).cast("long"), F.col("pieces")), lambda piece: uniform(F.lit(seed), key, piece.cast("string")))
     count = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter("cdf", lambda c: c <= u)))
-    names = [docs[c] for c in docs.columns]
-    counted = docs.join(rates, docs["source"].eqNullSafe(rates["mix_source"])).select(*names, count.alias("mix_count"))
-    copies = counted.filter("mix_count > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("mix_count") - 1))).drop("mix_count")
+    counted = rows.join(rates, rows["source"].eqNullSafe(rates["mix_source"])).select("row", count.alias("count"))
+    copies = counted.filter(F.col("count") > 0).select("row", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("copy"))
     placed = copies.withColumn("position", F.md5(F.concat_ws(":", F.lit(seed), F.lit("place"), key, F.col("copy").cast("string"))))
-    return placed.orderBy("position", "doc_id")
+    added = [F.col(c).alias(free_name(c, docs.columns)) for c in ("copy", "position")]
+    return placed.orderBy("position", F.col("row")[doc_id_of(docs)]).select(*[F.col("row")[c].alias(c) for c in docs.columns], *added)
+
+
+def doc_id_of(docs: DataFrame) -> str:
+    return next(c for c in docs.columns if c.lower() == "doc_id")
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores behind it until no column of the input is called so."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name

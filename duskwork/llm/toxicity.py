@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duskwork.llm.frames import map_slices, texts_of, written
+from duskwork.llm.frames import Intervals, map_slices, texts_of, written
 
 SAMPLE_ROWS = 20_000
 STEM_LENGTHS = range(4, 11)
@@ -89,7 +89,8 @@ class Model:
             else:
                 found.append((start, end, stem))
         if harmless:
-            found = [f for f in found if not any(a <= f[0] and f[1] <= b for a, b in harmless)]
+            held = Intervals(harmless)
+            found = [f for f in found if not held.contain(f[0], f[1])]
         return [stem for _, _, stem in found]
 
     def features(self, text: str) -> tuple[float, float]:
