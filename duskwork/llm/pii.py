@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duskwork.llm.frames import map_slices, texts_of, written
+from duskwork.llm.frames import Intervals, map_slices, texts_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -37,9 +37,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
 DIGIT = re.compile(r"[0-9]")
-NUMBERS = re.compile(r"[0-9+](?:[0-9.() +-]*[0-9])?")
+CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-DOMAIN = re.compile(r"[A-Za-z0-9.-]*")
 
 WINDOW, STEP = 96, 48
 SAMPLE_WINDOWS = 300
@@ -47,7 +46,9 @@ HIDDEN, EMBED = 16, 12
 EPOCHS, BATCH, RATE = 10, 64, 0.03
 DECODE_BATCH = 256
 MIN_SCORE = 0.97
-TAGS = ["O"] + [f"{p}-{k}" for k in KINDS for p in "BI"]
+# Kinds the tagger marks: secrets have no base pattern.
+MARKED = (*KINDS, "secret")
+TAGS = ["O"] + [f"{p}-{k}" for k in MARKED for p in "BI"]
 SEED = 7
 
 
@@ -81,14 +82,26 @@ def emails(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def addresses(text: str) -> list[tuple[int, int]]:
+    """Matches of IP with small parts: the parts of each run of numbers and dots, four at a time."""
+    found = []
+    for chain in CHAIN.finditer(text):
+        start, parts = chain.start(), chain.group().split(".")
+        for at in range(0, len(parts), 4):
+            four = parts[at : at + 4]
+            end = start + sum(map(len, four)) + len(four) - 1
+            if len(four) == 4 and all(map(small_part, four)):
+                found.append((start, end))
+            start = end + 1
+    return found
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of all four kinds by kind as listed, then start."""
     spans = [("email", *span) for span in emails(text)]
     if not DIGIT.search(text):
         return spans
-    for match in IP.finditer(text):
-        if all(small_part(p) for p in match.group().split(".")):
-            spans.append(("ip", *match.span()))
+    spans += [("ip", *span) for span in addresses(text)]
     for match in CARD.finditer(text):
         digits = match.group().replace(" ", "").replace("-", "")
         if 13 <= len(digits) <= 19 and luhn(digits):
@@ -313,9 +326,23 @@ def harmless(rng: np.random.Generator) -> str:
     n = int(rng.integers(0, 10**6))
     return [
         f"{1900 + n % 130}", f"version {n % 9}.{n % 7}", f"{n % 9}.{n % 10}.", f"{n % 1000}", f"{n % 100},{n % 1000:03d}", f"{n % 24}:{n % 60:02d}",
-        f"{2000 + n % 30}-{1 + n % 12:02d}-{1 + n % 28:02d}", hashlib.md5(str(n).encode()).hexdigest()[: 16 + n % 17], f"password={hashlib.md5(str(n).encode()).hexdigest()[:18]}",
-        f'token = "{hashlib.sha1(str(n).encode()).hexdigest()}"', f"AKIA{hashlib.md5(str(n).encode()).hexdigest()[:16].upper()}", f"{n % 500}.{n % 90} %", "@",
-    ][rng.integers(0, 13)]
+        f"{2000 + n % 30}-{1 + n % 12:02d}-{1 + n % 28:02d}", hashlib.md5(str(n).encode()).hexdigest()[: 16 + n % 17], f"{n % 500}.{n % 90} %", "@",
+    ][rng.integers(0, 10)]
+
+
+# Labels of secrets in training windows: the value behind a telling name, or a key that tells itself.
+SECRET = re.compile(r"""(?:password|passwd|secret|token|api[_-]?key)["']?\s*[=:]\s*["']?([0-9A-Za-z/+_-]{12,})|\b(AKIA[0-9A-Z]{16})\b""")
+
+
+def secrets(text: str) -> list[tuple[str, int, int]]:
+    return [("secret", *(m.span(1) if m[1] else m.span(2))) for m in SECRET.finditer(text)]
+
+
+def made_secret(rng: np.random.Generator) -> str:
+    """A secret as it stands in a text."""
+    value = hashlib.sha1(str(int(rng.integers(0, 10**9))).encode()).hexdigest()[: int(rng.integers(18, 41))]
+    name, sign, quote = rng.choice(["password", "token", "api_key", "secret"]), rng.choice(["=", " = ", ": "]), rng.choice(['"', ""])
+    return f"AKIA{value[:16].upper()}" if rng.integers(0, 4) == 0 else f"{name}{sign}{quote}{value}{quote}"
 
 
 def training_set(windows: list[str], seed: int = SEED) -> tuple[list[str], list[list[int]]]:
@@ -323,11 +350,11 @@ def training_set(windows: list[str], seed: int = SEED) -> tuple[list[str], list[
     rng = np.random.default_rng(seed)
     texts, tags = [], []
     for text in windows:
-        spans = [s for s in base_spans(text)]
-        for turn in range(4):
+        spans = [*base_spans(text), *secrets(text)]
+        for turn in range(5):
             made, labels = text, list(spans)
             if turn:
-                kind, extra = other_forms(rng) if turn < 3 else (None, harmless(rng))
+                kind, extra = other_forms(rng) if turn < 3 else (None, harmless(rng) if turn == 3 else made_secret(rng))
                 blanks = [i for i, ch in enumerate(text) if ch == " " and not any(a <= i < b for _, a, b in spans)]
                 at = int(rng.choice(blanks)) + 1 if blanks else 0
                 made = text[:at] + extra + " " + text[at:]
@@ -335,6 +362,7 @@ def training_set(windows: list[str], seed: int = SEED) -> tuple[list[str], list[
                 labels = [(k, a + shift, b + shift) if a >= at else (k, a, b) for k, a, b in spans]
                 if kind:
                     labels.append((kind, at, at + len(extra)))
+                labels += [(k, at + a, at + b) for k, a, b in secrets(extra)]
                 cut = max(0, min(at - 30, len(made) - WINDOW)) if len(made) > WINDOW else 0
                 made, labels = made[cut : cut + WINDOW], [(k, max(0, a - cut), min(b - cut, WINDOW)) for k, a, b in labels if b > cut and a < cut + WINDOW]
             row = [0] * len(made)
@@ -412,21 +440,20 @@ def model_spans(
         for kind, a, b, score in spans:
             cut = a == 0 and start > 0 or b == len(window) and start + b < length
             found.append((kind, start + a, start + b, score, cut))
-    text_at = dict(zip(starts, windows))
-
     def triggered(a, b):
-        return any(TRIGGER.search(w[max(0, a - s) : max(0, b - s)]) for s, w in text_at.items() if s < b and a < s + len(w))
+        near = range(bisect.bisect_right(starts, a - WINDOW), bisect.bisect_left(starts, b))
+        return any(TRIGGER.search(windows[i][max(0, a - starts[i]) : max(0, b - starts[i])]) for i in near)
 
-    taken = sorted((a, b) for _, a, b in base)
+    taken = Intervals([(a, b) for _, a, b in base])
     added = []
     for kind, a, b in reconciled([s for s in joined(found) if s[3] >= MIN_SCORE]):
-        if b - a >= 6 and not any(x < b and a < y for x, y in taken) and triggered(a, b):
+        if b - a >= 6 and not taken.meet(a, b) and triggered(a, b):
             added.append((kind, a, b))
     return added
 
 
 def listed(spans: list[tuple[str, int, int]]) -> str:
-    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (MARKED.index(s[0]), s[1], s[2])))
 
 
 @functools.lru_cache(maxsize=2)
@@ -457,7 +484,7 @@ def train_on(found: DataFrame) -> Tagger:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of base spans, base_spans and spans (kind:start:end) of every row."""
+    """doc_id, counts of base spans, base_spans and spans (kind:start:end) of every row, and the number of all spans."""
     found = candidates(docs)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(train_on(found)))
 
@@ -474,6 +501,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
                 spans.append(listed(own + added))
                 for k in KINDS:
                     counts[k].append(sum(s[0] == k for s in own))
-            yield [part.column("doc_id"), *counts.values(), part.column("base"), spans]
+            yield [part.column("doc_id"), *counts.values(), part.column("base"), spans, [s.count(":") // 2 for s in spans]]
 
-    return map_slices(found, tag, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_spans string, spans string")
+    # The windows lie in few files: decoding is dealt over all tasks, whatever their number.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = found.repartition(tasks, F.xxhash64("windows"), F.col("doc_id"))
+    return map_slices(dealt, tag, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_spans string, spans string, n_spans long")

@@ -78,6 +78,20 @@ def test_tagger_finds_held_out_spans_and_gating_changes_nothing(tagger):
     assert found >= 60  # of 80
 
 
+def test_tagger_finds_secrets_and_leaves_other_hex_alone(tagger):
+    rng = random.Random(12)
+    found = wrong = 0
+    for k in range(40):
+        value = "".join(rng.choices("0123456789abcdef", k=40))
+        for text, hit in ((sentence(rng, 9) + f' token = "{value}" ' + sentence(rng, 9), True), (sentence(rng, 9) + f" version {k}.{k % 7} of {1950 + k} " + sentence(rng, 9), False)):
+            starts = pii.window_starts(text)
+            windows = [text[s : s + pii.WINDOW] for s in starts]
+            spans = [s for s in pii.model_spans(pii.decoded(tagger, windows), [], starts, windows, len(text)) if s[0] == "secret"]
+            found += hit and any(a >= text.index(value) - 2 and b <= text.index(value) + 42 for _, a, b in spans)
+            wrong += not hit and bool(spans)
+    assert found >= 36 and wrong <= 1  # of 40 each
+
+
 def test_personal_data_rows(spark):
     made = with_nulls([*rows(many=4), (900, "write to jo.do@site.org or +1 (212) 555-1000, 10.0.0.1 " * 3, "en", "s", 1)])
     got = {(r.doc_id, r.base_spans): r for r in pii.personal_data(docs(spark, made)).collect()}
