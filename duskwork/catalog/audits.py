@@ -12,7 +12,7 @@ from duskwork.operators.audit import LOG_SCHEMA
 from duskwork.operators.durable import scratch_folder
 from duskwork.plans.approvals import LOG_NAME as EXPIRY, expire_approvals
 from duskwork.plans.archive import archive_transactions
-from duskwork.plans.intake import new_accounts, new_agents, new_investors
+from duskwork.plans.intake import new_agents, new_investors, open_accounts
 from duskwork.plans.job import JobResult, run_job
 from duskwork.plans.mailbox import purge_mailboxes
 from duskwork.plans.settlement import settle_transactions
@@ -90,7 +90,7 @@ SELECT 'NEW_ACCT', CASE WHEN n = 1 AND created_id IS NOT NULL THEN 'PLAN_ACCT,R_
        NULL, acctid || '|' || chdrcoy || '|' || chdrnum || '|' || entity_id FROM opened
 """)
 def audit_accounts(source: Source):
-    return _trail(new_accounts(stand_ins.intake_tables(source), AFTER_ORDERS))
+    return _trail(open_accounts(stand_ins.intake_tables(source), AFTER_ORDERS))
 
 
 @query("""

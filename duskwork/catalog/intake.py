@@ -14,7 +14,7 @@ from duskwork.operators.incremental import incremental_new, last_success
 from duskwork.operators.mutate import update_from
 from duskwork.operators.ranking import first_per_key as first_rows
 from duskwork.plans.entities import get_entities
-from duskwork.plans.intake import investor_roles, new_accounts, new_agents, new_investors
+from duskwork.plans.intake import investor_roles, new_agents, new_investors, open_accounts
 from duskwork.plans.mailbox import mail_annual_report
 from duskwork.plans.portfolios import copy_beneficiaries, insert_portfolios, staged_references
 from duskwork.plans.users import queue_password_resets
@@ -128,7 +128,7 @@ FROM opening o LEFT JOIN created c ON c.main = o.main AND c.joint = o.joint
 LEFT JOIN entity e ON e.main = o.main AND o.joint = ''
 """, name="new_accounts")
 def _new_accounts(source: Source):
-    opened = new_accounts(stand_ins.intake_tables(source), AFTER_ORDERS).out["NEW_ACCT"]
+    opened = open_accounts(stand_ins.intake_tables(source), AFTER_ORDERS).out["NEW_ACCT"]
     return opened.select("chdrcoy", "chdrnum", "entity_id", "acctid")
 
 
@@ -137,7 +137,7 @@ SELECT entity_id AS entityid, customer_type, auth_type FROM created
 UNION ALL SELECT entity_id, 'IND', NULL FROM entity
 """)
 def new_entities(source: Source):
-    result = new_accounts(stand_ins.intake_tables(source), AFTER_ORDERS)
+    result = open_accounts(stand_ins.intake_tables(source), AFTER_ORDERS)
     return result.tables["r_customer"].select("entityid", "customer_type", "auth_type")
 
 
@@ -147,7 +147,7 @@ UNION ALL SELECT entity_id, 'JO2', joint::BIGINT FROM created WHERE joint <> ''
 UNION ALL SELECT entity_id, 'JO1', entity_id FROM entity
 """)
 def entity_members(source: Source):
-    return new_accounts(stand_ins.intake_tables(source), AFTER_ORDERS).tables["r_custuser_matrix"]
+    return open_accounts(stand_ins.intake_tables(source), AFTER_ORDERS).tables["r_custuser_matrix"]
 
 
 @query(f"""{_INTAKE}

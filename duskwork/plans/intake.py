@@ -161,7 +161,7 @@ def new_entities(tables: Tables, contracts: DataFrame) -> DataFrame:
     return created.unionByName(old, allowMissingColumns=True)
 
 
-def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) -> JobResult:
+def open_accounts(tables: Tables, as_of: datetime) -> JobResult:
     """Plan accounts for new active contracts whose owners are all users.
 
     Contracts of the same owner pair share one entity, created once. A NULL or
@@ -203,10 +203,6 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
         "r_custuser_matrix": members,
         "plan_acct": opened.select("acctid", *CONTRACT, F.lit(ACTIVE).alias("status"), "entity_id", *stamp),
     }
-    trades = tables["ifsdmutrnpf"].select(*CONTRACT, trimmed("ztranref").alias("reference"))
-    on = CONTRACT if match_company else ["chdrnum"]
-    references = reuse_keys(keep_matching(trades, opened, on).select("reference").distinct())
-
     owners = [F.col("main"), F.when(F.col("__joint") != "", F.col("__joint"))]
     first_of_pair = F.col("is_new") & (F.col("chdrcoy") == F.col("open_coy")) & (F.col("chdrnum") == F.col("open_num"))
     touched = F.when(first_of_pair, f"PLAN_ACCT{ENTITY_TABLES}").otherwise("PLAN_ACCT")
@@ -221,8 +217,17 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
         ),
     )
     taken = reserved(tables, {("r_customer", "entityid"): created, ("plan_acct", "acctid"): opened})
-    accounts = JobResult.of(tables, (ACCOUNT_LOG_NAME,), taken, added, audit, {ACCOUNT_LOG_NAME: opened})
-    state = accounts.over(tables)
+    return JobResult.of(tables, (ACCOUNT_LOG_NAME,), taken, added, audit, {ACCOUNT_LOG_NAME: opened})
+
+
+def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) -> JobResult:
+    """Accounts are opened; portfolios staged for the references traded on them go live, and
+    their beneficiaries are copied."""
+    accounts = open_accounts(tables, as_of)
+    opened, state = accounts.out[ACCOUNT_LOG_NAME], accounts.over(tables)
+    trades = tables["ifsdmutrnpf"].select(*CONTRACT, trimmed("ztranref").alias("reference"))
+    on = CONTRACT if match_company else ["chdrnum"]
+    references = reuse_keys(keep_matching(trades, opened, on).select("reference").distinct())
     portfolios = insert_portfolios(state, references, as_of, match_company)
     beneficiaries = copy_beneficiaries(portfolios.over(state), references, as_of, match_company)
     return combine(accounts, portfolios, beneficiaries)
