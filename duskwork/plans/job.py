@@ -150,6 +150,9 @@ def run_job(
     run, layouts = run or f"{name}-{uuid4().hex}", layouts or {}
     folder = f"{folder}/{run}"
     if not files.finished(spark, f"{folder}/written"):
+        for layout in layouts.values():
+            # Buckets that an earlier try staged may come from other inputs; none of them is in place.
+            files.delete(spark, layout.staged(run))
         try:
             result = recorded(spark, tables, job(tables, as_of), as_of)
             write_result(spark, result, tables, folder, layouts, run)

@@ -160,6 +160,29 @@ def test_job_lost_between_staging_and_replacing(spark, tmp_path, monkeypatch):
     assert rows(state["eod_log"], "eod_proc_name", "status") == [("DormantUserID", "S")]
 
 
+def test_buckets_staged_by_a_failed_try_are_not_used(spark, tmp_path):
+    made, layout = job_tables(spark, tmp_path)
+
+    def broken(tables, as_of):
+        result = plans.set_dormant({**tables, "r_sysparam": params_of(spark, 0.5)}, as_of)
+        return JobResult({**result.tables, "zzz": spark.range(1).select(F.raise_error(F.lit("disk full")).alias("x"))}, ("x",), None, touched=result.touched)
+
+    failed = plans.run_job(spark, broken, "DormantUserID", made, AS_OF, str(tmp_path / "runs"), {"r_user": layout}, "night-1")
+    assert rows(failed["eod_log"], "status") == [("F",)]
+    wrong = keys_of_users(spark, 9)
+    bucketed.stage(spark, layout, wrong, lambda b: bucketed.in_buckets(made["r_user"], b).drop(BUCKET).withColumn("status", F.lit("X")), "night-1")
+    state = plans.run_job(spark, plans.set_dormant, "DormantUserID", made, AS_OF, str(tmp_path / "runs"), {"r_user": layout}, "night-1")
+    assert rows(state["r_user"].where("status <> 'A'"), "user_id", "status") == [(3, "D"), (77, "D")]
+
+
+def params_of(spark, days):
+    return tables(spark, r_sysparam=params(DORMANT_PERIOD_ADMIN=days, DORMANT_PERIOD_USER=days))["r_sysparam"]
+
+
+def keys_of_users(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "user_id bigint")
+
+
 def test_failed_tries_stay_in_the_log(spark, tmp_path):
     made, layout = job_tables(spark, tmp_path)
 

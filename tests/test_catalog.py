@@ -1,4 +1,6 @@
 import pathlib
+import subprocess
+import sys
 
 import pytest
 
@@ -28,3 +30,12 @@ def test_query_matches_sql(spark, con, name):
 
 def test_entry(spark, con):
     assert entry.entry(spark).count() > 0
+
+
+def test_other_queries_are_there_without_the_training_data_ones():
+    code = (
+        "import sys, warnings; sys.modules['duskwork.llm'] = None; warnings.simplefilter('ignore')\n"
+        "import __spark_entry__ as e; from duskwork.catalog import QUERIES; print(set(e.queries()) == set(QUERIES) == set(e.oracle_sql()))"
+    )
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=pathlib.Path(entry.__file__).parent, check=True)
+    assert done.stdout.strip() == "True"
