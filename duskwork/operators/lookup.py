@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwork.functions.text import segments
-from duskwork.operators.filters import Keys, join_side, key_list, with_match
+from duskwork.operators.filters import join_side, with_match
 from duskwork.operators.joins import pattern_matches
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from duskwork.functions.text import code
 from duskwork.operators.durable import reuse_keys

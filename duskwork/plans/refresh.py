@@ -16,7 +16,6 @@ from duskwork.operators.mutate import is_true, update_where
 from duskwork.operators.roles import activity_actions
 from duskwork.plans.intake import contract_owners, is_active_contract
 from duskwork.plans.job import JobResult, Tables
-from duskwork.plans.portfolios import account_keys
 from duskwork.sources.codes import (
     ACTIVE, ACTIVE_CONTRACT, EXTERNAL_USER, FRONT_END_COMPANIES, INACTIVE, NO, ROLE_ADVISER, ROLE_INVESTOR, YES,
 )
