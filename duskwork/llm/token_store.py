@@ -40,10 +40,14 @@ from duskwork.llm.frames import map_slices, texts_of, written
 MAGIC = b"PFR1"
 BLOCK = 1024
 PERCENTILE = 0.9
-SHARD_IDS = 1 << 19
+SHARD_IDS = 1 << 16
 END_ID = 2
-# Distinct pieces kept by a worker: about 150 MB.
-CACHE_PIECES = 1_000_000
+# Bytes of pieces and their ids kept by a worker, with what a dictionary takes for an entry; longer pieces are never kept.
+CACHE_BYTES = 64 << 20
+ENTRY_BYTES = 220
+KEPT_CHARS = 64
+# Characters of new pieces encoded at once.
+LEARN_CHARS = 1 << 16
 HEAD = struct.Struct("<IBH")
 
 
@@ -152,6 +156,8 @@ class Encoder:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.held = 0
         # In byte-level vocabularies each character of a token stands for one byte.
         self.lengths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, number in self.tokenizer.get_vocab().items():
@@ -162,20 +168,43 @@ class Encoder:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; pieces that are new in any of them are learnt together."""
+        """The ids of each text; pieces that are new in any of them are learnt together, up to some size."""
+        out: list[bytes] = []
+        for group in grouped(texts, LEARN_CHARS * 16):
+            out += self.encode_group(group)
+        return out
+
+    def encode_group(self, texts: list[str]) -> list[bytes]:
+        if self.held > CACHE_BYTES // 2:
+            # Pieces that come up again are taken over; the others go with the next change.
+            self.before, self.known, self.held = self.known, {}, 0
         whole = [bool(self.CONTROL.search(t) or self.added and self.added.search(t)) for t in texts]
         cut = [() if w else self.PIECE.findall(t) for t, w in zip(texts, whole)]
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
         new: set[str] = set()
         for pieces in cut:
             new.update(pieces)
-        self.learn([piece for piece in new if piece not in self.known])
-        take = self.known.__getitem__
-        return [
-            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w else b"".join(map(take, pieces))
-            for t, w, pieces in zip(texts, whole, cut)
-        ]
+        known, before = self.known, self.before
+        new = [piece for piece in new if piece not in known]
+        unseen = []
+        for piece in new:
+            ids = before.get(piece)
+            if ids is None:
+                unseen.append(piece)
+            else:
+                known[piece] = ids
+        for group in grouped(unseen, LEARN_CHARS):
+            self.learn(group)
+        take = known.__getitem__
+        out = [self.plain(t) if w else b"".join(map(take, pieces)) for t, w, pieces in zip(texts, whole, cut)]
+        for piece in new:
+            if len(piece) > KEPT_CHARS:
+                del known[piece]
+            else:
+                self.held += ENTRY_BYTES
+        return out
+
+    def plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, new: list[str]) -> None:
         """Encode new pieces: those of a space and a word as one text, cut by byte lengths."""
@@ -194,6 +223,19 @@ class Encoder:
                 start = end
 
 
+def grouped(texts: list[str], most: int):
+    """``texts`` in order, in groups of about ``most`` characters."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 @functools.cache
 def encoder(path: str) -> Encoder:
     return Encoder(path)

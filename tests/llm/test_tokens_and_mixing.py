@@ -61,3 +61,15 @@ def test_mixing_reaches_target_weights_and_keeps_columns(spark):
     heavy = mixing.mixed(frame.where("doc_id < 20"), weights, total=4000).groupBy("source").count().collect()
     assert all(abs(r[1] - 2000) < 300 for r in heavy)  # rates of a hundred and a thousand
     assert mixing.mixed(frame.limit(0)).count() == 0
+
+
+def test_encoding_with_a_small_cache(monkeypatch):
+    monkeypatch.setattr(token_store, "CACHE_BYTES", 2000)
+    monkeypatch.setattr(token_store, "KEPT_CHARS", 6)
+    monkeypatch.setattr(token_store, "LEARN_CHARS", 20)
+    own = token_store.Encoder(PATH)
+    texts = ["", "a word " * 50, "x" * 5000 + " longer-than-kept words", "one <|endoftext|> more", *(f"w{i} v{i % 7}  u{i}" for i in range(300))]
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in own.encode_all(texts)] == [
+            SHARED.encode(t, add_special_tokens=False).ids for t in texts]
+        assert own.held <= 1000 + 220 * 40 and all(len(piece) <= 6 for piece in {*own.known, *own.before})
