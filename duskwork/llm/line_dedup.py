@@ -17,9 +17,6 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
