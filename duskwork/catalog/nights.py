@@ -76,7 +76,7 @@ UNION ALL SELECT 'queued', user_id, NULL, NULL, NULL FROM z WHERE asked AND user
 """)
 def nightly_states(source: Source):
     """Users, roles, accounts and reset requests after the seven jobs of the intake night."""
-    tables = stand_ins.night_tables(source)
+    tables = stand_ins.written_once(stand_ins.night_tables(source), stand_ins.NIGHT_DERIVED)
     folder = scratch_folder(source.spark, "night")
     state = run_night(
         source.spark, INTAKE_NIGHT, tables, AFTER_ORDERS, folder, "first", views={"v_userrole": roles_in_use}

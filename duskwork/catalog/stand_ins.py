@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from duskwork.catalog.registry import Source
 from duskwork.functions.text import decode
 from duskwork.operators.audit import LOG_SCHEMA
+from duskwork.operators.durable import reuse
 from duskwork.sources.codes import PROCESS_USER
 
 AUDIT_SCHEMA = (
@@ -329,6 +330,18 @@ def reset_tables(source: Source) -> dict[str, DataFrame]:
     }
 
 
+# Tables of a night that joins or groupings of the given ones make: each of its jobs reads them, some several times.
+NIGHT_DERIVED = (
+    "ifsdmclntpf", "ifsdmchdrpf", "ifsdmutrnpf", "ifsdmaglfpf", "r_user", "r_user_info", "r_customer",
+    "r_custuser_matrix", "r_user_process",
+)
+
+
+def written_once(tables: dict[str, DataFrame], names: tuple[str, ...]) -> dict[str, DataFrame]:
+    """The tables, the named ones as written files, so that no reader joins or groups the given tables again."""
+    return {**tables, **{n: reuse(tables[n]) for n in names}}
+
+
 def night_tables(source: Source) -> dict[str, DataFrame]:
     """Intake, refresh and reset tables of one world: those of the intake, where some users
     are inactive, agents and serving agents as for the refresh, and the queue of early buyers."""

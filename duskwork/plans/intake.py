@@ -20,7 +20,7 @@ from duskwork.operators.ranking import first_per_key, lookup_per_key
 from duskwork.operators.roles import union_distinct
 from duskwork.operators.sequences import last_key, reserved
 from duskwork.plans.job import JobResult, Tables, chain, combine, union_audit
-from duskwork.plans.portfolios import copy_beneficiaries, insert_portfolios, staged_references
+from duskwork.plans.portfolios import copy_beneficiaries, insert_portfolios, staged_references, traded_on
 from duskwork.sources.codes import (
     ACTIVE, ACTIVE_CONTRACT, AUTHORITY, CORPORATE, CORPORATE_CLIENT, EXTERNAL_USER, FIRST_OWNER,
     FRONT_END_COMPANIES, INACTIVE, INDIVIDUAL, INTAKE_USER, INVESTOR_ROLE_NAME, JOINT, NO, NO_ENTITY, RESET,
@@ -228,8 +228,9 @@ def new_accounts(tables: Tables, as_of: datetime, match_company: bool = True) ->
     trades = tables["ifsdmutrnpf"].select(*CONTRACT, trimmed("ztranref").alias("reference"))
     on = CONTRACT if match_company else ["chdrnum"]
     references = reuse_keys(keep_matching(trades, opened, on).select("reference").distinct())
-    portfolios = insert_portfolios(state, references, as_of, match_company)
-    beneficiaries = copy_beneficiaries(portfolios.over(state), references, as_of, match_company)
+    traded = traded_on(state, references, match_company)
+    portfolios = insert_portfolios(state, references, as_of, match_company, traded)
+    beneficiaries = copy_beneficiaries(portfolios.over(state), references, as_of, match_company, traded)
     return combine(accounts, portfolios, beneficiaries)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from duskwork.functions.dates import moment
 from duskwork.functions.text import joined, trimmed
 from duskwork.operators.audit import run_log
+from duskwork.operators.durable import reuse, reuse_keys
 from duskwork.operators.filters import join_side, keep_matching
 from duskwork.operators.mutate import update_from
 from duskwork.operators.ranking import first_per_key
@@ -26,16 +28,43 @@ BENEFICIARY_COLUMNS = (
 )
 
 
+def named_transactions(transactions: DataFrame) -> DataFrame:
+    """(reference, account_temp_id) of all transactions, references trimmed."""
+    return transactions.select(
+        trimmed("e_reference_number").alias("reference"), F.col("account_id").alias("account_temp_id")
+    )
+
+
 def staged_transactions(transactions: DataFrame, staged: DataFrame, references: DataFrame) -> DataFrame:
     """(reference, account_temp_id) of transactions on a staged account whose
     trimmed reference is among ``references``.
 
     The staged accounts, few next to all transactions, are applied first.
     """
-    named = transactions.select(
-        trimmed("e_reference_number").alias("reference"), F.col("account_id").alias("account_temp_id")
-    )
-    return keep_matching(keep_matching(named, staged, "account_temp_id"), references, "reference")
+    return keep_matching(keep_matching(named_transactions(transactions), staged, "account_temp_id"), references, "reference")
+
+
+@dataclass(frozen=True)
+class Traded:
+    """What a set of references leads to, written once for all steps that take some of them:
+    their transactions (reference, account_temp_id) and their accounts (reference, acctid)."""
+
+    transactions: DataFrame
+    accounts: DataFrame
+
+    def on(self, staged: DataFrame) -> DataFrame:
+        """The transactions on a staged account."""
+        return reuse_keys(keep_matching(self.transactions, staged, "account_temp_id"))
+
+    def accounts_of(self, some: DataFrame) -> DataFrame:
+        """(reference, acctid) of some of the references."""
+        return keep_matching(self.accounts, some, "reference")
+
+
+def traded_on(tables: Tables, references: DataFrame, match_company: bool = True) -> Traded:
+    """Transactions and accounts of ``references``, each found in one pass."""
+    named = keep_matching(named_transactions(tables["trx_ut"]), references, "reference")
+    return Traded(reuse(named), reuse(accounts_of(tables, references, match_company)))
 
 
 def account_keys(match_company: bool) -> list[str]:
@@ -44,24 +73,33 @@ def account_keys(match_company: bool) -> list[str]:
 
 
 def accounts_of(tables: Tables, references: DataFrame, match_company: bool = True) -> DataFrame:
-    """Distinct (reference, acctid): accounts of the contracts a reference traded on."""
+    """Distinct (reference, acctid): accounts of the contracts a reference traded on.
+
+    The trades found are written, so that of contracts and accounts only theirs are moved.
+    """
     trades = tables["ifsdmutrnpf"].select(trimmed("ztranref").alias("reference"), "chdrcoy", "chdrnum")
-    trades = keep_matching(trades, references, "reference").distinct()
-    trades = keep_matching(trades, tables["ifsdmchdrpf"], ["chdrcoy", "chdrnum"])
+    trades = reuse_keys(keep_matching(trades, references, "reference").distinct())
+    contracts = keep_matching(tables["ifsdmchdrpf"].select("chdrcoy", "chdrnum"), trades, ["chdrcoy", "chdrnum"])
     on = account_keys(match_company)
-    accounts = tables["plan_acct"].select(*on, "acctid")
+    accounts = keep_matching(tables["plan_acct"].select(*on, "acctid"), trades, on)
+    trades = keep_matching(trades, contracts, ["chdrcoy", "chdrnum"])
     return trades.select("reference", *on).join(accounts, on).select("reference", "acctid").distinct()
 
 
 def insert_portfolios(
-    tables: Tables, references: DataFrame, as_of: datetime, match_company: bool = True
+    tables: Tables, references: DataFrame, as_of: datetime, match_company: bool = True, traded: Traded | None = None
 ) -> JobResult:
-    """Staged portfolios and targets of a set of references become live."""
+    """Staged portfolios and targets of a set of references become live.
+
+    Their transactions are written once: portfolios, targets and the search for accounts read
+    them. ``traded`` has them and the accounts if another step on these references needs them too.
+    """
     staged = tables["tmp_portfolio"]
-    trx = staged_transactions(tables["trx_ut"], staged, references)
+    trx = traded.on(staged) if traded else reuse_keys(staged_transactions(tables["trx_ut"], staged, references))
+    accounts = traded.accounts_of(trx) if traded else accounts_of(tables, trx, match_company)
     rows = (
         staged.join(trx.distinct(), "account_temp_id")
-        .join(accounts_of(tables, trx, match_company), "reference")
+        .join(accounts, "reference")
         .select(*[c for c in staged.columns if c != "account_temp_id"], "acctid").distinct()
     )
     portfolio = rows.select(
@@ -80,24 +118,27 @@ def insert_portfolios(
 
 
 def copy_beneficiaries(
-    tables: Tables, references: DataFrame, as_of: datetime, match_company: bool = True
+    tables: Tables, references: DataFrame, as_of: datetime, match_company: bool = True, traded: Traded | None = None
 ) -> JobResult:
     """Staged beneficiary and branch data overwrite those of the plan account.
 
     A reference with staged data that leads to several accounts is left out: it's
     returned in ``out['ambiguous_references']`` with its number of accounts, and a
     failure row under the step's name joins the run log. Where several staged rows
-    lead to one account, the last reference and staged account win.
+    lead to one account, the last reference and staged account win. ``traded`` is as for
+    :func:`insert_portfolios`.
     """
-    trx = staged_transactions(tables["trx_ut"], tables["tmp_account"], references)
-    staged = tables["tmp_account"].join(trx, "account_temp_id")
-    found = accounts_of(tables, staged, match_company).groupBy("reference").agg(
+    accounts = tables["tmp_account"]
+    trx = traded.on(accounts) if traded else reuse_keys(staged_transactions(tables["trx_ut"], accounts, references))
+    staged = accounts.join(trx, "account_temp_id")
+    owned = traded.accounts_of(trx) if traded else accounts_of(tables, trx, match_company)
+    found = reuse(owned.groupBy("reference").agg(
         F.count(F.lit(1)).alias("accounts"), F.min("acctid").alias("acctid")
-    )
-    accounts = join_side(found.where("accounts = 1").select("reference", "acctid"), "reference")
+    ))
+    single = join_side(found.where("accounts = 1").select("reference", "acctid"), "reference")
     ambiguous = found.where("accounts > 1").select("reference", "accounts")
     source = first_per_key(
-        staged.join(accounts, "reference"), "acctid",
+        staged.join(single, "reference"), "acctid",
         [F.col("reference").desc(), F.col("account_temp_id").desc()],
     )
     new = update_from(
@@ -116,15 +157,18 @@ def copy_beneficiaries(
 
 def staged_references(tables: Tables, since_key: int, match_company: bool = True) -> DataFrame:
     """References of new-account transactions traded since a date key whose
-    staged portfolio is not live yet on some account."""
+    staged portfolio is not live yet on some account.
+
+    Trades are first kept to the references of staged portfolios, few next to all trades.
+    """
     trx = tables["trx_ut"].where(F.col("new_account_flag") == "Y").select(
         trimmed("e_reference_number").alias("reference"), F.col("account_id").alias("account_temp_id")
     )
-    trx = keep_matching(trx, tables["tmp_portfolio"], "account_temp_id")
+    trx = reuse_keys(keep_matching(trx, tables["tmp_portfolio"], "account_temp_id").select("reference").distinct())
     on = account_keys(match_company)
     trades = tables["ifsdmutrnpf"].where(changed_since(tables["ifsdmutrnpf"], "trdt", since_key)).select(trimmed("ztranref").alias("reference"), *on)
     empty = tables["plan_acct"].join(
         tables["portfolio"].select(F.col("acct_id").alias("acctid")), "acctid", "left_anti"
     )
-    waiting = keep_matching(trades.distinct(), empty, on)
-    return keep_matching(trx, waiting, "reference").select("reference").distinct()
+    waiting = keep_matching(keep_matching(trades, trx, "reference").distinct(), empty, on)
+    return keep_matching(trx, waiting, "reference")

@@ -339,6 +339,20 @@ def test_beneficiaries_need_one_account(spark):
     assert rows(loose.tables["portfolio"], "acct_id") == [(1,), (2,), (3,)]
 
 
+def test_new_accounts_look_for_the_accounts_of_references_once(spark, monkeypatch):
+    """Portfolios and beneficiaries take theirs from one search over the trades."""
+    searched, search = [], portfolios.accounts_of
+
+    def counted(*args, **more):
+        searched.append(1)
+        return search(*args, **more)
+
+    monkeypatch.setattr(portfolios, "accounts_of", counted)
+    made = intake_case(spark)
+    intake.new_accounts(made, AS_OF)
+    assert len(searched) == 1
+
+
 def test_investor_role_must_be_unique(spark):
     role = lambda i: {"role_id": i, "role_nm": "INVESTOR", "role_type": "I"}
     t = intake_case(spark, r_role=[role(5), role(6)])

@@ -1,11 +1,13 @@
 """A night of jobs: order, restart behind the last finished job, failures."""
 
 from datetime import timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from duskwork import plans
+from duskwork.catalog import nights
 from duskwork.plans import NightStopped, Step, report, run_night
 from duskwork.sources import bucketed
 from duskwork.sources.bucketed import BUCKET, Layout
@@ -130,3 +132,36 @@ def test_views_follow_their_tables(spark, tmp_path):
     steps = (Step("look", look), STEPS[1], Step("look again", look))
     run_night(spark, steps, made, AS_OF, str(tmp_path), "n1", layouts, {"dormant": lambda t: t["r_user"].where(F.col("status") == "D")})
     assert seen == [0, 2] and BUCKET in made["r_user"].columns
+
+
+class Begun(Exception):
+    """Stops a night before its first job."""
+
+
+def test_jobs_of_a_night_read_written_tables(spark, monkeypatch):
+    """No job of the intake night joins or groups the given tables again."""
+    day = F.lit("1997-05-01").cast("timestamp_ntz")
+    given = SimpleNamespace(
+        spark=spark,
+        customer=spark.createDataFrame([(1, "n", 0, 5.0, "BUILDING")], "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        supplier=spark.createDataFrame([(1, 0, 9000.0)], "s_suppkey bigint, s_nationkey int, s_acctbal double"),
+        nation=spark.createDataFrame([(0, 0)], "n_nationkey int, n_regionkey int"),
+        region=spark.createDataFrame([(0, "ASIA")], "r_regionkey int, r_name string"),
+        part=spark.createDataFrame([(1, "Brand#1", "t", 1, 2.0)], "p_partkey bigint, p_brand string, p_type string, p_size int, p_retailprice double"),
+        orders=spark.createDataFrame([(7, 1, "F", 1.0, "2-HIGH")], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string").withColumn("o_orderdate", day),
+        lineitem=spark.createDataFrame([(7, 1, 1)], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint").withColumn("l_shipdate", day),
+        events=spark.createDataFrame([(1, 1, "view", 1.0)], "event_id bigint, user_id bigint, event_type string, value double").withColumn("ts", day),
+    )
+    seen = {}
+
+    def begun(spark, steps, tables, *rest, **more):
+        seen.update(tables)
+        raise Begun
+
+    monkeypatch.setattr(nights, "run_night", begun)
+    with pytest.raises(Begun):
+        nights.nightly_states(given)
+    plans_of = {n: df._jdf.queryExecution().optimizedPlan().toString() for n, df in seen.items()}
+    assert not [n for n, plan in plans_of.items() if "Join" in plan or "Aggregate" in plan]
+    assert rows(seen["ifsdmutrnpf"]) == [("1-1  ", "2", "7", 19970501)]
+    assert rows(seen["ifsdmchdrpf"], "chdrcoy", "chdrnum", "servagnt") == [("2", "7", "1")]
