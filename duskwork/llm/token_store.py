@@ -30,10 +30,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from duskwork.llm.frames import map_slices, texts_of, written
 
@@ -42,12 +45,12 @@ BLOCK = 1024
 PERCENTILE = 0.9
 SHARD_IDS = 1 << 16
 END_ID = 2
-# Bytes of pieces and their ids kept by a worker, with what a dictionary takes for an entry; longer pieces are never kept.
-CACHE_BYTES = 64 << 20
-ENTRY_BYTES = 220
+# Bytes of pieces and their ids kept by a worker; longer pieces are never kept.
+CACHE_BYTES = 32 << 20
 KEPT_CHARS = 64
-# Characters of new pieces encoded at once.
+# Characters of new pieces encoded at once, and how many times as many of texts are looked up at once.
 LEARN_CHARS = 1 << 16
+LOOKUP_TIMES = 64
 HEAD = struct.Struct("<IBH")
 
 
@@ -138,89 +141,200 @@ class Shard:
             yield ids[start:end]
 
 
+class Pieces:
+    """Pieces of text and their ids, in columns: about 40 bytes a piece."""
+
+    def __init__(self):
+        self.texts = pa.array([], pa.string())
+        self.bounds = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, "<u4")
+
+    def __iter__(self):
+        return iter(self.texts.to_pylist())
+
+    @property
+    def held(self) -> int:
+        return self.texts.nbytes + self.bounds.nbytes + self.ids.nbytes
+
+    def find(self, wanted: pa.StringArray) -> np.ndarray:
+        """The number of each wanted piece, -1 for those that aren't here."""
+        numbers = np.full(len(wanted), -1)
+        places = pc.index_in(self.texts, value_set=wanted).fill_null(-1).to_numpy()
+        here = np.flatnonzero(places >= 0)
+        numbers[places[here]] = here
+        return numbers
+
+    def add(self, texts: pa.StringArray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.texts = pa.concat_arrays([self.texts, texts])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids])
+
+
+# What a byte is for ``piece_starts``: bytes of other blanks and of controls are ODD.
+ODD, SPACE, LINE, LETTER, MARK, OTHER = range(6)
+BYTES = np.full(256, OTHER, np.uint8)
+BYTES[:32], BYTES[127], BYTES[9:14], BYTES[32] = ODD, ODD, LINE, SPACE
+for byte in range(33, 127):
+    BYTES[byte] = LETTER if chr(byte).isalpha() else OTHER if chr(byte).isdigit() else MARK
+# Blanks and controls beyond ASCII, and what some Unicode versions or regex dialects count as such.
+ODD_BYTES = re.compile(
+    rb"\xc2[\x80-\xa0]|\xe1(?:\x9a\x80|\xa0\x8e)|\xe2(?:\x80[\x80-\x8b\xa8\xa9\xaf]|\x81\x9f)|\xe3\x80\x80|\xef\xbb\xbf"
+)
+# What two bytes after each other mean, by 8 times the first one's kind plus the second one's.
+CUT, BLANKS = 1, 2
+PAIRS = np.zeros(64, np.uint8)
+for solid in (LETTER, MARK, OTHER):
+    PAIRS[[8 * solid + SPACE, 8 * solid + LINE, 8 * LINE + solid]] = CUT
+PAIRS[8 * LETTER + MARK] = CUT
+PAIRS[[8 * SPACE + SPACE, 8 * SPACE + LINE, 8 * LINE + SPACE, 8 * LINE + LINE]] = BLANKS
+
+
+def piece_starts(text: bytes, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts begin, that stand one after the other in ``text`` from ``starts`` on.
+
+    The byte-level split has no look-behind, never crosses from a non-blank to a blank or
+    from a letter to a mark, gives a word only a space before it, and keeps the last of
+    several blanks before a non-blank apart. So a piece begins at an ASCII blank behind a
+    non-blank, at a non-blank behind a line break or tab, at the last of several ASCII
+    blanks before a non-blank, and at an ASCII mark behind a Latin letter. Nothing is cut
+    next to other blanks and controls.
+    """
+    data = np.frombuffer(text, np.uint8)
+    kinds = BYTES[data]
+    accented = np.flatnonzero(data[:-1] == 0xC3) + 1
+    kinds[accented[(data[accented] != 0x97) & (data[accented] != 0xB7)]] = LETTER
+    for odd in ODD_BYTES.finditer(text):
+        kinds[odd.start() : odd.end()] = ODD
+    pairs = PAIRS[kinds[:-1] << 3 | kinds[1:]]
+    cut = np.zeros(len(data) + 2, bool)
+    cut[1 : len(data)] = pairs == CUT
+    # A break behind an odd character may belong to it when nothing follows.
+    strange = np.flatnonzero(kinds[:-1] == ODD)
+    cut[strange[kinds[strange + 1] == LINE] + 2] = False
+    last = np.flatnonzero(pairs == BLANKS) + 1
+    last = last[last + 1 < len(data)]
+    last = last[kinds[last + 1] >= LETTER]
+    cut[last[~np.isin(last + 1, starts)]] = True
+    cut[starts] = True
+    return np.flatnonzero(cut[: len(data)])
+
+
+def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of stretches, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Encoder:
     """A byte-level tokenizer with its results kept by piece.
 
-    The byte-level split never crosses from a non-blank to a blank, and a single blank
-    belongs to what follows, so a text's ids are those of its pieces: a run of two or
-    more blanks with the word behind it, a word with the space before it, or another
-    single blank. Each distinct piece is encoded once by the library. Texts holding an
-    added token, or a control blank the two regex dialects read differently, are encoded whole.
+    A text's ids are those of its pieces (``piece_starts``). Each distinct piece of a
+    group of texts is looked up once and, if new, encoded once by the library. Texts
+    holding an added token are encoded whole.
     """
 
-    PIECE = re.compile(r"\s\s+\S*| ?\S+|\s")
-    CONTROL = re.compile("[\x1c-\x1f\x85\u180e\u200b\ufeff]")
+    # Pieces that the byte-level split leaves whole, whatever its version of Unicode.
+    WORD = r"\A ?[A-Za-zÀ-ÖØ-öø-ɏ]+\z"
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        # The same without the split, for words.
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-        self.held = 0
+        self.known, self.before = Pieces(), Pieces()
         # In byte-level vocabularies each character of a token stands for one byte.
         self.lengths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.lengths[number] = len(token)
 
+    @property
+    def held(self) -> int:
+        return self.known.held
+
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian uint32."""
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; pieces that are new in any of them are learnt together, up to some size."""
+        """The ids of each text; pieces of all of them are looked up and learnt together, up to some size."""
         out: list[bytes] = []
-        for group in grouped(texts, LEARN_CHARS * 16):
+        for group in grouped(texts, LEARN_CHARS * LOOKUP_TIMES):
             out += self.encode_group(group)
         return out
 
     def encode_group(self, texts: list[str]) -> list[bytes]:
         if self.held > CACHE_BYTES // 2:
             # Pieces that come up again are taken over; the others go with the next change.
-            self.before, self.known, self.held = self.known, {}, 0
-        whole = [bool(self.CONTROL.search(t) or self.added and self.added.search(t)) for t in texts]
-        cut = [() if w else self.PIECE.findall(t) for t, w in zip(texts, whole)]
-        new: set[str] = set()
-        for pieces in cut:
-            new.update(pieces)
-        known, before = self.known, self.before
-        new = [piece for piece in new if piece not in known]
-        unseen = []
-        for piece in new:
-            ids = before.get(piece)
-            if ids is None:
-                unseen.append(piece)
-            else:
-                known[piece] = ids
-        for group in grouped(unseen, LEARN_CHARS):
-            self.learn(group)
-        take = known.__getitem__
-        out = [self.plain(t) if w else b"".join(map(take, pieces)) for t, w, pieces in zip(texts, whole, cut)]
-        for piece in new:
-            if len(piece) > KEPT_CHARS:
-                del known[piece]
-            else:
-                self.held += ENTRY_BYTES
-        return out
+            self.before, self.known = self.known, Pieces()
+        whole = [bool(self.added and self.added.search(t)) for t in texts]
+        encoded = ["" if w else t for t, w in zip(texts, whole)]
+        ids, bounds = self.joined(encoded)
+        packed = ids.tobytes()
+        return [
+            self.plain(t) if w else packed[4 * start : 4 * end]
+            for t, w, start, end in zip(texts, whole, bounds[:-1].tolist(), bounds[1:].tolist())
+        ]
+
+    def joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where those of each begin, with the end."""
+        parts = [t.encode() for t in texts]
+        places = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
+        data = b"".join(parts)
+        if not data:
+            return np.zeros(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
+        begin = piece_starts(data, places[places < len(data)])
+        offsets = np.append(begin, len(data)).astype(np.int32)
+        dealt = pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        starts, sizes, pool = self.looked_up(dealt.dictionary)
+        codes = dealt.indices.to_numpy()
+        counts = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return pool[stretches(starts[codes], counts)], ends[np.searchsorted(begin, places)]
+
+    def looked_up(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each distinct piece's ids begin, how many they are, and the ids."""
+        starts, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        missing, pool, fresh, taken = np.arange(len(pieces)), [], 0, 0
+        for kept in (self.known, self.before):
+            numbers = kept.find(pieces.take(pa.array(missing)))
+            found, numbers, missing = missing[numbers >= 0], numbers[numbers >= 0], missing[numbers < 0]
+            starts[found] = taken + kept.bounds[numbers]
+            sizes[found] = kept.bounds[numbers + 1] - kept.bounds[numbers]
+            pool.append(kept.ids)
+            taken += len(kept.ids)
+            fresh = found
+        unseen = pieces.take(pa.array(missing))
+        word = pc.match_substring_regex(unseen, self.WORD).to_numpy(zero_copy_only=False)
+        for places, learn in ((missing[word], self.learn_words), (missing[~word], self.learn)):
+            at = 0
+            for group in grouped(pieces.take(pa.array(places)).to_pylist(), LEARN_CHARS):
+                counts, ids = learn(group)
+                here = places[at : at + len(group)]
+                sizes[here], starts[here] = counts, taken + np.cumsum(counts) - counts
+                pool.append(ids)
+                taken += len(ids)
+                at += len(group)
+        ids = np.concatenate(pool)
+        fresh = np.concatenate([fresh, missing])
+        fresh = fresh[pc.utf8_length(pieces.take(pa.array(fresh))).to_numpy() <= KEPT_CHARS]
+        self.known.add(pieces.take(pa.array(fresh)), sizes[fresh], ids[stretches(starts[fresh], sizes[fresh])])
+        return starts, sizes, ids
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, new: list[str]) -> None:
-        """Encode new pieces: those of a space and a word as one text, cut by byte lengths."""
-        known = self.known
-        words = [piece for piece in new if piece[0] == " " and not piece[1:2].isspace() and len(piece) > 1]
-        others = [piece for piece in new if piece[0] != " " or piece[1:2].isspace() or len(piece) == 1]
-        for piece, entry in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            known[piece] = np.array(entry.ids, "<u4").tobytes()
-        if words:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
-            cuts = 4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1)
-            packed, start = ids.tobytes(), 0
-            for word, end in zip(words, cuts.tolist()):
-                known[word] = packed[start:end]
-                start = end
+    def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece has, and the ids of all."""
+        found = [entry.ids for entry in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.array([len(ids) for ids in found], np.int64), np.concatenate([np.array(ids, "<u4") for ids in found])
+
+    def learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words, encoded as one text and cut by byte lengths."""
+        ids = np.array(self.words.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum([len(w.encode()) for w in words])
+        return np.diff(np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1, prepend=0), ids
 
 
 def grouped(texts: list[str], most: int):
@@ -236,6 +350,20 @@ def grouped(texts: list[str], most: int):
         yield group
 
 
+def gathered(parts):
+    """doc_ids and texts of slices, so many together as are looked up at once: short texts make small slices."""
+    docs, texts, size = [], [], 0
+    for part in parts:
+        docs += part.column("doc_id").to_pylist()
+        texts += (more := texts_of(part))
+        size += sum(map(len, more))
+        if size >= LEARN_CHARS * LOOKUP_TIMES:
+            yield docs, texts
+            docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 @functools.cache
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -253,8 +381,8 @@ def write_shards(docs: DataFrame, path: str | None = None) -> DataFrame:
         own, number = encoder(path), 0
         part_id, end = TaskContext.get().partitionId(), np.uint32(END_ID).tobytes()
         ids, held, size, inside = [], [], 0, 0
-        for part in parts:
-            for doc, packed in zip(part.column("doc_id").to_pylist(), own.encode_all(texts_of(part))):
+        for docs, texts in gathered(parts):
+            for doc, packed in zip(docs, own.encode_all(texts)):
                 tokens = np.frombuffer(packed + end, "<u4")
                 ids.append(doc)
                 held.append(tokens)

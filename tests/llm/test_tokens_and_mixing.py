@@ -73,3 +73,42 @@ def test_encoding_with_a_small_cache(monkeypatch):
         assert [np.frombuffer(b, "<u4").tolist() for b in own.encode_all(texts)] == [
             SHARED.encode(t, add_special_tokens=False).ids for t in texts]
         assert own.held <= 1000 + 220 * 40 and all(len(piece) <= 6 for piece in {*own.known, *own.before})
+
+
+class Counting:
+    """A tokenizer that notes the pieces it is given."""
+
+    def __init__(self, tokenizer, seen):
+        self.tokenizer, self.seen = tokenizer, seen
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, given, is_pretokenized=False, **rest):
+        self.seen += [piece for group in given for piece in group] if is_pretokenized else given
+        return self.tokenizer.encode_batch_fast(given, is_pretokenized=is_pretokenized, **rest)
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow(monkeypatch):
+    own, seen = token_store.Encoder(PATH), []
+    for name in ("tokenizer", "words"):
+        if hasattr(own, name):
+            monkeypatch.setattr(own, name, Counting(getattr(own, name), seen))
+    texts = [f"so{before}houseé{mark} then" for before in (" ", "\n") for mark in ("", ".", ",", "...", "!?", ")", "'s")]
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in own.encode_all(texts)] == [
+            SHARED.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(piece for piece in seen if "house" in piece) == [" houseé", "houseé"]
+
+
+def test_kept_pieces_take_few_bytes():
+    own = token_store.Encoder(PATH)
+    own.encode_all([" ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(676))])
+    assert len(list(own.known)) > 600 and own.held < 60 * len(list(own.known))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab1éñ×÷中 '.,\n\t\r\x0b\x00\x1c\x7f\x85\xa0\u0301\u180e\u2003\u200b\u2019\u3000\ufeff<|>", max_size=20), max_size=6))
+def test_texts_encoded_together_are_those_encoded_alone(texts):
+    assert [np.frombuffer(b, "<u4").tolist() for b in token_store.encoder(PATH).encode_all(texts)] == [
+        SHARED.encode(t, add_special_tokens=False).ids for t in texts]
